@@ -148,7 +148,8 @@ def mass_lookup(unimod: DataFrame, max_entries: int = 20_000) -> Column:
 
 def unimod_to_mass(df: DataFrame, unimod: DataFrame, column: str = "peptide") -> DataFrame:
     """Rewrite ``(UniMod:n)`` in ``column`` as a bracket mass; unknown ids stay."""
-    return df.withColumn(column, modseq.unimod_to_mass(F.col(column), mass_lookup(unimod)))
+    rows = df.withColumn("_masses", mass_lookup(unimod))
+    return rows.withColumn(column, modseq.unimod_to_mass(F.col(column), F.col("_masses"))).drop("_masses")
 
 
 # fixed values: legacy DIA column -> name
@@ -180,7 +181,7 @@ def dia_to_psm(df: DataFrame, unimod: DataFrame, order: Sequence[str] | None = N
     def text(name: str) -> Column:
         return F.coalesce(take(name, "string"), F.lit(""))
 
-    peptide = modseq.unimod_to_mass(text("Modified.Sequence"), mass_lookup(unimod))
+    peptide = modseq.unimod_to_mass(text("Modified.Sequence"), F.col("_masses"))
     length = F.length(peptide if compat else tx.strip_mods(text("Modified.Sequence"), "letters"))
     made = {
         "peptide": peptide,
@@ -206,7 +207,7 @@ def dia_to_psm(df: DataFrame, unimod: DataFrame, order: Sequence[str] | None = N
         "diann_channel": text("Channel"),
     }
     fields = [*schemas.PSM, *schemas.DIA_EXTRA]
-    out = df.select(
+    out = df.withColumn("_masses", mass_lookup(unimod)).select(
         *[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
     )
     if order is None:

@@ -51,9 +51,9 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], na
     offsets = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     placed = placed.join(offsets, "_part").withColumn("_at", F.col("_at") + F.col("_offset"))
     if by:
-        starts = placed.groupBy(*by).agg(F.min("_at").alias("_start"))
-        conditions = [placed[c].eqNullSafe(starts[c]) for c in by]
-        keep = [placed[c] for c in df.columns]
-        joined = placed.join(starts, conditions)
-        return joined.select(*keep, (F.col("_at") - F.col("_start") + 1).alias(name))
+        starts = placed.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(F.min("_at").alias("_start"))
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+        return placed.join(starts, same).select(
+            *df.columns, (F.col("_at") - F.col("_start") + 1).alias(name)
+        )
     return placed.select(*df.columns, (F.col("_at") + 1).alias(name))
