@@ -18,7 +18,7 @@ def normal(df: pd.DataFrame) -> list[tuple]:
     df = df[sorted(df.columns)]
 
     def cell(v):
-        if v is None or v is pd.NaT:
+        if v is None or v is pd.NaT or v is pd.NA:
             return None
         if isinstance(v, float):
             return None if v != v else (float(f"{v:.9g}") + 0.0)
@@ -36,7 +36,7 @@ def normal(df: pd.DataFrame) -> list[tuple]:
 
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:]
+    wanted = [a for a in sys.argv[2:] if not a.startswith("-")]
     spark = build_session(
         "check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",

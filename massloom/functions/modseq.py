@@ -49,7 +49,7 @@ def unimod_to_mass(col: Column, masses: Column) -> Column:
     def rewrite(acc: Column, key: Column) -> Column:
         mass = F.try_element_at(masses, key.cast("int"))
         tag = F.concat(F.lit("(UniMod:"), key, F.lit(")"))
-        return F.replace(acc, tag, F.coalesce(F.format_string("[%+.6f]", mass), tag))
+        return F.replace(acc, tag, F.when(mass.isNotNull(), F.format_string("[%+.6f]", mass)).otherwise(tag))
 
     return F.when(F.size(ids) > 0, F.aggregate(ids, col, rewrite)).otherwise(col)
 

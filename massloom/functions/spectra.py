@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, not once per use inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def parse_filter_string(col: Column) -> Column:
     """Struct of accuracy, MS level, dissociation flags, fragmentation type, tag, error code."""
     detector = F.regexp_extract(col, r"^(\S+)", 1)
@@ -72,15 +79,25 @@ def clean_peaks(
         & (F.coalesce(F.abs(p["mz"] - precursor_mz), F.lit(1e9)) > precursor_tol)
         & (p["i"] > 0),
     )
-    rooted = F.transform(kept, lambda p: F.struct((-F.sqrt(p["i"])).alias("neg"), p["mz"].alias("mz")))
-    base = -F.array_min(F.transform(rooted, lambda p: p["neg"]))
-    strong = F.filter(rooted, lambda p: -p["neg"] >= base * min_intensity)
-    top = F.slice(F.array_sort(strong), 1, max_peaks)
-    norm = F.sqrt(F.aggregate(top, F.lit(0.0), lambda acc, p: acc + p["neg"] * p["neg"]))
-    by_mz = F.array_sort(
-        F.transform(top, lambda p: F.struct(p["mz"].alias("mz"), (-p["neg"] / norm).alias("intensity")))
+    rooted = F.array_sort(
+        F.transform(kept, lambda p: F.struct((-F.sqrt(p["i"])).alias("neg"), p["mz"].alias("mz")))
     )
-    return F.when((F.size(top) >= min_peaks) & charge.between(1, max_charge), by_mz)
+
+    def strongest(peaks: Column) -> Column:
+        base = F.try_element_at(peaks, F.lit(1))["neg"]
+        return let(base, lambda b: F.filter(F.slice(peaks, 1, max_peaks), lambda p: -p["neg"] >= -b * min_intensity))
+
+    def scaled(peaks: Column) -> Column:
+        norm = F.sqrt(F.aggregate(peaks, F.lit(0.0), lambda acc, p: acc + p["neg"] * p["neg"]))
+        by_mz = let(
+            norm,
+            lambda n: F.array_sort(
+                F.transform(peaks, lambda p: F.struct(p["mz"].alias("mz"), (-p["neg"] / n).alias("intensity")))
+            ),
+        )
+        return F.when((F.size(peaks) >= min_peaks) & charge.between(1, max_charge), by_mz)
+
+    return let(rooted, lambda r: let(strongest(r), scaled))
 
 
 def bin_peaks(mz: Column, intensity: Column, low: Column, high: Column, width: Column) -> Column:
@@ -93,8 +110,12 @@ def bin_peaks(mz: Column, intensity: Column, low: Column, high: Column, width: C
             lambda p: F.struct(F.floor((p["mz"] - low) / width).alias("bin"), p["i"].alias("intensity")),
         )
     )
-    last = F.size(binned) - 1
-    return F.filter(
-        binned,
-        lambda p, i: (i == last) | (F.try_element_at(binned, (i + 2).cast("int"))["bin"] != p["bin"]),
-    )
+
+    def last_of_bin(b: Column) -> Column:
+        return F.filter(
+            b,
+            lambda p, i: (i == F.size(b) - 1)
+            | (F.try_element_at(b, (i + 2).cast("int"))["bin"] != p["bin"]),
+        )
+
+    return let(binned, last_of_bin)

@@ -174,7 +174,7 @@ def site_fractions(
         .where("potential_sites > 0")
         .select(
             *by, "mod_key", "unimod_id", "mod_name",
-            F.format_string("%+.6f", "mass_shift").alias("mass_shift"),
+            F.when(F.col("mass_shift").isNotNull(), F.format_string("%+.6f", "mass_shift")).alias("mass_shift"),
             F.array_join("residues", "").alias("allowed_residues"),
             F.array_join("terms", ";").alias("allowed_terms"),
             "unique_peptides", "peptides_with_mod", "modified_sites", "potential_sites",
@@ -239,13 +239,12 @@ def mods_to_maps(
     written ``^``/``$`` when static and ``[``/``]`` when variable.
     """
     usable = usable_mods(ptm, unimod, tol).withColumn("fixed", F.col("percent_psms") >= fixed_percent)
-    mark = {True: ("^", "$"), False: ("[", "]")}
-    terms = [
-        F.transform("terms", lambda t, f=f: F.when(t == "N-term", mark[f][0]).otherwise(mark[f][1]))
-        for f in (True, False)
-    ]
+
+    def written(n_term: str, c_term: str) -> Column:
+        return F.transform("terms", lambda t: F.when(t == "N-term", n_term).otherwise(c_term))
+
     rows = usable.select(
-        F.explode(F.concat("residues", F.when(F.col("fixed"), terms[0]).otherwise(terms[1]))).alias("site"),
+        F.explode(F.concat("residues", F.when(F.col("fixed"), written("^", "$")).otherwise(written("[", "]")))).alias("site"),
         "fixed", F.col("mass_shift").alias("mass"), F.col(order).alias("ord"),
     )
     static = rows.where("fixed").groupBy("site").agg(

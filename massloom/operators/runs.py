@@ -167,7 +167,8 @@ def reporter_peaks(
     spark = comp.sparkSession
     regions = spark.createDataFrame(
         reporter_regions(), "frag_type STRING, region STRING, label STRING, first BIGINT, last BIGINT"
-    ).withColumn("bin", F.explode(F.sequence("first", F.col("last") - 1))).drop("first", "last")
+    ).where("last > first")
+    regions = regions.withColumn("bin", F.explode(F.sequence("first", F.col("last") - 1))).drop("first", "last")
     keys = [*by, "frag_type", "region", "label"]
     modes = (
         comp.where("intensity > 0")
