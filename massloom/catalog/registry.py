@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from massloom.catalog.inputs import Inputs, plain_sql
 
-MODULES = ["matches", "modifications", "spectra"]
+MODULES = ["peptides", "organisms"]
 _ENTRIES: dict[str, tuple[Callable[[Inputs], DataFrame], str | None]] = {}
 
 
