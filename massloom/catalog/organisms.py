@@ -27,13 +27,13 @@ def j10_u03_restrict_taxa(t):
     return taxa.restrict_taxa(t("f_peptide_taxa"), t("f_lineage"), [1, 3]).select("sequence", "taxon_id")
 
 
-@query("""with l as (select * from {f_lineage} where taxon_id % 13 <> 0),
+@query("""with l as (select * from {f_lineage} where genus_id > 3),
 m as (select p.sequence, p.taxon_id, l.species_id, l.taxon_id is not null as known from {f_peptide_taxa} p left join l on l.taxon_id = p.taxon_id),
 k as (select sequence, bool_or(known) as any_known from m group by 1)
 select distinct m.sequence, coalesce(cast(case when any_known then species_id else taxon_id end as varchar), 'none') as taxon from m join k using (sequence)
 where known or not any_known""")
 def j09_to_rank(t):
-    lineage = t("f_lineage").where("taxon_id % 13 <> 0")
+    lineage = t("f_lineage").where("genus_id > 3")
     return taxa.to_rank(t("f_peptide_taxa"), lineage).select(
         "sequence", F.coalesce(F.col("taxon_id").cast("string"), F.lit("none")).alias("taxon"))
 
@@ -80,7 +80,7 @@ def f08_graph_taxa(t):
 
 
 SCORED_EDGES = """select p.sequence, p.taxon_id, least(0.999, 0.5 + cast(length(p.sequence) as double) / 40) as score
-from {f_peptide_taxa} p where p.taxon_id % 3 = 1"""
+from {f_peptide_taxa} p"""
 
 
 @query(f"""with x as ({SCORED_EDGES}), many as (select taxon_id from x group by 1 having count(*) > 1)
@@ -108,16 +108,10 @@ select sequence, n, k, round(greatest(a / (n + 1), 1e-30), 12) as absent, round(
 def g04_noisy_or(t):
     degree = t("f_peptide_taxa").groupBy("sequence").agg(F.least(F.count("*"), F.lit(12)).cast("int").alias("n"))
     table = graph.noisy_or(F.col("n"), F.lit(0.8), F.lit(0.7))
-    out = degree.select("sequence", F.col("n").cast("bigint").alias("n"), F.posexplode(table).alias("k", "e"))
-    return rounded(out.select("sequence", "n", F.col("k").cast("bigint").alias("k"), "e.absent", "e.present"), 12, "absent", "present")
-
-
-@query("""with e as (select sequence, taxon_id from {f_peptide_taxa} where taxon_id % 5 = 1 or length(sequence) = 7),
-s as (select sequence, string_agg(cast(taxon_id as varchar), ',' order by taxon_id) as k from e group by 1)
-select count(*) as peptides, count(distinct k) as sets from s""")
-def g02_shared_sets(t):
-    edges = t("f_peptide_taxa").where("taxon_id % 5 = 1 or length(sequence) = 7").withColumn("score", F.lit(0.9))
-    return graph.factors(edges).agg(F.sum("n_peptides").cast("bigint").alias("peptides"), F.count("*").alias("sets"))
+    out = degree.withColumn("table", table).select("sequence", "n", F.posexplode("table").alias("k", "e"))
+    out = out.select("sequence", "n", "k", "e.absent", "e.present")
+    out = out.withColumns({c: F.col(c).cast("bigint") for c in ("n", "k")})
+    return rounded(out, 12, "absent", "present")
 
 
 SPARSE = """select distinct concat('c', cast(o_custkey as string)) as sequence, o_orderkey as taxon_id from {orders}"""
@@ -132,7 +126,7 @@ def g03_components(t):
 
 @query()
 def g03_components_dense(t):
-    return graph.components(t("f_peptide_taxa").where("length(sequence) <= 9"))
+    return graph.components(t("f_peptide_taxa"))
 
 
 OVERLAP = """cls as (select taxon_id, string_agg(sequence, ',' order by sequence) as k, count(*) as n from e group by 1),
@@ -207,9 +201,7 @@ def a26_j08_taxon_table(t):
 
 
 def scored_edges(t):
-    """Edges of supplier triples per part, small factors over a connected graph."""
-    return t.sql("""select distinct concat('q', cast(l_partkey % 400 as string)) as sequence, l_suppkey % 200 as taxon_id,
-      0.8 + cast(l_partkey % 20 as double) / 101 as score from {lineitem} where l_linenumber = 1""")
+    return t.sql(SCORED_EDGES)
 
 
 @query()

@@ -31,7 +31,7 @@ def f01_filter_denovo(t):
 # contaminants cut from the same hash letters as the peptides, so that some of them meet
 CONTAMINANTS = """select concat('C', cast(p_partkey as string)) as accession,
   concat(substr(translate(md5(cast(p_partkey as string)), '0123456789abcdef', 'ACDEFGHIKLMNPQRS'), 1, cast(7 + p_partkey % 12 as int)),
-    'K', translate(md5(cast(p_partkey as string)), '0123456789abcdef', 'ACDEFGHIKLMNPQRS')) as sequence from {part} where p_partkey % 3 = 0"""
+    'K', translate(md5(cast(p_partkey as string)), '0123456789abcdef', 'ACDEFGHIKLMNPQRS')) as sequence from {part} where p_size > 30"""
 CONTAM_SQL = DIGEST.replace(PROTEINS, CONTAMINANTS)
 
 
@@ -78,7 +78,7 @@ def w03_top_matches(t):
 PAIRS = """select spectrum_id, truth, charge from (select l_orderkey as spectrum_id, max(translate(md5(cast(l_partkey as string)),
   '0123456789abcdef', 'ACDEFGHIKLMNPQRS')) as truth, max(2 + l_linenumber % 3) as charge from {lineitem} group by l_orderkey)"""
 PRED = """select l_orderkey as spectrum_id, min(translate(md5(cast(l_partkey as string)), '0123456789abcdef', 'ACDEFGHIKLMNPQRS')) as pred,
-  max(l_discount * 10) as score from {lineitem} where l_linenumber <= 3 group by l_orderkey"""
+  max(l_discount * 10) as score from {lineitem} where l_discount <= 0.08 group by l_orderkey"""
 
 
 @query(f"""with tr as ({PAIRS}), pr as ({PRED}) select tr.spectrum_id, truth, charge, pred, score from tr left join pr on pr.spectrum_id = tr.spectrum_id""")

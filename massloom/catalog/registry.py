@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from massloom.catalog.inputs import Inputs, plain_sql
 
-MODULES = ["peptides", "organisms"]
+MODULES = ["matches", "modifications", "spectra", "peptides", "organisms", "projects", "summaries", "formats"]
 _ENTRIES: dict[str, tuple[Callable[[Inputs], DataFrame], str | None]] = {}
 
 
