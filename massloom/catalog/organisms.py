@@ -134,20 +134,22 @@ heads as (select min(taxon_id) as taxon_id, any_value(n) as n from cls group by
 he as (select e.taxon_id, e.sequence, h.n from e join heads h using (taxon_id)),
 ov as (select m.taxon_id as member, h.taxon_id as head, count(*) as shared, any_value(m.n) as n_peptides
   from he m join he h on h.sequence = m.sequence and h.taxon_id <> m.taxon_id group by 1, 2)"""
-LINKS = """select distinct concat('p', cast(o_custkey % 97 as string)) as sequence, o_orderkey % 1500 as taxon_id from {orders}"""
+# each supplier twice: all its parts, and all but a few
+LINKS = """select concat('p', cast(l_partkey as string)) as sequence, l_suppkey as taxon_id from {lineitem} union
+  select concat('p', cast(l_partkey as string)), l_suppkey + 1000000 from {lineitem} where not (l_linenumber = 3 and l_quantity < 25)"""
 
 
 @query(f"""with e as ({LINKS}), {OVERLAP} select member, head, shared, n_peptides, round(shared / n_peptides, 9) as overlap from ov
-where shared / n_peptides > 0.3""")
+where shared / n_peptides > 0.9""")
 def j14_class_overlap(t):
-    return rounded(taxa.class_overlap(t.sql(LINKS), 0.3), 9, "overlap")
+    return rounded(taxa.class_overlap(t.sql(LINKS), 0.9), 9, "overlap")
 
 
 @query()
 def g07_cluster_taxa(t):
     edges = t.sql(LINKS)
     weights = edges.groupBy("taxon_id").agg(F.count("*").cast("double").alias("weight"))
-    return taxa.cluster_taxa(edges, weights, 0.3)
+    return taxa.cluster_taxa(edges, weights, 0.9)
 
 
 @query()

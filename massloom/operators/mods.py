@@ -60,17 +60,18 @@ def match_mods(masses: DataFrame, unimod: DataFrame, tol: float = 0.01) -> DataF
 
 def mod_event_rows(psm: DataFrame, by: Sequence[str] = (), compat: bool = False) -> DataFrame:
     """Distinct events per stripped peptide: (by, stripped, pos, residue, term, mass, unimod_id)."""
-    base = psm.select(*by, F.trim("peptide").alias("peptide")).distinct()
-    return (
-        base.select(
-            *by,
-            tx.strip_mods(F.col("peptide"), "letters").alias("stripped"),
-            F.explode(modseq.mod_events(F.col("peptide"), compat)).alias("e"),
-        )
-        .where("stripped <> ''")
-        .select(*by, "stripped", "e.*")
-        .distinct()
-    )
+    return _events(_forms(psm, by), by, compat)
+
+
+def _forms(psm: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Distinct modified peptides with their stripped form."""
+    forms = psm.select(*by, F.trim("peptide").alias("peptide")).distinct()
+    return forms.withColumn("stripped", tx.strip_mods(F.col("peptide"), "letters")).where("stripped <> ''")
+
+
+def _events(forms: DataFrame, by: Sequence[str], compat: bool) -> DataFrame:
+    tagged = forms.select(*by, "stripped", F.explode(modseq.mod_events(F.col("peptide"), compat)).alias("e"))
+    return tagged.select(*by, "stripped", "e.*").distinct()
 
 
 def _event_key(row: Sequence[str] = ("mass", "residue", "term", "unimod_id")) -> Column:
@@ -146,10 +147,11 @@ def site_fractions(
     residues in all unique stripped peptides, plus one per peptide for each allowed terminus.
     """
     by = list(by)
-    events = mod_event_rows(psm, by, compat)
+    # the distinct forms feed all three branches, so the matches are read and shuffled once
+    forms = _forms(psm, by)
+    events = _events(forms, by, compat)
     defs = mod_definitions(events, unimod, tol, hidden)
-    stripped = psm.select(*by, tx.strip_mods(F.col("peptide"), "letters").alias("stripped")).where("stripped <> ''")
-    totals = residue_counts(stripped, by)
+    totals = residue_counts(forms, by)
     sites = (
         events.withColumn("event", _event_key()).select(*by, "stripped", "pos", "event")
         .join(defs.select("event", "mod_key"), "event")

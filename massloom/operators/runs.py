@@ -170,8 +170,9 @@ def reporter_peaks(
     ).where("last > first")
     regions = regions.withColumn("bin", F.explode(F.sequence("first", F.col("last") - 1))).drop("first", "last")
     keys = [*by, "frag_type", "region", "label"]
+    # both columns are read here as below, so that the composite is built once and reused
     modes = (
-        comp.where("intensity > 0")
+        comp.where("intensity > 0 and n_peaks > 0")
         .join(F.broadcast(regions), ["frag_type", "bin"])
         .groupBy(*keys)
         .agg(F.max_by("bin", F.struct("intensity", -F.col("bin"))).alias("mode_bin"))
