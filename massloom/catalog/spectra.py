@@ -129,7 +129,7 @@ peaks as (select filename, frag_type, region, label, mode_bin, min(d) as extent,
 
 @query(f"with {PEAKS} select * from peaks")
 def a13_w12_reporter_peaks(t):
-    return runs.reporter_peaks(runs.composite(arrays(t)), min_spectra=1)
+    return runs.reporter_peaks(runs.composite_from_peaks(t("f_spectrum"), t("f_peak")), min_spectra=1)
 
 
 @query(f"""with {PEAKS}, ms2 as (select filename, greatest(count(*) / 100, 1) as n_ms2_spectra from {{f_spectrum}} where ms_level = 2 group by 1),
@@ -146,7 +146,7 @@ select filename, frag_type, round(tmt, 6) as tmt, round(tmtpro, 6) as tmtpro, ro
 def a13_label_calls(t):
     ms2 = t("f_spectrum").where("ms_level = 2").groupBy("filename").agg(
         F.greatest(F.count("*") / 100, F.lit(1)).alias("n_ms2_spectra"))
-    peaks = runs.reporter_peaks(runs.composite(arrays(t)), min_spectra=1)
+    peaks = runs.reporter_peaks(runs.composite_from_peaks(t("f_spectrum"), t("f_peak")), min_spectra=1)
     return rounded(runs.label_calls(peaks, ms2), 6, "tmt", "tmtpro", "itraq", "itraq4", "itraq8")
 
 

@@ -34,7 +34,13 @@ def mod_events(col: Column, compat: bool = False) -> Column:
     tokens = F.regexp_extract_all(F.regexp_replace(text, _LEAD, ""), F.lit(_TOKEN), F.lit(0))
     events = F.concat(
         F.array(_event(F.lit(-1), null, F.lit("N-term"), text, "^")),
-        F.transform(tokens, lambda t, i: _event(i, F.substring(t, 1, 1), null, t)),
+        F.transform(
+            F.filter(
+                F.transform(tokens, lambda t, i: F.struct(i.alias("i"), t.alias("t"))),
+                lambda x: F.length(x["t"]) > 1,
+            ),
+            lambda x: _event(x["i"], F.substring(x["t"], 1, 1), null, x["t"]),
+        ),
     )
     if compat:
         tail = F.regexp_extract(text, r"(?<=.)(\[[^\]]*\]|\(UniMod:\d+\))$", 1)

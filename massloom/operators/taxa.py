@@ -179,32 +179,39 @@ def taxon_classes(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame | None = None) -> DataFrame:
     """Directed overlap between classes above ``threshold``: shared peptides / size of ``member``.
 
-    Exact without building every pair. A member that shares more than a part t of its n peptides
-    must share one of any n - floor(t n) of them, so only that many of its rarest peptides look
-    for partners; each partner is then counted in full. A peptide of very many taxa comes into
-    play only for members that have hardly any other.
+    Exact without building every pair. A member of n peptides may lack fewer than
+    d = n - floor(t n) of them, so of any p of its peptides a partner has at least p - d + 1.
+    Each member looks for partners with about 2 d of its rarest peptides; the few pairs that
+    reach this count are then counted in full. A peptide of very many taxa comes into play only
+    for members that have hardly any other.
     """
     classes = taxon_classes(edges) if classes is None else classes
     heads = classes.where("taxon_id = class_id").select("class_id", "n_peptides")
     core = edges.join(heads, F.col("taxon_id") == F.col("class_id")).select("class_id", "sequence", "n_peptides")
     spread = core.groupBy("sequence").agg(F.count("*").alias("df"))
-    core = core.join(spread, "sequence")
-    need = F.col("n_peptides") - F.floor(F.col("n_peptides") * threshold)
-    share = F.least(F.lit(1.0), F.max(need / F.col("n_peptides")) + 1e-3)
-    cut = core.groupBy("class_id").agg(
-        F.percentile_approx("df", [i / 20 for i in range(1, 21)], 10_000).alias("q"),
-        share.alias("share"), F.max(need).alias("need"),
-    ).withColumn("limit", F.try_element_at("q", F.ceil(F.col("share") * 20).cast("int")))
-    cut = cut.select("class_id", "limit", "need")
-    probe = core.join(cut, "class_id")
-    enough = probe.groupBy("class_id").agg((F.count_if(F.col("df") <= F.col("limit")) >= F.max("need")).alias("ok"))
-    probe = probe.join(enough, "class_id").where("df <= limit or not ok")
+    core = checkpoint(core.join(spread, "sequence"))
+    n = F.max("n_peptides")
+    need = n - F.floor(n * threshold)
+    share = F.least(F.lit(1.0), 2 * need / n + 1e-3)
+    grid = F.percentile_approx("df", [i / 20 for i in range(1, 21)], 10_000)
+    limits = core.groupBy("class_id").agg(
+        need.alias("need"), F.try_element_at(grid, F.ceil(share * 20).cast("int")).alias("limit")
+    )
+    probe = core.join(limits, "class_id")
+    counts = probe.groupBy("class_id").agg(
+        F.count_if(F.col("df") <= F.col("limit")).alias("p"), F.max("n_peptides").alias("n"), F.max("need").alias("d")
+    )
+    counts = counts.select("class_id", (F.col("p") >= F.col("d")).alias("ok"), F.when(
+        F.col("p") >= F.col("d"), F.col("p")).otherwise(F.col("n")).alias("p"))
+    probe = probe.join(counts, "class_id").where("df <= limit or not ok")
     pairs = (
-        probe.select(F.col("class_id").alias("member"), "sequence")
+        probe.select(F.col("class_id").alias("member"), "sequence", (F.col("p") - F.col("need") + 1).alias("least"))
         .join(core.select(F.col("class_id").alias("head"), "sequence"), "sequence")
         .where("member <> head")
+        .groupBy("member", "head")
+        .agg(F.count("*").alias("met"), F.max("least").alias("least"))
+        .where("met >= least")
         .select("member", "head")
-        .distinct()
     )
     shared = (
         pairs.join(core.select(F.col("class_id").alias("member"), "sequence", "n_peptides"), "member")

@@ -9,8 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "ARRAY<DOUBLE>": T.ArrayType(T.DoubleType()),
+    "MAP<STRING,STRING>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
 def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A flat schema; no session is needed, so that modules can be imported before one exists."""
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in (f.split() for f in text.split(", "))])
 
 
 PSM = _ddl(
@@ -43,42 +54,32 @@ SPECTRUM = _ddl(
     "mz ARRAY<DOUBLE>, intensity ARRAY<DOUBLE>"
 )
 
-_RUN = _ddl(
-    "instrument_model STRUCT<accession: STRING, name: STRING, category: STRING>, "
-    "spectra_stats STRUCT<acquisition_type: STRING, fragmentation_type: STRING, "
+_RUN = (
+    "STRUCT<instrument_model: STRUCT<accession: STRING, name: STRING, category: STRING>, "
+    "spectra_stats: STRUCT<acquisition_type: STRING, fragmentation_type: STRING, "
     "fragmentation_tag: STRING, high_accuracy_precursors: STRING, n_spectra: BIGINT, "
     "n_ms1_spectra: BIGINT, n_ms2_spectra: BIGINT>, "
-    "summary STRUCT<fragmentation_type: STRING, "
-    "labeling: STRUCT<call: STRING, scores: MAP<STRING, DOUBLE>>>"
+    "summary: STRUCT<fragmentation_type: STRING, "
+    "labeling: STRUCT<call: STRING, scores: MAP<STRING, DOUBLE>>>>"
 )
 
-_STUDY = T.StructType(
-    [
-        T.StructField("files", T.MapType(T.StringType(), _RUN)),
-        T.StructField(
-            "search_criteria",
-            _ddl(
-                "acquisition_type STRING, fragmentation_type STRING, "
-                "high_accuracy_precursors STRING, labeling STRING"
-            ),
-        ),
-        T.StructField("knowledge", _ddl("instrument_model STRING")),
-        T.StructField("spectra_stats", T.MapType(T.StringType(), T.LongType())),
-        T.StructField("state", _ddl("status STRING, code STRING, message STRING")),
-    ]
+_STUDY = (
+    f"files MAP<STRING, {_RUN}>, "
+    "search_criteria STRUCT<acquisition_type: STRING, fragmentation_type: STRING, "
+    "high_accuracy_precursors: STRING, labeling: STRING>, "
+    "knowledge STRUCT<instrument_model: STRING>, spectra_stats MAP<STRING, BIGINT>, "
+    "state STRUCT<status: STRING, code: STRING, message: STRING>"
 )
 
 # The study document may stand alone or sit under a key of the aggregated document.
-STUDY = T.StructType(
-    [T.StructField("pxd_id", T.StringType()), T.StructField("runAssessor", _STUDY), *_STUDY.fields]
-)
+STUDY = f"pxd_id STRING, runAssessor STRUCT<{_STUDY}>, {_STUDY}"
 
-PUBLICATION = _ddl(
+PUBLICATION = (
     "documents ARRAY<STRUCT<passages: ARRAY<STRUCT<text: STRING, "
     "infons: STRUCT<section_type: STRING>>>>>"
 )
 
-PROJECT = _ddl(
+PROJECT = (
     "accession STRING, doi STRING, references ARRAY<STRUCT<pubmedID: STRING, doi: STRING>>, "
     "files ARRAY<STRUCT<fileName: STRING, fileSizeBytes: BIGINT, "
     "publicFileLocations: ARRAY<STRUCT<name: STRING, value: STRING>>>>, "
