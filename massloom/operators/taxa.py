@@ -83,16 +83,14 @@ def weighted_sample(
     bits = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(1 << 52))
     uniform = (bits.cast("double") + 0.5) / float(1 << 52)
     drawn = df.where(F.col(weight) > 0).withColumn("_key", -F.ln(uniform) / F.col(weight))
-    positive = df.agg(F.count_if(F.col(weight) > 0).alias("n"), F.count("*").alias("all"))
-    check = positive.select(
-        F.when((F.col("n") == 0) & (F.col("all") > 0), F.raise_error(F.lit("all weights are zero"))).otherwise(True)
-    ).scalar()
+    if drawn.isEmpty() and not df.isEmpty():
+        raise ValueError("all weights are zero")
     order = [F.col("_key"), F.col(key)]
     if by:
         drawn = top_n(drawn, by, order, n)
     else:
         drawn = drawn.orderBy(*order).limit(n)
-    return drawn.where(F.coalesce(check.cast("boolean"), F.lit(True))).drop("_key")
+    return drawn.drop("_key")
 
 
 def sample_peptides(edges: DataFrame, n: int = 10_000, seed: int = 1234) -> DataFrame:
