@@ -125,11 +125,11 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        """One of the given tables. A large one in fewer files than cores is spread over them,
-        since a file with a single row group is read by one task."""
+        """One of the given tables. A large one that is a single file is spread over the cores,
+        since a file with one row group is read by one task; more files are read as they are."""
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         cores = self.spark.sparkContext.defaultParallelism
-        if name in ("lineitem", "orders", "documents") and len(df.inputFiles()) < cores:
+        if name in ("lineitem", "orders", "documents") and len(df.inputFiles()) == 1:
             df = df.repartition(cores)
         return df
 

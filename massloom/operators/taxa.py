@@ -282,7 +282,7 @@ def goodness(scores: DataFrame, weights: DataFrame, by: Sequence[str] = ("param_
 
     With ``p`` = 1 the overlap is the mean over depths 1..k of the common share of both tops;
     a taxon at rank m in the worse list adds the sum of 1/d for d = m..k. Smaller ``p`` weighs
-    early depths more.
+    early depths more. A ranked list holds the taxa of one graph, which pruning has cut.
     """
     by = list(by)
     ranked = scores.withColumn(
