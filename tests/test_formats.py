@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from massloom.operators import documents as ops, reports, runs
 from massloom.sources import documents as docs, sinks, tables
