@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from massloom.llm.common import kept
@@ -50,11 +52,15 @@ def tile(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int
     for at in range(0, len(i), 1 << 16):
         a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
         score[at : at + (1 << 16)] = (q[a] * x[b]).sum(axis=1) / (q_length[a] * x_length[b])
-    order = np.lexsort((ids[j], -score, i))
-    i, j, score = i[order], j[order], score[order]
-    first = np.searchsorted(i, np.arange(len(qids)))
-    top = np.arange(len(i)) - first[i] < k
-    return pd.DataFrame({"query_id": qids[i][top], "vec_id": ids[j][top], "score": score[top]})
+    heaps: list[list[tuple[float, int]]] = [[] for _ in qids]
+    for a, s, b in zip(i.tolist(), score.tolist(), (-ids[j]).tolist(), strict=True):
+        heap = heaps[a]
+        if len(heap) < k:
+            heapq.heappush(heap, (s, b))
+        elif (s, b) > heap[0]:
+            heapq.heapreplace(heap, (s, b))
+    best = [(int(qids[a]), -b, s) for a, heap in enumerate(heaps) for s, b in heap]
+    return pd.DataFrame(best, columns=["query_id", "vec_id", "score"])
 
 
 def nearest(
@@ -74,7 +80,7 @@ def nearest(
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(good)
     # merged before the shuffle, so copies of one row are as many rows as there are tasks; then the
     # hash of id and vector spreads what an id holds
-    rows = kept(rows.groupBy("vec_id", "v").agg().withColumns({
+    rows = kept(rows.groupBy("vec_id", "v").agg(F.count("*").alias("copies")).withColumns({
         "dims": F.size("v"), "is_query": F.coalesce(is_query, F.lit(False)), "hash": F.xxhash64("vec_id", "v")}), "vectors")
     n = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
     row_blocks, query_blocks = max(1, -(-n.n // row_block)), max(1, -(-n.q // query_block))
@@ -91,9 +97,7 @@ def nearest(
 
     keys = ["dims", "qb", "rb"]
     best = asks.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(compare, "query_id long, vec_id long, score double")
-    # k rows a query and row block; an array of the k best so far is merged before and after the shuffle
+    # k rows a query and row block; the rank filter keeps k of them per task before the shuffle
     best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from massloom.llm.block_search import nearest
 from massloom.llm.common import table
 from massloom.llm.quality import classify
 from massloom.llm.secret_scan import secret_digest
 from massloom.llm.source_mix import mix_digest
 from massloom.llm.url_filter import filter_urls
+from massloom.llm.warc import archive_round_trip
 
 
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +26,14 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(table(spark, folder, "pages"))
 
 
+def op4_block_search(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_round_trip(table(spark, folder, "pages")).drop("url")
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -32,7 +42,7 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_digest(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_url_filter, op9_quality, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_url_filter, op4_block_search, op6_warc, op9_quality, op10_source_mix)}
 ORACLES: dict[str, str] = {}
 
 
