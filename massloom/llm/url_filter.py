@@ -102,12 +102,12 @@ def calibrate(scores: DataFrame, places: int = 2) -> float:
     good, bad = sum(r[1] for r in rows), sum(r[2] for r in rows)
     if not good or not bad:
         return 0.0
-    best, cut, left, lost = -1.0, 0.0, 0, 0
-    for at, g, b in rows:  # accepting what scores at least ``at``
+    best, cut, left, lost, before = -1.0, 0.0, 0, 0, rows[0][0] - 10**-places
+    for at, g, b in rows:  # accepting what scores at least ``at``; the cut is half way to the bin before
         if (rate := (good - lost) / good + left / bad) > best:
-            best, cut = rate, at
-        left, lost = left + b, lost + g
-    return cut - 0.5 * 10**-places
+            best, cut = rate, (at + before) / 2
+        left, lost, before = left + b, lost + g, at
+    return cut
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, page_id: str = "page_id", url: str = "url") -> DataFrame:

@@ -201,6 +201,12 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, _ = pafs.FileSystem.from_uri(folder)
         columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
+
+        def frame(rows: list[tuple]) -> pd.DataFrame:
+            parts = list(zip(*rows, strict=True)) or [()] * len(columns)
+            kinds = dict.fromkeys(("page_id", "payload_bytes", "refers_to"), "Int64")  # ids must not pass through floats
+            return pd.DataFrame({c: pd.array(p, dtype=kinds.get(c, "object")) for c, p in zip(columns, parts, strict=True)})
+
         for batch in batches:
             for path in batch["path"]:
                 rows = []
@@ -214,9 +220,9 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                         refers = _page(head["WARC-Refers-To"]) if kind == "revisit" else None
                         rows.append((_page(head["WARC-Record-ID"]), size, digest, kind, refers, head.get("WARC-Target-URI")))
                         if len(rows) >= 10_000:
-                            yield pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
+                            yield frame(rows)
                             rows = []
-                yield pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield frame(rows)
 
     n = max(1, manifest.count())
     return manifest.select("path").repartition(n).mapInPandas(
