@@ -52,8 +52,8 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 JOIN = f"""with recursive d as (select row_number() over () as uid, doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
 s as (select distinct uid, array_to_string(w[i:i + 3], ' ') as x from (select uid, w, unnest(range(1, greatest(len(w) - 2, 2))) as i from d where len(w) > 0)),
 n as (select uid, count(*) as n from s group by 1),
-pairs as (select a.uid as a, b.uid as b, count(*) as both from s a join s b on a.x = b.x and a.uid <> b.uid group by 1, 2),
-links as (select a, b from pairs join n na on na.uid = a join n nb on nb.uid = b where 100 * both >= 85 * (na.n + nb.n - both)),
+pairs as (select a.uid as a, b.uid as b, count(*) as k from s a join s b on a.x = b.x and a.uid <> b.uid group by 1, 2),
+links as (select a, b from pairs join n na on na.uid = a join n nb on nb.uid = b where 100 * k >= 85 * (na.n + nb.n - k)),
 reach as (select uid as a, uid as b from d union select r.a, l.b from reach r join links l on l.a = r.b)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id from d left join n using (uid)
   join (select r.a, min(e.doc_id) as component_id from reach r join d e on e.uid = r.b group by 1) c on c.a = d.uid"""
@@ -65,7 +65,7 @@ w as (select source, n, ([3, 1, 2])[r % 3 + 1] as w, 1.5 * sum(n) over () as tot
 t as (select *, (total - coalesce(sum(2.0 * n) over (order by ratio, source nulls last rows between unbounded preceding and 1 preceding), 0))
   / sum(w) over (order by ratio, source nulls last rows between current row and unbounded following) as t from w),
 g as (select source, cast(n as bigint) as source_size, cast(least(2.0 * n, coalesce((select min_by(t, ratio) from t where ratio >= t) * w, 2.0 * n)) as double) as target from t),
-c as (select d.*, source_size, target, sum(size) over (partition by source order by k, uid rows unbounded preceding) as upto from d join g on g.source is not distinct from d.source)
+c as (select d.*, source_size, target, sum(size) over (partition by d.source order by k, uid rows unbounded preceding) as upto from d join g on g.source is not distinct from d.source)
 select doc_id, cast(size as bigint) as size, source_size, target,
   cast(greatest(0, least(upto, floor(target)) - (upto - size)) + greatest(0, least(upto + source_size, floor(target)) - (upto + source_size - size)) as bigint) as taken from c"""
 

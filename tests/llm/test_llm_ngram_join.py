@@ -47,9 +47,9 @@ def found(df):
 
 def edited(rng, text, n):
     w = text.split()
-    for _ in range(n if w else 0):
-        i = rng.randrange(max(len(w), 1))
-        w[i : i + 1] = rng.choice([[], ["new" + str(rng.random())], [w[i], "more"]])
+    for _ in range(n):
+        i = rng.randrange(len(w) or 1)
+        w[i : i + 1] = rng.choice([[], ["new" + str(rng.random())], [*w[i : i + 1], "more"]])
     return " ".join(w) or "gone"
 
 
