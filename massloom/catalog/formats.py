@@ -10,14 +10,23 @@ from massloom.session import scratch_dir
 from massloom.sources import documents as docs, sinks, tables
 
 
-@query("select distinct accession as pxd from {f_project} where raw_file_count > 2")
+@query("select distinct accession as pxd from {f_project}")
 def s01_s02_read_projects(t):
     path = scratch_dir(t.spark, "projects")
-    rows = t("f_project").where("raw_file_count > 2").select(F.col("accession").alias("PXDs"))
+    rows = t("f_project").select("raw_file_count", F.col("accession").alias("PXDs"))
     rows.unionAll(rows).write.csv(path, header=True)
     return tables.read_projects(t.spark, path, by_name=True)
 
 
+@query("select accession as pxd from {f_project} where raw_file_count > 0")
+def s01_first_column(t):
+    """The first column counts, whatever its name; blank cells are no projects."""
+    path = scratch_dir(t.spark, "projects")
+    cell = F.when(F.col("raw_file_count") > 0, F.concat(F.lit(" "), "accession", F.lit(" "))).otherwise("  ")
+    t("f_project").select(cell.alias("anything"), F.lit("PXD1").alias("PXD")).write.csv(path, header=True)
+    return tables.read_projects(t.spark, path).select("pxd")
+
+
 @query("""select filename, count(*) as n, round(sum(hyperscore), 4) as score, round(min(expmass), 6) as low, count(distinct peptide) as peptides from {f_psm} group by 1""")
 def s03_k01_psm_tsv(t):
     path = scratch_dir(t.spark, "psm")
@@ -34,7 +43,8 @@ def s03_mixed_headers(t):
     rows = t("f_psm").select("filename", "scannr", "peptide", "hyperscore")
     rows.where("hyperscore <= 25").write.csv(path, sep="\t", header=True)
     rows.where("hyperscore > 25").select("hyperscore", "peptide", "filename").write.mode("append").csv(path, sep="\t", header=True)
-    return tables.read_psm(t.spark, path, mixed_headers=True).groupBy("filename").agg(
+    rows.limit(1).select(F.lit("no header and no table").alias("value")).write.mode("append").text(path)  # warned and skipped
+    return tables.read_psm(t.spark, path).groupBy("filename").agg(
         F.count("*").alias("n"), F.round(F.sum("hyperscore"), 4).alias("score"), F.count_distinct("peptide").alias("peptides"))
 
 
@@ -99,15 +109,93 @@ def s08_k04_events(t):
     return out.where("ts is not null").groupBy("pxd", "process", "level", "category").agg(F.count("*").alias("n"))
 
 
-@query(f"with p as ({PROTEINS}) select accession, accession || ' protein ' || accession as description, sequence from p")
+@query(f"with p as ({PROTEINS}) select accession, accession || ' Gln->Glu >x ' || accession as description, sequence from p")
 def s10_read_fasta(t):
     path = scratch_dir(t.spark, "fasta")
     cut = F.concat(F.substring("sequence", 1, 30), F.lit("\n"), F.expr("substr(sequence, 31)"))
-    record = F.concat(F.lit(">"), "accession", F.lit(" protein "), "accession", F.lit("\n"), cut)
+    record = F.concat(F.lit(">"), "accession", F.lit(" Gln->Glu >x "), "accession", F.lit("\n"), cut)
     t.sql(PROTEINS).select(record.alias("value")).write.text(path)
     return tables.read_fasta(t.spark, path)
 
 
+@query("""select p_partkey as unimod_id, 'mod ' || p_partkey as mod_name, round(p_retailprice / 7, 6) as mono_mass,
+  case when p_size % 3 = 0 then 'Any N-term' when p_size % 3 = 1 then 'Anywhere' else '' end as position, substr('ACDEFGHIKL', 1 + p_size % 10, 1) as site, p_size % 5 = 0 as hidden from part""")
+def s11_read_unimod(t):
+    path = scratch_dir(t.spark, "unimod")
+    # four files of one document each
+    lines = t.sql("""select p_partkey % 4 as file, 1 as o, concat('<modifications_row record_id="', p_partkey, '" full_name="', case when p_partkey % 2 = 0 then concat('mod ', p_partkey) else '' end, '" code_name="mod ', p_partkey, '" mono_mass="', cast(round(p_retailprice / 7, 6) as decimal(20, 6)), '"/>',
+      '<specificity_row mod_key="', p_partkey, '" one_letter="', substr('ACDEFGHIKL', 1 + p_size % 10, 1), '" position_key="', p_size % 3, '" hidden="', case when p_size % 5 = 0 then '1' else '0' end, '"/>') as value from {part}""")
+    places = t.sql("""select distinct 0 as file, 1 as o, concat('<positions_row record_id="', p_size % 3, '" position="', case when p_size % 3 = 0 then 'Any N-term' else 'Anywhere' end, '"/>') as value from {part} where p_size % 3 < 2""")
+    ends = [lines.select("file", F.lit(o).alias("o"), F.lit(tag).alias("value")).distinct() for o, tag in ((0, "<umod>"), (2, "</umod>"))]
+    rows = lines.unionAll(places).unionAll(ends[0]).unionAll(ends[1])
+    rows.repartition(4, "file").sortWithinPartitions("file", "o").drop("o").write.partitionBy("file").text(path)
+    return rounded(docs.unimod_flat(docs.read_unimod(t.spark, path)).withColumn("unimod_id", F.col("unimod_id").cast("bigint")), 6, "mono_mass")
+
+
+HINT_LINES = """select concat('PXD', cast(100000 + s_suppkey as string)) as pxd, concat('# comment\n\nsource name=\n', s_name, '=a=b\n=no key\nbalance=', cast(s_nationkey as string)) as value from {supplier}"""
+
+
+@query("""with k as (select 'PXD' || (100000 + s_suppkey) as pxd, unnest(['source name', s_name, null, 'balance']) as key, unnest(['', 'a=b', null, cast(s_nationkey as varchar)]) as value,
+  unnest([false, false, true, false]) as bad from supplier) select * from k""")
+def s12_read_hints(t):
+    path = scratch_dir(t.spark, "hints")
+    t.sql(HINT_LINES).write.partitionBy("pxd").text(path)
+    return docs.read_hints(t.spark, path).select("pxd", "key", "value", "bad")
+
+
+@query("""select 'PXD' || (100000 + s_suppkey) as pxd, s_name || chr(10) || s_suppkey as title, 'text' as methods, '' as results from supplier""")
+def s09_read_publication(t):
+    path = scratch_dir(t.spark, "publication")
+    body = t.sql("""select concat('PXD', cast(100000 + s_suppkey as string)) as pxd, to_json(named_struct('documents', array(named_struct('passages', array(
+      named_struct('infons', named_struct('section_type', 'TITLE'), 'text', s_name), named_struct('infons', named_struct('section_type', 'methods'), 'text', 'text'),
+      named_struct('infons', named_struct('section_type', 'TITLE'), 'text', cast(s_suppkey as string))))))) as value from {supplier}""")
+    body.write.partitionBy("pxd").text(path)
+    return docs.section_text(docs.read_publication(t.spark, path)).select("pxd", "title", "methods", "results")
+
+
+@query("""select 'PXD' || (100000 + event_id) as pxd, event_type as process, 'run PXD' || (100000 + event_id) as tag, substr(md5(cast(event_id as varchar)), 1, 2) as prefix,
+  substr(md5(cast(event_id as varchar)), 3, 6) as short_hash from events where event_id % 3 < 2""")
+def s14_read_workflow_log(t):
+    path = scratch_dir(t.spark, "workflow")
+    t.sql("""select concat('Jan-01 [main] INFO - [', substr(md5(cast(event_id as string)), 1, 2), '/', substr(md5(cast(event_id as string)), 3, 6), '] ',
+      case event_id % 3 when 0 then 'Submitted' when 1 then 'Reusing cached' else 'Aborted' end, ' process > ', event_type, ' (run PXD', cast(100000 + event_id as string), ')') as value from {events}""").write.text(path)
+    return tables.read_workflow_log(t.spark, path)
+
+
+@query("""select 'PXD' || (100000 + s_suppkey) as pxd, 'f' || s_suppkey || '.raw' as raw_file, 'Organism' as field, cast(s_nationkey as varchar) as value from supplier""")
+def s16_read_llm_files(t):
+    path = scratch_dir(t.spark, "llm")
+    t.sql("""select concat('PXD', cast(100000 + s_suppkey as string)) as pxd, to_json(map(concat('f', cast(s_suppkey as string), '.raw'), map('Organism', array(cast(s_nationkey as string), 'x')))) as value
+      from {supplier}""").write.partitionBy("pxd").text(path)
+    return docs.read_llm_metadata(t.spark, path).select("pxd", "raw_file", "field", F.col("values")[0].alias("value"))
+
+
+@query("""select 'PXD' || (100000 + s_suppkey) as pxd, 'kind=tech' as kind, 'instrument' as field, s_name as value, 'note' as evidence, 0.5 as overall from supplier""")
+def s17_read_annotations(t):
+    path = scratch_dir(t.spark, "annotations")
+    t.sql("""select concat('PXD', cast(100000 + s_suppkey as string)) as pxd, 'tech' as kind, '0.0' as temp, to_json(named_struct('instrument', array(s_name, 'note'),
+      '_confidence', named_struct('overall', 0.5D))) as value from {supplier}""").write.partitionBy("pxd", "kind", "temp").text(path)
+    out = docs.read_annotations(t.spark, path)
+    return out.select("pxd", "kind", "field", "value", "evidence", F.col("confidence.overall").alias("overall"))
+
+
+@query("select count(*) as n, 0 as misplaced from {f_psm}")
+def w11_sorted_output(t):
+    """Rows out of order within a written file, or before the last of the file before it."""
+    from pyspark.sql import Window
+
+    path = scratch_dir(t.spark, "sorted")
+    sinks.write_tsv(t("f_psm").select("filename", "scannr", "peptide"), path, ["filename", "scannr"])
+    key = F.struct("filename", "scannr")
+    rows = t.spark.read.csv(path, sep="\t", header=True).select(key.alias("key"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    per_file = rows.withColumn("bad", before > F.col("key")).groupBy("file").agg(
+        F.count("*").alias("n"), F.count_if("bad").alias("bad"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+    files = Window.orderBy("file")  # one row per file
+    per_file = per_file.withColumn("bad", F.col("bad") + F.coalesce((F.lag("hi").over(files) > F.col("lo")).cast("int"), F.lit(0)))
+    return per_file.agg(F.sum("n").alias("n"), F.sum("bad").alias("misplaced"))
+
+
 @query("""select 'PXD' || (100000 + c_nationkey) as pxd, '9606' as taxon_id, 85 as threshold, round(c_acctbal, 6) as score, c_name as taxon_name from customer""")
 def s15_read_taxon_scores(t):
     path = scratch_dir(t.spark, "scores")

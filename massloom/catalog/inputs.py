@@ -55,7 +55,7 @@ from {supplier} s join {nation} n on s.s_nationkey = n.n_nationkey
     "f_peptide_taxa": """
 select distinct substr(translate(md5(cast(l_partkey as string)), '0123456789abcdef', 'ACDEFGHIKLMNPQRS'), 1, cast(7 + l_partkey % 12 as int)) as sequence,
        l_suppkey as taxon_id
-from {lineitem} where l_linenumber <= 1 + l_partkey % 2
+from {lineitem}
 """,
     "f_unimod": """
 select * from (values
@@ -66,6 +66,8 @@ select * from (values
   (27, 'Glu->pyro-Glu', -18.010565, 'Any N-term', 'E', false), (28, 'Gln->pyro-Glu', -17.026549, 'Any N-term', 'Q', false),
   (35, 'Oxidation', 15.994915, 'Anywhere', 'M', false), (35, 'Oxidation', 15.994915, 'Anywhere', 'P', true)
 ) as t(unimod_id, mod_name, mono_mass, position, site, hidden)
+union all select cast(1000 + p_partkey as int), concat('mod_', cast(p_partkey as string)), 300 + p_partkey * 0.37, 'Anywhere',
+  substr('ACDEFGHIKLMNPQRS', cast(1 + p_size % 16 as int), 1), false from {part}
 """,
     "f_ptm_summary": """
 select case when p_size % 9 = 0 then concat('Unannotated mass-shift ', cast(p_size as string))
@@ -88,6 +90,8 @@ from {orders}
 """,
     "f_peak": """
 select l_orderkey as spectrum_id, 100 + l_extendedprice / 350 as mz, l_quantity as intensity from {lineitem}
+union all select o_orderkey, 100 + (bin + o_orderkey % 11 % 5 - 1.5) * 0.0002, cast(60 - 12 * (o_orderkey % 11 % 5 - 2) * (o_orderkey % 11 % 5 - 2) as double) from {orders},
+  (values (0, 4, 130638), (0, 4, 135623), (0, 4, 140672), (0, 4, 145657), (0, 4, 150705), (0, 4, 155690), (5, 6, 70553), (5, 6, 75538), (5, 6, 80555), (5, 6, 85572), (5, 6, 225545), (8, 8, 130638), (8, 8, 135623), (8, 8, 140672), (8, 8, 145657), (8, 8, 150705), (8, 8, 155690), (8, 8, 1026072)) as v(lo, hi, bin) where o_custkey % 20 between lo and hi
 """,
     "f_taxid_source": """
 select o_orderkey as file_key, concat('file_', cast(o_orderkey as string), '.raw') as raw_file,
@@ -125,13 +129,8 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        """One of the given tables. A large one that is a single file is spread over the cores,
-        since a file with one row group is read by one task; more files are read as they are."""
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in ("lineitem", "orders", "documents") and len(df.inputFiles()) == 1:
-            df = df.repartition(cores)
-        return df
+        """One of the given tables, as it lies."""
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def __call__(self, name: str) -> DataFrame:
         return self.sql(VIEWS[name])
@@ -158,6 +157,8 @@ def plain_sql(body: str) -> str:
     body = fill(body).strip()
     if not heads:
         return body
+    if body.lower().startswith("with recursive "):
+        return "with recursive " + ",\n".join(heads) + ",\n" + body[15:]
     if body.lower().startswith("with "):
         return "with " + ",\n".join(heads) + ",\n" + body[5:]
     return "with " + ",\n".join(heads) + "\n" + body

@@ -233,17 +233,13 @@ def p16_dia_legacy(t):
 @query("""select filename, scannr as diann_precursor_id, replace(peptide, '[+79.966331]', '(UniMod:999)') as peptide,
   proteins, len(string_split(proteins, ';')) as num_proteins, charge, length(stripped) as peptide_len, rt,
   spectrum_q, spectrum_q as peptide_q, spectrum_q / 2 as protein_q, ms2_intensity, 'DiaNN' as search_engine,
-  row_number() over (partition by filename order by scannr, peptide, proteins, rt, ms2_intensity, charge, spectrum_q) as psm_id
+  row_number() over (partition by filename order by scannr, replace(peptide, '[+79.966331]', '(UniMod:999)'), proteins, rt, ms2_intensity, charge, spectrum_q) as psm_id
 from {f_psm}""")
 def p17_dia_to_psm(t):
     order = ["diann_precursor_id", "peptide", "proteins", "rt", "ms2_intensity", "charge", "spectrum_q"]
-    # the id order is that of the bracket form
-    report = dia_report(t).withColumn("Modified.Sequence", F.replace(
-        F.col("`Modified.Sequence`"), F.lit("(UniMod:999)"), F.lit("(UniMod:21)")))
-    out = ops.dia_to_psm(report, unimod(t), order=order)
-    back = F.replace(F.col("peptide"), F.lit("[+79.966331]"), F.lit("(UniMod:999)"))
+    out = ops.dia_to_psm(dia_report(t), unimod(t), order=order)
     return out.select(
-        "filename", "diann_precursor_id", back.alias("peptide"), "proteins",
+        "filename", "diann_precursor_id", "peptide", "proteins",
         F.col("num_proteins").cast("bigint").alias("num_proteins"), "charge",
         F.col("peptide_len").cast("bigint").alias("peptide_len"), "rt", "spectrum_q", "peptide_q", "protein_q",
         "ms2_intensity", "search_engine", "psm_id")

@@ -16,9 +16,10 @@ def scores(t):
     return denovo.peptide_scores(t("f_denovo").withColumnRenamed("sequence", "peptide"))
 
 
-@query("""select p.sequence, p.taxon_id from {f_peptide_taxa} p where p.sequence in (select sequence from {f_denovo} where score >= 0.9)""")
+@query("""select p.sequence, p.taxon_id from {f_peptide_taxa} p where p.sequence in (select sequence from {f_denovo} where charge = 3 and length(sequence) % 2 = 0)""")
 def j11_lookup_taxa(t):
-    return taxa.lookup_taxa(t("f_denovo").where("score >= 0.9"), t("f_peptide_taxa"))
+    """The lookup is a semi join; the peptides asked for are half of the table's."""
+    return taxa.lookup_taxa(t("f_denovo").where("charge = 3 and length(sequence) % 2 = 0"), t("f_peptide_taxa"))
 
 
 @query("""select p.sequence, p.taxon_id from {f_peptide_taxa} p join {f_lineage} l on l.taxon_id = p.taxon_id
@@ -67,16 +68,16 @@ sel as (select taxon_id from top union select taxon_id from w where unique_taxon
 select p.sequence, p.taxon_id from {{f_peptide_taxa}} p where p.taxon_id in (select taxon_id from sel)""")
 def w04_j06_selected_edges(t):
     weights = taxa.taxon_weights(t("f_peptide_taxa"), scores(t)).withColumn("weight", F.round("weight", 9))
-    return taxa.keep_taxa(t("f_peptide_taxa"), taxa.selected_taxa(weights, 30))
+    return taxa.keep_taxa(t("f_peptide_taxa"), taxa.selected_taxa(weights, 30, few=50))
 
 
 GRAPH = """e as (select sequence, taxon_id from {f_peptide_taxa} where taxon_id <> 1869227),
 many as (select taxon_id from e group by 1 having count(*) > 1), g as (select e.* from e join many using (taxon_id))"""
 
 
-@query(f"with {GRAPH} select sequence, taxon_id from g where sequence in (select sequence from {{f_denovo}} where score >= 0.9)")
+@query(f"with {GRAPH} select sequence, taxon_id from g")
 def f08_graph_taxa(t):
-    return taxa.lookup_taxa(t("f_denovo").where("score >= 0.9"), taxa.graph_taxa(t("f_peptide_taxa")))
+    return taxa.graph_taxa(t("f_peptide_taxa"))
 
 
 SCORED_EDGES = """select p.sequence, p.taxon_id, least(0.999, 0.5 + cast(length(p.sequence) as double) / 40) as score
@@ -101,12 +102,12 @@ def g08_degrees(t):
     return graph.degrees(t("f_peptide_taxa"))
 
 
-@query("""with d as (select sequence, least(count(*), 12) as n from {f_peptide_taxa} group by 1),
+@query("""with d as (select sequence, count(*) as n from {f_peptide_taxa} group by 1),
 k as (select d.*, unnest(range(0, n + 1)) as k from d),
 v as (select sequence, n, k, power(power(0.2::double, k) * (1 - 0.7::double), k) * ((1 - 0.7::double) / greatest(k, 1)) as a from k)
 select sequence, n, k, round(greatest(a / (n + 1), 1e-30), 12) as absent, round(greatest((1 - a) / (n + 1), 1e-30), 12) as present from v""")
 def g04_noisy_or(t):
-    degree = t("f_peptide_taxa").groupBy("sequence").agg(F.least(F.count("*"), F.lit(12)).cast("int").alias("n"))
+    degree = t("f_peptide_taxa").groupBy("sequence").agg(F.count("*").cast("int").alias("n"))
     table = graph.noisy_or(F.col("n"), F.lit(0.8), F.lit(0.7))
     out = degree.withColumn("table", table).select("sequence", "n", F.posexplode("table").alias("k", "e"))
     out = out.select("sequence", "n", "k", "e.absent", "e.present")
@@ -124,7 +125,22 @@ def g03_components(t):
     return graph.components(t.sql(SPARSE))
 
 
-@query()
+REACH = """links as (select distinct a.taxon_id as a, b.taxon_id as b from e a join e b on a.sequence = b.sequence),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+comp as (select a as taxon_id, min(b) as component from reach group by 1),
+nodes as (select component, 'taxon' as kind, cast(taxon_id as varchar) as node from comp union select component, 'peptide', sequence from e join comp using (taxon_id)),
+big as (select component, count(*) as n_nodes from nodes group by 1 having count(*) > 2)
+select component, kind, node, n_nodes from nodes join big using (component)"""
+# chains of up to fifty taxa, each sharing a peptide with the next
+CHAINS = """select concat('p', cast(floor(o_orderkey / 50) as int), '_', cast(o_orderkey % 50 + i as int)) as sequence, o_orderkey as taxon_id from {orders}, (values (0), (1)) as v(i)"""
+
+
+@query(f"with recursive e as ({CHAINS}), {REACH}")
+def g03_components_chains(t):
+    return graph.components(t.sql(CHAINS))
+
+
+@query(f"with recursive e as (select distinct sequence, taxon_id from {{f_peptide_taxa}}), {REACH}")
 def g03_components_dense(t):
     return graph.components(t("f_peptide_taxa"))
 
@@ -145,14 +161,26 @@ def j14_class_overlap(t):
     return rounded(taxa.class_overlap(t.sql(LINKS), 0.9), 9, "overlap")
 
 
-@query()
+# one taxon after the other, heaviest first: it is a head unless a head so far absorbs it
+@query(f"""with recursive e as ({LINKS}), n as (select taxon_id, count(*) as n from e group by 1),
+sh as (select a.taxon_id as m, b.taxon_id as h, count(*) as c from e a join e b on a.sequence = b.sequence and a.taxon_id <> b.taxon_id group by 1, 2),
+ov as (select m, h from sh join n on n.taxon_id = m where c / n.n > 0.9),
+ord as (select taxon_id, row_number() over (order by n desc, taxon_id) as k from n),
+cov as (select k, taxon_id, coalesce(list(h) filter (where h is not null), []) as hs from ord left join ov on m = taxon_id group by 1, 2),
+r as (select cast(0 as bigint) as k, cast([] as bigint[]) as heads union all
+  select r.k + 1, case when list_has_any(r.heads, cov.hs) then r.heads else list_append(r.heads, cov.taxon_id) end from r join cov on cov.k = r.k + 1),
+heads as (select unnest(heads) as head from r where k = (select count(*) from ord))
+select head, head as member from heads union all select head, m from heads join ov on h = head""")
 def g07_cluster_taxa(t):
     edges = t.sql(LINKS)
     weights = edges.groupBy("taxon_id").agg(F.count("*").cast("double").alias("weight"))
     return taxa.cluster_taxa(edges, weights, 0.9)
 
 
-@query()
+@query("""with d as (select sequence, count(*) as n from {f_peptide_taxa} group by 1),
+k as (select sequence, -ln((cast(('0x' || left(md5('1234/' || sequence), 13)) as bigint) + 0.5) / 4503599627370496.0::double) * n as key from d),
+s as (select sequence from k order by key, sequence limit 500)
+select p.sequence, p.taxon_id from {f_peptide_taxa} p join s using (sequence)""")
 def w09_weighted_sample(t):
     return taxa.sample_peptides(t("f_peptide_taxa"), 500)
 
@@ -206,9 +234,28 @@ def scored_edges(t):
     return t.sql(SCORED_EDGES)
 
 
+# a tree of three taxa and four peptides for each supplier; SQL adds up all eight states of the taxa
+FOREST = """select concat('p', cast(s_suppkey as string), '_', cast(j as string)) as sequence, s_suppkey * 10 + i as taxon_id,
+  0.3 + cast((s_suppkey * 7 + j * 3) % 10 as double) / 15 as score from {supplier}, (values (0, 0), (0, 1), (1, 1), (1, 2), (2, 2), (2, 3)) as v(i, j)"""
+
+
+@query(f"""with e as ({FOREST}), g as (select * from (select unnest([0.7::double, 0.8::double, 0.9::double, 0.99::double]) as alpha) a,
+    (select unnest([0.6::double, 0.7::double, 0.8::double, 0.9::double]) as beta) b, (select unnest([0.1::double, 0.3::double, 0.5::double]) as prior) p),
+st as (select s_suppkey, unnest(range(0, 8)) as st from supplier),
+k as (select s_suppkey, st, sequence, any_value(score) as score, sum((st >> (taxon_id % 10)) & 1) as k from st join e on taxon_id // 10 = s_suppkey group by 1, 2, 3),
+f as (select s_suppkey, st, alpha, beta, prior, power(power(1 - alpha, k) * (1 - beta), k) * (1 - beta) / greatest(k, 1) as absent, score from k, g),
+w as (select s_suppkey, st, alpha, beta, prior, product((1 - score) * absent + score * (1 - absent)) * power(prior, bit_count(st)) * power(1 - prior, 3 - bit_count(st)) as w from f group by s_suppkey, st, alpha, beta, prior),
+i as (select unnest([0, 1, 2]) as i)
+select s_suppkey * 10 + i as taxon_id, alpha, beta, prior, round(sum(case when (st >> i) & 1 = 1 then w else 0 end) / sum(w), 6) as score, true as converged from w, i group by 1, 2, 3, 4""")
+def g05_posteriors_forest(t):
+    out = graph.taxon_posteriors(t.sql(FOREST), tol=1e-9, damping=(0.0,))
+    out = out.join(graph.grid_params(t.spark), "param_id").select("taxon_id", "alpha", "beta", "prior", "score", "converged")
+    return rounded(out, 6, "score")
+
+
 @query()
 def g05_taxon_posteriors(t):
-    out = graph.taxon_posteriors(scored_edges(t), [0.7, 0.9], [0.6], [0.1], max_iter=8)
+    out = graph.taxon_posteriors(scored_edges(t), [0.7, 0.9], [0.6], [0.1])
     return rounded(out, 6, "score", "residual")
 
 
@@ -218,4 +265,4 @@ def g06_infer_taxa(t):
     psms = edges.groupBy(F.col("sequence").alias("peptide")).agg(F.count("*").alias("psms"), F.max("score").alias("score"))
     weights = taxa.taxon_weights(edges.select("sequence", "taxon_id"), psms)
     names = edges.select("taxon_id").distinct().withColumn("taxon_name", F.concat(F.lit("taxon "), "taxon_id"))
-    return plan.infer_taxa(edges, weights, names, [0.7, 0.9], [0.6], [0.1], max_iter=6)
+    return plan.infer_taxa(edges, weights, names, [0.7, 0.9], [0.6], [0.1])

@@ -86,10 +86,33 @@ def j12_pair_truth(t):
     return ops.pair_truth(t.sql(PAIRS), t.sql(PRED))
 
 
-@query()
+MASSES = "map {" + ", ".join(f"'{a}': {m!r}::double" for a, m in rules.RESIDUE_MASS.items()) + "}"
+# running sums of both sequences of each differing pair; two residues meet where the sums are close
+MEETINGS = f"""tr as ({PAIRS}), pr as ({PRED}), al as (select tr.spectrum_id, truth, charge, pred from tr left join pr on pr.spectrum_id = tr.spectrum_id),
+df as (select distinct truth, pred, length(truth) as na, length(pred) as nb, greatest(length(truth), length(pred)) as n from al where truth <> pred),
+la as (select truth, i, {MASSES}[truth[i]] as m from (select distinct truth, unnest(range(1, length(truth) + 1)) as i from df)),
+lb as (select pred, i, {MASSES}[pred[i]] as m from (select distinct pred, unnest(range(1, length(pred) + 1)) as i from df)),
+a as (select truth, i, m, sum(m) over (partition by truth order by i) as f, sum(m) over (partition by truth order by i desc) as b from la),
+b as (select pred, i, m, sum(m) over (partition by pred order by i) as f, sum(m) over (partition by pred order by i desc) as b from lb),
+fw as (select truth, pred, greatest(a.i, b.i) as p, abs(a.m - b.m) < 0.1 as same from df join a using (truth) join b using (pred) where abs(a.f - b.f) < 0.5),
+bw as (select truth, pred, a.i, b.i as j, na, nb, n, abs(a.m - b.m) < 0.1 as same from df join a using (truth) join b using (pred) where abs(a.b - b.b) < 0.5),
+hits as (select truth, pred, p from fw where same),
+stop as (select truth, pred, n, (select min(k) from (select unnest(range(1, df.n + 1)) as k) where k not in (select p from hits h where h.truth = df.truth and h.pred = df.pred)) as stop from df),
+over_ as (select bw.truth, bw.pred, greatest(i, j) as p, same from bw join stop using (truth, pred) where i >= stop and j >= stop),
+best as (select truth, pred, p from hits where (truth, pred, p) not in (select truth, pred, p from over_) union select truth, pred, p from over_ where same),
+modes as (select 'forward' as mode, truth, pred, count(*) as k from hits group by all union all select 'best', truth, pred, count(*) from best group by all
+  union all select 'backward', truth, pred, count(*) from bw where same group by all),
+rows_ as (select m.mode, al.*, case when truth = pred then length(truth) else coalesce((select k from modes x where x.mode = m.mode and x.truth = al.truth and x.pred = al.pred), 0) end as k
+  from al, (select unnest(['best', 'forward', 'backward']) as mode) m)"""
+
+
+@query(f"""with {MEETINGS} select mode, charge, round(sum(k) / (sum(coalesce(length(pred), 0)) + 1e-8::double), 9) as aa_precision,
+  round(sum(k) / (sum(length(truth)) + 1e-8::double), 9) as aa_recall,
+  round(count(*) filter (where pred is not null and k = greatest(length(truth), length(pred))) / (count(*) + 1e-8::double), 9) as pep_precision from rows_ group by 1, 2""")
 def a16_x02_aa_match_metrics(t):
     pairs = ops.pair_truth(t.sql(PAIRS), t.sql(PRED))
-    return rounded(ops.aa_match_metrics(pairs, ["charge"]), 9, "aa_precision", "aa_recall", "pep_precision")
+    modes = [ops.aa_match_metrics(pairs, ["charge"], m).withColumn("mode", F.lit(m)) for m in ("best", "forward", "backward")]
+    return rounded(modes[0].unionByName(modes[1]).unionByName(modes[2]), 9, "aa_precision", "aa_recall", "pep_precision")
 
 
 @query("""select run, round(count(*) filter (where score > 0.7 and charge = 2) / count(*) filter (where score > 0.7), 9) as precision,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from massloom.catalog.registry import query, rounded
-from massloom.functions import rules, text as tx
+from massloom.functions import text as tx
 from massloom.operators import documents as docs, evidence as ev
 from massloom.sources.tables import taxid_query
 
@@ -151,19 +151,15 @@ PROTOCOL = """select doc_id, concat(text, case doc_id % 6 when 0 then ' Reduced
   when 1 then 'phosphorylation and acetyl at the N-term were variable' else '' end as data_protocol from {documents}"""
 
 
-def _first(patterns: list[tuple[str, str]], column: str) -> str:
-    """The ordered patterns as a SQL case; the pattern text is that of the rules."""
-    cases = " ".join(f"when regexp_matches({column}, '(?i){p}') then '{v}'" for p, v in patterns)
-    return f"case {cases} end"
-
-
-@query(f"""with p as (select *, sample_protocol || ' ' || data_protocol as a, data_protocol || ' ' || sample_protocol as b from ({PROTOCOL}))
-select doc_id, coalesce({_first(rules.CLEAVAGE_PATTERNS, 'a')}, 'not available') as cleavage_agent, {_first(rules.REDUCTION_PATTERNS, 'sample_protocol')} as reduction_reagent,
-  {_first(rules.ALKYLATION_PATTERNS, 'sample_protocol')} as alkylation_reagent,
+@query(f"""select doc_id, case doc_id % 6 when 0 then 'NT=Trypsin;AC=MS:1001251' when 1 then 'NT=Lys-C;AC=MS:1001309' when 2 then 'NT=Chymotrypsin;AC=MS:1001306'
+    when 3 then 'NT=Asp-N;AC=MS:1001303' else 'not available' end as cleavage_agent,
+  case doc_id % 6 when 0 then 'dithiothreitol' when 1 then 'tris(2-carboxyethyl)phosphine' when 2 then 'beta-mercaptoethanol' end as reduction_reagent,
+  case doc_id % 6 when 0 then 'iodoacetamide' when 1 then 'chloroacetamide' end as alkylation_reagent,
   case when doc_id % 4 = 0 then '10 ppm' end as precursor_tolerance, case when doc_id % 4 = 0 then '0.02 Da' end as fragment_tolerance,
   case when doc_id % 6 in (1, 2) then '350m/z-1600m/z' end as scan_range,
   case doc_id % 6 when 1 then '27 NCE' when 2 then '35 eV' when 3 then '30 NCE' end as collision_energy,
-  concat_ws(',', {', '.join(f"case when regexp_matches(b, '(?i){p}') then '{u}' end" for p, u, *_ in rules.PROTOCOL_MODS)}) as mods from p""")
+  concat_ws(',', case when doc_id % 4 = 0 then '4' end, case when doc_id % 6 = 3 then '730' end, case when doc_id % 4 = 0 then '35' end,
+    case when doc_id % 4 = 1 then '1,21' end) as mods from ({PROTOCOL})""")
 def p22_protocol_facts(t):
     out = docs.protocol_facts(t.sql(PROTOCOL))
     mods = F.array_join(F.transform("protocol_mods", lambda m: m["unimod_id"].cast("string")), ",")
@@ -243,10 +239,9 @@ def f11_next_batch(t):
     return docs.next_batch(t("f_project")).select("accession")
 
 
-@query("""with a as (select conv_id, first(text order by turn desc) as text from conversations where role = 'assistant' group by 1)
-select conv_id, case conv_id % 4 when 3 then null else cast(length(text) as varchar) end as size from a""")
+@query("""select conv_id, turn, case conv_id % 4 when 3 then null else cast(length(text) as varchar) end as size from conversations where role = 'assistant'""")
 def p26_llm_json(t):
-    last = t.table("conversations").where("role = 'assistant'").groupBy("conv_id").agg(F.max_by("text", "turn").alias("text"))
+    answers = t.table("conversations").where("role = 'assistant'")
     size = F.concat(F.lit('{"size": "'), F.length("text"), F.lit('"}'))
     answer = (
         F.when(F.col("conv_id") % 4 == 0, size)
@@ -254,7 +249,7 @@ def p26_llm_json(t):
         .when(F.col("conv_id") % 4 == 2, F.concat("text", F.lit("\n```\n"), size, F.lit("\n```")))
         .otherwise(F.col("text"))
     )
-    return last.select("conv_id", tx.llm_json(answer, "size STRING")["size"].alias("size"))
+    return answers.select("conv_id", "turn", tx.llm_json(answer, "size STRING")["size"].alias("size"))
 
 
 ANNOTATED = """select concat('PXD', cast(d.doc_id as string)) as pxd, kind, field, value, cast(quality as double) as evidence_score, 1.0 - toxic / 2.0 as format_score
@@ -301,12 +296,12 @@ PASSAGES = """select concat('PXD', cast(doc_id as string)) as pxd, array(named_s
 
 @query("""with p as (select doc_id, unnest(string_split(text, chr(10))) as p, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i from documents)
 select 'PXD' || doc_id as pxd, coalesce(string_agg(p, chr(10) order by i) filter (where i % 4 = 0), '') as title,
-  coalesce(string_agg(p, chr(10) order by i) filter (where i % 4 = 1), '') as abstract, '' as results,
+  coalesce(string_agg(p, chr(10) order by i) filter (where i % 4 = 1), '') as abstract, '' as intro, '' as results, '' as discuss, '' as fig, '' as ref, '' as suppl,
   coalesce(string_agg(p, chr(10) order by i) filter (where i % 4 = 3), '') as methods from p group by doc_id""")
 def s09_a27_section_text(t):
     from massloom.sources.documents import section_text
 
-    return section_text(t.sql(PASSAGES), rules.SHORT_SECTIONS)
+    return section_text(t.sql(PASSAGES))
 
 
 def sample_tables(t):

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from massloom.catalog.registry import query, rounded
 from massloom.functions import rules
 from massloom.operators import runs
+from massloom.session import scratch_dir
+from massloom.sources import sinks
 from massloom.sources.tables import sample_spectra
 
 STRINGS = [
@@ -92,8 +94,7 @@ comp as (select filename, frag_type, bin, count(*) as n_peaks, sum(i) as intensi
 def arrays(t):
     """Spectra with their peaks as arrays; an order has a handful of lines."""
     return t.sql("""select s.*, p.mz, p.intensity from {f_spectrum} s join (
-      select spectrum_id, collect_list(mz) as mz, collect_list(intensity) as intensity from (
-        select l_orderkey as spectrum_id, 100 + l_extendedprice / 350 as mz, l_quantity as intensity from {lineitem})
+      select spectrum_id, collect_list(mz) as mz, collect_list(intensity) as intensity from {f_peak}
       group by spectrum_id) p on p.spectrum_id = s.spectrum_id""").drop("p.spectrum_id")
 
 
@@ -124,36 +125,52 @@ cum as (select *, sum(n) over w as cn, sum(i) over w as ci from rings
 gain as (select *, lag(cn) over (partition by filename, frag_type, region, label, mode_bin order by d) as pn from cum),
 stops as (select * from gain where d > 0 and (cn < 1.02 * pn or d = 16)),
 peaks as (select filename, frag_type, region, label, mode_bin, min(d) as extent, cast(first(cn order by d) as bigint) as n_spectra,
-  first(ci order by d) as intensity, first(cn order by d) > 1 as is_found from stops group by 1, 2, 3, 4, 5)"""
+  first(ci order by d) as intensity, first(cn order by d) > 100 as is_found from stops group by 1, 2, 3, 4, 5)"""
 
 
 @query(f"with {PEAKS} select * from peaks")
 def a13_w12_reporter_peaks(t):
-    return runs.reporter_peaks(runs.composite_from_peaks(t("f_spectrum"), t("f_peak")), min_spectra=1)
+    return runs.reporter_peaks(runs.composite_from_peaks(t("f_spectrum"), t("f_peak")))
 
 
-@query(f"""with {PEAKS}, ms2 as (select filename, greatest(count(*) / 100, 1) as n_ms2_spectra from {{f_spectrum}} where ms_level = 2 group by 1),
+# a weighted parabola through the logarithms, by its normal equations
+FITS = f"""{PEAKS},
+pts as (select p.filename, p.frag_type, p.region, p.mode_bin, p.x, c.intensity as w from (select *, unnest(range(-2 * extent, 2 * extent)) as x from peaks where is_found) p
+  join comp c on c.filename = p.filename and c.frag_type = p.frag_type and c.bin = p.mode_bin + p.x where c.intensity > 0),
+mom as (select filename, frag_type, region, mode_bin, sum(w) as s0, sum(w * x) as s1, sum(w * x * x) as s2, sum(w * x * x * x) as s3, sum(w * x * x * x * x) as s4,
+  sum(w * ln(w)) as t0, sum(w * x * ln(w)) as t1, sum(w * x * x * ln(w)) as t2 from pts group by 1, 2, 3, 4),
+sol as (select *, nullif(s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2), 0) as det,
+  t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2) as da, s0 * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2) as db,
+  s0 * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2) as dc from mom),
+fits as (select filename, frag_type, region, mode_bin, da / det as a, db / det as b, dc / det as c, case when frag_type = 'HR_HCD' then 0.0002::double else 0.05::double end as width from sol)"""
+
+
+@query(f"""with {FITS}, pk as (select p.* exclude (is_found), p.is_found and coalesce(f.c < 0, false) as is_found from peaks p
+  left join fits f on f.filename = p.filename and f.frag_type = p.frag_type and f.region = p.region),
+ms2 as (select filename, count(*) as n_ms2_spectra from {{f_spectrum}} where ms_level = 2 group by 1),
 sc as (select filename, frag_type,
   sum(case when label = 'TMT' and is_found then n_spectra / n_ms2_spectra else 0 end) as tmt,
   sum(case when label = 'TMTpro' and is_found then n_spectra / n_ms2_spectra else 0 end) as tmtpro,
   sum(case when label = 'iTRAQ' and is_found then n_spectra / n_ms2_spectra else 0 end) as itraq,
   sum(case when label = 'iTRAQ4' and is_found then n_spectra / n_ms2_spectra else 0 end) as itraq4,
   sum(case when label = 'iTRAQ8' and is_found then n_spectra / n_ms2_spectra else 0 end) as itraq8
-  from peaks join ms2 using (filename) group by 1, 2)
+  from pk join ms2 using (filename) group by 1, 2)
 select filename, frag_type, round(tmt, 6) as tmt, round(tmtpro, 6) as tmtpro, round(itraq, 6) as itraq, round(itraq4, 6) as itraq4, round(itraq8, 6) as itraq8,
   case when tmt > itraq then case when tmt > 2 then case when tmtpro > 0.7 then 'TMTpro' else 'TMT' end when tmt < 1 then 'none' else 'ambiguous' end
   when itraq > 1 then case when itraq4 > itraq8 then 'iTRAQ4' else 'iTRAQ8' end when itraq < 0.5 then 'none' else 'ambiguous' end as call from sc""")
 def a13_label_calls(t):
-    ms2 = t("f_spectrum").where("ms_level = 2").groupBy("filename").agg(
-        F.greatest(F.count("*") / 100, F.lit(1)).alias("n_ms2_spectra"))
-    peaks = runs.reporter_peaks(runs.composite_from_peaks(t("f_spectrum"), t("f_peak")), min_spectra=1)
+    ms2 = t("f_spectrum").where("ms_level = 2").groupBy("filename").agg(F.count("*").alias("n_ms2_spectra"))
+    comp = runs.composite_from_peaks(t("f_spectrum"), t("f_peak"))
+    peaks = runs.fitted_peaks(comp, runs.reporter_peaks(comp))
     return rounded(runs.label_calls(peaks, ms2), 6, "tmt", "tmtpro", "itraq", "itraq4", "itraq8")
 
 
-@query()
+@query(f"""with {FITS} select filename, frag_type, region, mode_bin, case when c < 0 then round(100 + (mode_bin - b / (2 * c)) * width, 6) end as fit_mz,
+  case when c < 0 then round(sqrt(-1 / (2 * c)) * width, 7) end as sigma, case when c < 0 then round(exp(a - b * b / (4 * c)), 2) end as height from fits""")
 def x04_fit_peak(t):
     comp = runs.composite(arrays(t))
-    return runs.fit_peak(comp, runs.reporter_peaks(comp, min_spectra=1))
+    fits = runs.fit_peak(comp, runs.reporter_peaks(comp))
+    return rounded(rounded(rounded(fits, 6, "fit_mz"), 7, "sigma"), 2, "height")
 
 
 CV = """select filename, ord, accession from (select concat('run_', cast(o_custkey % 60 as string)) as filename, o_orderkey as ord,
@@ -240,7 +257,10 @@ select filename, '*' as scan, lo as frag_tag from t where lo = hi
 union all select m.filename, cast(m.spectrum_id as varchar), m.frag_tag from m join t on t.filename = m.filename and lo <> hi""")
 def k05_fragmentation_types(t):
     rows = t("f_spectrum").withColumn("filename", F.when(F.col("spectrum_id") % 11 == 0, "run_mixed.mzML").otherwise(F.col("filename")))
-    return runs.fragmentation_types(rows)
+    path = scratch_dir(t.spark, "fragmentation")
+    sinks.write_fragmentation_types(runs.fragmentation_types(rows), path)
+    cells = F.split("value", "\t")
+    return t.spark.read.text(path).select("filename", cells[0].alias("scan"), cells[1].alias("frag_tag"))
 
 
 @query("""select filename, spectrum_id from (select filename, spectrum_id, row_number() over (partition by filename order by spectrum_id) as rn

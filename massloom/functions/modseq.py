@@ -7,18 +7,23 @@ from pyspark.sql import functions as F
 
 from massloom.functions.text import blank_to_null
 
-_MASS = r"\[\s*([+-]?(?:\d+\.?\d*|\d*\.\d+))\s*\]"
+_BRACKET = r"\[([^\]]*)\]"
 _ID = r"\(UniMod:(\d+)\)"
 _LEAD = r"^(?:\[[^\]]*\]|\(UniMod:\d+\))"
 _TOKEN = r"[A-Z](?:\[[^\]]*\]|\(UniMod:\d+\))?"
 
 
+def _mass(text: Column) -> Column:
+    """A bracket's text as a number; names, exponents and special values are not masses."""
+    return F.when(~text.rlike("[A-Za-z]"), F.trim(text).try_cast("double"))
+
+
 def _event(pos: Column, residue: Column, term: Column, text: Column, anchor: str = "") -> Column:
     return F.struct(
         pos.cast("int").alias("pos"),
         residue.cast("string").alias("residue"),
         term.cast("string").alias("term"),
-        blank_to_null(F.regexp_extract(text, anchor + _MASS, 1)).try_cast("double").alias("mass"),
+        _mass(F.regexp_extract(text, anchor + _BRACKET, 1)).alias("mass"),
         blank_to_null(F.regexp_extract(text, anchor + _ID, 1)).try_cast("int").alias("unimod_id"),
     )
 
@@ -48,6 +53,12 @@ def mod_events(col: Column, compat: bool = False) -> Column:
     return F.filter(events, lambda e: e["mass"].isNotNull() | e["unimod_id"].isNotNull())
 
 
+def unimod_ids(col: Column) -> Column:
+    """The distinct ids that a sequence names, as integers."""
+    ids = F.regexp_extract_all(col, F.lit(_ID), F.lit(1))
+    return F.array_distinct(F.array_compact(F.transform(ids, lambda i: i.try_cast("int"))))
+
+
 def unimod_to_mass(col: Column, masses: Column) -> Column:
     """Write ``(UniMod:n)`` as ``[+m.mmmmmm]``; ``masses`` maps ids to masses."""
     ids = F.array_distinct(F.regexp_extract_all(col, F.lit(_ID), F.lit(1)))

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from massloom.functions import mass as mz, rules
+from massloom.functions.text import let
 from massloom.operators.ranges import interval_join
 from massloom.operators.ranking import top_n
 
@@ -137,68 +135,83 @@ def pair_truth(truth: DataFrame, pred: DataFrame, key: str = "spectrum_id") -> D
     return truth.join(pred, key, "left")
 
 
-_SPLIT = re.compile(r"(?<=.)(?=[A-Z])")
-_DELTA = re.compile(r"\[?([+-]\d+\.?\d*)\]?")
-
-
-def _token_masses(sequence: str) -> np.ndarray:
-    out = []
-    for token in _SPLIT.split(sequence):
-        delta = _DELTA.search(token)
-        out.append(rules.RESIDUE_MASS.get(token[:1], 0.0) + (float(delta.group(1)) if delta else 0.0))
-    return np.array(out)
-
-
-def _aligned(a: np.ndarray, b: np.ndarray, cum_tol: float, ind_tol: float, steps: int) -> list[tuple[int, int, bool]]:
-    """Walk two mass lists side by side; yields the positions whose running masses meet."""
-    hits, i, j, left, right = [], 0, 0, 0.0, 0.0
-    while i < len(a) - steps and j < len(b) - steps:
-        x, y = left + a[i], right + b[j]
-        if abs(x - y) < cum_tol:
-            hits.append((i, j, abs(a[i] - b[j]) < ind_tol))
-            i, j, left, right = i + 1, j + 1, x, y
-        elif y > x:
-            i, left = i + 1, x
-        else:
-            j, right = j + 1, y
-    return hits
-
-
-def _mask(first: str | None, second: str | None, mode: str, cum_tol: float, ind_tol: float) -> np.ndarray:
-    if first is None or second is None:
-        present = first if second is None else second
-        return np.zeros(0 if present is None else len(_token_masses(present)), bool)
-    a, b = _token_masses(first), _token_masses(second)
-    mask = np.zeros(max(len(a), len(b)), bool)
-    if mode == "backward":
-        for i, j, same in _aligned(a[::-1], b[::-1], cum_tol, ind_tol, 0):
-            mask[max(i, j)] = same
-        return mask[::-1]
-    for i, j, same in _aligned(a, b, cum_tol, ind_tol, 0):
-        mask[max(i, j)] = same
-    if mode == "best" and not mask.all():
-        stop = int(np.argmin(mask))
-        for i, j, same in _aligned(a[::-1], b[::-1], cum_tol, ind_tol, stop):
-            mask[max(len(a) - 1 - i, len(b) - 1 - j)] = same
-    return mask
-
-
-def aa_mask(mode: str = "best", cum_tol: float = 0.5, ind_tol: float = 0.1):
-    """Arrow function of two sequences: array of flags, one per aligned residue."""
+def residue_masses(sequence: Column) -> Column:
+    """Mass of each residue with its tag: a new residue begins at each capital, and the first signed
+    number after it is added. Letters without a mass weigh nothing."""
+    known = F.create_map(*[F.lit(x) for pair in rules.RESIDUE_MASS.items() for x in pair])
+
+    def mass(token: Column) -> Column:
+        delta = F.regexp_extract(token, "[+-][0-9.]+", 0).try_cast("double")
+        return F.coalesce(F.try_element_at(known, F.left(token, F.lit(1))), F.lit(0.0)) + F.coalesce(delta, F.lit(0.0))
+
+    return F.transform(F.split(sequence, "(?<=.)(?=[A-Z])"), mass)
+
+
+def _places(masses: Column, backward: bool) -> Column:
+    """Each residue's place, own mass, and running sum up to it, from the start or from the end."""
+
+    def total(i: Column) -> Column:
+        part = F.slice(masses, i + 1, F.size(masses)) if backward else F.slice(masses, F.lit(1), i + 1)
+        return F.aggregate(part, F.lit(0.0), lambda acc, x: acc + x)
+
+    return F.transform(masses, lambda m, i: F.struct(i.alias("at"), m.alias("own"), total(i).alias("sum")))
+
+
+def _meetings(a: Column, b: Column, backward: bool, cum_tol: float, ind_tol: float) -> Column:
+    """(i, j, same) of the residues whose running sums are close."""
+    pair = lambda x, y: F.struct(x["at"].alias("i"), y["at"].alias("j"), (F.abs(x["own"] - y["own"]) < ind_tol).alias("same"))
+    return let(_places(b, backward), lambda right: F.flatten(F.transform(
+        _places(a, backward),
+        lambda x: F.transform(F.filter(right, lambda y: F.abs(x["sum"] - y["sum"]) < cum_tol), lambda y: pair(x, y)))))
+
+
+def _flags(found: Column, n: Column, place: Callable[[Column], Column]) -> Column:
+    """Of each of ``n`` places, whether its first meeting is a match; NULL without one."""
+    return let(found, lambda met: F.transform(
+        F.sequence(F.lit(0), n - 1), lambda p: F.get(F.filter(met, lambda m: place(m) == p), F.lit(0))["same"]))
+
+
+def aa_mask(truth: Column, pred: Column, mode: str = "best", cum_tol: float = 0.5, ind_tol: float = 0.1) -> Column:
+    """Flags of two sequences' residues, one per place of the longer one.
+
+    Two residues meet where the running sums up to them differ by less than ``cum_tol``; the place
+    is the larger of theirs, and it is a match if their own masses differ by less than ``ind_tol``.
+    Sums run from the start (``forward``) or, with places counted from the end, from the end
+    (``backward``). ``best`` runs forward and, beyond the first place without a match, lets
+    meetings from the end decide. As long as every residue weighs more than twice ``cum_tol``, a
+    residue meets one other at most; of residues of no or negative mass, the first meeting counts.
+    """
     if mode not in ("best", "forward", "backward"):
         raise ValueError("mode must be best, forward or backward")
+    later = lambda m: F.greatest(m["i"], m["j"])
+
+    def align(ab: Column) -> Column:
+        a, b = ab["a"], ab["b"]
+        n = F.greatest(F.size(a), F.size(b))
+        off = lambda flags: F.transform(flags, lambda f: F.coalesce(f, F.lit(False)))
+        back = _meetings(a, b, True, cum_tol, ind_tol)
+        if mode == "backward":
+            # places count from each sequence's end
+            return off(_flags(back, n, lambda m: n - 1 - F.greatest(F.size(a) - 1 - m["i"], F.size(b) - 1 - m["j"])))
+        forward = off(_flags(_meetings(a, b, False, cum_tol, ind_tol), n, later))
+        if mode == "forward":
+            return forward
+
+        def mend(flags: Column) -> Column:
+            stop = F.array_position(flags, False) - 1
+            beyond = F.filter(back, lambda m: (m["i"] >= stop) & (m["j"] >= stop))
+            return F.when(stop < 0, flags).otherwise(F.zip_with(_flags(beyond, n, later), flags, lambda x, y: F.coalesce(x, y)))
 
-    @F.pandas_udf("array<boolean>")
-    def mask(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([_mask(x, y, mode, cum_tol, ind_tol).tolist() for x, y in zip(a, b)])
+        return let(forward, mend)
 
-    return mask
+    return let(F.struct(residue_masses(truth).alias("a"), residue_masses(pred).alias("b")), align)
 
 
 def aa_matches(pairs: DataFrame, mode: str = "best") -> DataFrame:
     """Adds ``aa_match``, ``n_true``, ``n_pred`` and ``pep_match`` to rows of (truth, pred).
 
-    Equal sequences match in full and absent ones not at all, so only the rest go to Python.
+    Equal sequences match in full and absent ones not at all; the rest are aligned once per
+    distinct pair.
     """
     tokens = lambda c: F.coalesce(
         F.length(F.regexp_replace(F.col(c), r"(?<=.)(?:[^A-Z])", "")), F.lit(0)
@@ -206,7 +219,7 @@ def aa_matches(pairs: DataFrame, mode: str = "best") -> DataFrame:
     same = F.col("truth") == F.col("pred")
     both = F.col("truth").isNotNull() & F.col("pred").isNotNull()
     differ = pairs.where(both & ~same).select("truth", "pred").distinct().withColumn(
-        "aa_match", aa_mask(mode)(F.col("truth"), F.col("pred"))
+        "aa_match", aa_mask(F.col("truth"), F.col("pred"), mode)
     )
     n = F.greatest(tokens("truth"), tokens("pred"))
     joined = pairs.join(differ, ["truth", "pred"], "left")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from massloom.functions import modseq, protocol, rules, text as tx
 from massloom.operators.ranking import numbered, top_n
 from massloom.schemas import known
+from massloom.session import checkpoint
 
 
 def has_keyword(df: DataFrame, words: Sequence[str] = rules.PROTEOLYSIS_WORDS, name: str = "has_keyword") -> DataFrame:
@@ -200,6 +201,7 @@ def sdrf(
         .join(mods, ["pxd", "stem"], "left")
         .join(llm, ["pxd", "raw_file"], "left")
     )
+    wide = checkpoint(wide)  # read twice: for the columns that are there, and for the rows
     instrument = tx.first_known(F.col("instrument"), F.col("ann_instrument"), F.col("study_instrument"))
     organism = F.trim(F.regexp_replace("organism", r"\s*\([^)]+\)", ""))
     sex = F.lower("ann_sex")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from massloom.functions import modseq, text as tx
 from massloom.operators.ranges import interval_join
 from massloom.operators.ranking import top_n
+from massloom.session import checkpoint
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -147,10 +148,11 @@ def site_fractions(
     residues in all unique stripped peptides, plus one per peptide for each allowed terminus.
     """
     by = list(by)
-    # the distinct forms feed all three branches, so the matches are read and shuffled once
-    forms = _forms(psm, by)
+    # the distinct forms feed all three branches, and the few definitions two: both are kept, so
+    # the matches are read and shuffled once and the reference is searched once
+    forms = checkpoint(_forms(psm, by))
     events = _events(forms, by, compat)
-    defs = mod_definitions(events, unimod, tol, hidden)
+    defs = checkpoint(mod_definitions(events, unimod, tol, hidden))
     totals = residue_counts(forms, by)
     sites = (
         events.withColumn("event", _event_key()).select(*by, "stripped", "pos", "event")

@@ -135,21 +135,23 @@ def to_ptm_input(psm: DataFrame, mode: str = "closed", static: Sequence[float] =
     )
 
 
-def mass_lookup(unimod: DataFrame, max_entries: int = 20_000) -> Column:
-    """Id to mass as one map, for use in an expression; fails if the reference is too large."""
-    ids = unimod.groupBy("unimod_id").agg(F.min("mono_mass").alias("mono_mass"))
-    entries = F.map_from_entries(F.collect_list(F.struct("unimod_id", "mono_mass")))
-    guarded = F.when(
-        F.count("*") > max_entries, F.raise_error(F.lit("modification reference too large")).cast(
-            "map<int,double>")
-    ).otherwise(entries)
-    return ids.agg(guarded.alias("masses")).scalar()
+def bracket_masses(sequences: DataFrame, unimod: DataFrame, column: str) -> DataFrame:
+    """(``column``, ``rewritten``) of the distinct sequences that name ids of the reference.
+
+    Each sequence gets the masses of its own ids by a join, so neither side is gathered.
+    """
+    known = unimod.groupBy(F.col("unimod_id").cast("int").alias("_id")).agg(F.min("mono_mass").alias("_mass"))
+    tagged = sequences.select(column).where(F.col(column).contains("(UniMod:")).distinct()
+    ids = tagged.select(column, F.explode(modseq.unimod_ids(F.col(column))).alias("_id"))
+    masses = ids.join(known, "_id").groupBy(column).agg(
+        F.map_from_entries(F.collect_list(F.struct("_id", "_mass"))).alias("_masses"))
+    return masses.select(column, modseq.unimod_to_mass(F.col(column), F.col("_masses")).alias("rewritten"))
 
 
 def unimod_to_mass(df: DataFrame, unimod: DataFrame, column: str = "peptide") -> DataFrame:
     """Rewrite ``(UniMod:n)`` in ``column`` as a bracket mass; unknown ids stay."""
-    rows = df.withColumn("_masses", mass_lookup(unimod))
-    return rows.withColumn(column, modseq.unimod_to_mass(F.col(column), F.col("_masses"))).drop("_masses")
+    joined = df.join(bracket_masses(df, unimod, column), column, "left")
+    return joined.withColumn(column, F.coalesce("rewritten", column)).select(*df.columns)
 
 
 # fixed values: legacy DIA column -> name
@@ -181,7 +183,7 @@ def dia_to_psm(df: DataFrame, unimod: DataFrame, order: Sequence[str] | None = N
     def text(name: str) -> Column:
         return F.coalesce(take(name, "string"), F.lit(""))
 
-    peptide = modseq.unimod_to_mass(text("Modified.Sequence"), F.col("_masses"))
+    peptide = F.coalesce("_rewritten", text("Modified.Sequence"))
     length = F.length(peptide if compat else tx.strip_mods(text("Modified.Sequence"), "letters"))
     made = {
         "peptide": peptide,
@@ -207,7 +209,9 @@ def dia_to_psm(df: DataFrame, unimod: DataFrame, order: Sequence[str] | None = N
         "diann_channel": text("Channel"),
     }
     fields = [*schemas.PSM, *schemas.DIA_EXTRA]
-    out = df.withColumn("_masses", mass_lookup(unimod)).select(
+    sequences = df.select(text("Modified.Sequence").alias("_modified"))
+    rewritten = bracket_masses(sequences, unimod, "_modified").withColumnRenamed("rewritten", "_rewritten")
+    out = df.join(rewritten, text("Modified.Sequence") == F.col("_modified"), "left").select(
         *[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
     )
     if order is None:

@@ -278,6 +278,14 @@ def fit_peak(comp: DataFrame, peaks: DataFrame, by: Sequence[str] = ("filename",
     )
 
 
+def fitted_peaks(comp: DataFrame, peaks: DataFrame, by: Sequence[str] = ("filename",)) -> DataFrame:
+    """``peaks`` of which only those count as found that a Gaussian could be fitted to."""
+    keys = [*by, "frag_type", "region", "mode_bin"]
+    fits = fit_peak(comp, peaks, by).where("sigma is not null").select(*keys, F.lit(True).alias("_fits"))
+    found = F.col("is_found") & F.coalesce("_fits", F.lit(False))
+    return peaks.join(fits, keys, "left").withColumn("is_found", found).select(*peaks.columns)
+
+
 def study_consensus(runs: DataFrame, by: Sequence[str] = ("pxd",)) -> DataFrame:
     """One value per field over the runs of a study: the value, ``multiple`` or ``unknown``.
 

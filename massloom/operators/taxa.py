@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from massloom import schemas
 from massloom.functions import rules
-from massloom.operators.ranking import top_n
+from massloom.operators.ranking import numbered, top_n
 from massloom.session import checkpoint
 
 
@@ -23,19 +23,23 @@ def ranks_present(lineage: DataFrame) -> list[str]:
     return [r for r in schemas.RANKS if f"{r}_id" in lineage.columns]
 
 
-def restrict_taxa(edges: DataFrame, lineage: DataFrame, query_ids: Sequence[int], rank: str = "species") -> DataFrame:
-    """Edges to taxa below a query taxon that are defined at ``rank`` or deeper."""
+def restrict_taxa(
+    edges: DataFrame, lineage: DataFrame, query_ids: DataFrame | Sequence[int], rank: str = "species"
+) -> DataFrame:
+    """Edges to taxa below a query taxon that are defined at ``rank`` or deeper.
+
+    The query taxa are a table with ``taxon_id``, or a list of ids; a taxon's ids at all ranks are
+    matched with it by one semi join.
+    """
+    if not isinstance(query_ids, DataFrame):
+        query_ids = edges.sparkSession.createDataFrame([(int(q),) for q in query_ids], "taxon_id long")
     ranks = ranks_present(lineage)
     deep = [r for r in ranks if schemas.RANKS.index(r) >= schemas.RANKS.index(rank)]
-    wanted = [int(q) for q in query_ids]
-    under = F.lit(False)
-    for r in ranks:
-        under = under | F.coalesce(F.col(f"{r}_id").isin(wanted), F.lit(False))
-    at_rank = F.lit(False)
-    for r in deep:
-        at_rank = at_rank | F.col(f"{r}_id").isNotNull()
-    allowed = lineage.where(under & at_rank).select("taxon_id")
-    return intersect_taxa(edges, allowed)
+    ids = F.array_compact(F.array(*[F.col(f"{r}_id").cast("long") for r in ranks]))
+    at_rank = F.coalesce(*[F.col(f"{r}_id") for r in deep], F.lit(None)).isNotNull()
+    above = lineage.where(at_rank).select("taxon_id", F.explode(F.array_distinct(ids)).alias("_above"))
+    wanted = query_ids.select(F.col("taxon_id").cast("long").alias("_above"))
+    return intersect_taxa(edges, above.join(wanted, "_above", "left_semi").select("taxon_id"))
 
 
 def intersect_taxa(edges: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -72,19 +76,24 @@ def attach_scores(edges: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def weighted_sample(
-    df: DataFrame, n: int = 10_000, weight: str = "weight", key: str = "sequence", seed: int = 1234,
-    by: Sequence[str] = (),
+    df: DataFrame, n: int, weight: str = "weight", key: str = "sequence", seed: int = 1234, by: Sequence[str] = (),
 ) -> DataFrame:
     """At most ``n`` rows drawn without replacement with chances in proportion to ``weight``.
 
     Each row gets an exponential key from a hash of its identity, and the smallest keys win;
-    the draw does not depend on how the rows are partitioned. Fails if all weights are zero.
+    the draw does not depend on how the rows are partitioned. The hash is 52 bits of the MD5 of
+    ``<seed>/<key>``. Rows without a positive weight are never drawn; reading the result fails if
+    no row of a group has one.
     """
-    bits = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(1 << 52))
-    uniform = (bits.cast("double") + 0.5) / float(1 << 52)
-    drawn = df.where(F.col(weight) > 0).withColumn("_key", -F.ln(uniform) / F.col(weight))
-    if drawn.isEmpty() and not df.isEmpty():
-        raise ValueError("all weights are zero")
+    text = F.concat(F.lit(f"{seed}/"), F.col(key).cast("string"))
+    bits = F.conv(F.left(F.md5(text), F.lit(13)), 16, 10).cast("double")
+    uniform = (bits + 0.5) / float(1 << 52)
+    positive = F.when(F.col(weight) > 0, F.col(weight))
+    fails = F.raise_error(F.lit("all weights are zero")).cast("double")
+    checked = df.groupBy(*by).agg(F.when(F.count("*") == 0, 1.0).otherwise(F.coalesce(F.max(positive), fails)).alias("_most"))
+    drawn = df.withColumn("_w", positive).withColumn("_key", -F.ln(uniform) / F.col("_w"))
+    drawn = drawn.join(checked, list(by)) if by else drawn.withColumn("_most", checked.scalar())
+    drawn = drawn.where("_w is not null and _most > 0").drop("_w", "_most")
     order = [F.col("_key"), F.col(key)]
     if by:
         drawn = top_n(drawn, by, order, n)
@@ -93,11 +102,12 @@ def weighted_sample(
     return drawn.drop("_key")
 
 
-def sample_peptides(edges: DataFrame, n: int = 10_000, seed: int = 1234) -> DataFrame:
-    """Edges of a sample of peptides; a peptide weighs one over its number of taxa."""
-    degree = edges.groupBy("sequence").agg((F.lit(1.0) / F.count("*")).alias("weight"))
-    picked = weighted_sample(degree, n, seed=seed).select("sequence")
-    return edges.join(picked, "sequence", "left_semi")
+def sample_peptides(edges: DataFrame, n: int, seed: int = 1234, by: Sequence[str] = ()) -> DataFrame:
+    """Edges of a sample of ``n`` peptides, in each group; a peptide weighs one over its number of taxa."""
+    keys = [*by, "sequence"]
+    degree = edges.groupBy(*keys).agg((F.lit(1.0) / F.count("*")).alias("weight"))
+    picked = weighted_sample(degree, n, seed=seed, by=by).select(*keys)
+    return edges.join(picked, keys, "left_semi")
 
 
 def taxon_weights(edges: DataFrame, scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -118,9 +128,12 @@ def taxon_weights(edges: DataFrame, scores: DataFrame, by: Sequence[str] = ()) -
     )
 
 
-def selected_taxa(weights: DataFrame, n: int, by: Sequence[str] = (), few: int = 50) -> DataFrame:
-    """The ``n`` heaviest taxa and every unique one; all of them if there are fewer than ``few``."""
+def selected_taxa(weights: DataFrame, n: int | None = None, by: Sequence[str] = (), few: int = 0) -> DataFrame:
+    """The ``n`` heaviest taxa and every unique one; all taxa if ``n`` is None. With ``few``, groups of
+    fewer taxa than that keep all of theirs."""
     by = list(by)
+    if n is None:
+        return weights.distinct()
     order = [F.col("weight").desc(), F.col("taxon_id")]
     if by:
         top = top_n(weights, by, order, n)
@@ -220,7 +233,7 @@ def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame |
     return shared.withColumn("overlap", F.col("shared") / F.col("n_peptides")).where(F.col("overlap") > threshold)
 
 
-def cluster_taxa(edges: DataFrame, weights: DataFrame, threshold: float = 0.9, max_rounds: int = 100) -> DataFrame:
+def cluster_taxa(edges: DataFrame, weights: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Clusters (head, member) of taxa: heaviest first, a head absorbs all that overlap with it.
 
     The greedy choice, in rounds: a taxon becomes a head once every heavier one that could
@@ -238,7 +251,7 @@ def cluster_taxa(edges: DataFrame, weights: DataFrame, threshold: float = 0.9, m
     )
     heavier = links.where("hr < mr").select("member", "head")
     state = checkpoint(best.select("class_id", F.lit(None).cast("boolean").alias("is_head")))
-    for _ in range(max_rounds):
+    while True:  # each round decides at least the heaviest open class of every chain
         above = heavier.join(state.withColumnRenamed("class_id", "head"), "head").groupBy("member").agg(
             F.coalesce(F.bool_or("is_head"), F.lit(False)).alias("absorbed"),
             F.count_if(F.col("is_head").isNull()).alias("open"),
@@ -253,8 +266,6 @@ def cluster_taxa(edges: DataFrame, weights: DataFrame, threshold: float = 0.9, m
         state = checkpoint(new)
         if state.where("is_head is null").isEmpty():
             break
-    else:
-        raise RuntimeError("clusters did not settle; raise max_rounds")
     heads = state.where("is_head").join(best, "class_id").select(
         F.col("class_id").alias("head"), F.col("rank.t").alias("head_taxon")
     )
@@ -285,17 +296,15 @@ def goodness(scores: DataFrame, weights: DataFrame, by: Sequence[str] = ("param_
     early depths more. A ranked list holds the taxa of one graph, which pruning has cut.
     """
     by = list(by)
-    ranked = scores.withColumn(
-        "_s", F.row_number().over(Window.partitionBy(*by).orderBy(F.col("score").desc(), "taxon_id"))
-    )
-    order = Window.orderBy(F.col("weight").desc(), "taxon_id")
+    ranked = scores.select(*by, "taxon_id", "score", (-F.col("score")).alias("_low"))
+    ranked = numbered(ranked, by, ["_low", "taxon_id"], "_s").drop("_low")
     if "sample" in by and "sample" in weights.columns:
-        order = Window.partitionBy("sample").orderBy(F.col("weight").desc(), "taxon_id")
-        heavy = weights.select("sample", "taxon_id", F.row_number().over(order).alias("_w"))
+        heavy = weights.select("sample", "taxon_id", (-F.col("weight")).alias("_low"))
+        heavy = numbered(heavy, ["sample"], ["_low", "taxon_id"], "_w").drop("_low")
         sizes = heavy.groupBy("sample").agg(F.count("*").alias("_nw"))
         joined = ranked.join(heavy, ["sample", "taxon_id"], "left").join(sizes, "sample")
     else:
-        heavy = weights.select("taxon_id", F.row_number().over(order).alias("_w"))
+        heavy = numbered(weights.select("taxon_id", (-F.col("weight")).alias("_low")), [], ["_low", "taxon_id"], "_w").drop("_low")
         size = heavy.agg(F.count("*").alias("n")).scalar()
         joined = ranked.join(heavy, "taxon_id", "left").withColumn("_nw", size)
     totals = joined.groupBy(*by).agg(

@@ -13,15 +13,17 @@ from massloom.session import checkpoint
 
 def taxon_edges(
     predictions: DataFrame, contaminants: DataFrame, peptide_taxa: DataFrame, lineage: DataFrame,
-    query_ids: Sequence[int], rank: str = "species", pct: int = 80, sample: int = 10_000, max_taxa: int = 10_000,
+    query_ids: Sequence[int], rank: str = "species", pct: int = 80, sample: int | None = None, max_taxa: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Scored edges (sequence, taxon_id, score, psms) and taxon weights."""
+    """Scored edges (sequence, taxon_id, score, psms) and taxon weights. All peptides and taxa stay
+    unless ``sample`` or ``max_taxa`` asks for fewer."""
     kept = denovo.filter_denovo(predictions, pct).withColumnRenamed("stripped_sequence", "peptide")
     kept = denovo.remove_contaminants(kept, denovo.digest(contaminants))
     scores = checkpoint(denovo.peptide_scores(kept))
     found = taxa.lookup_taxa(scores.withColumnRenamed("peptide", "sequence"), peptide_taxa)
     inside = taxa.restrict_taxa(found, lineage, query_ids, rank)
-    edges = checkpoint(taxa.sample_peptides(taxa.to_rank(inside, lineage, rank), sample))
+    edges = taxa.to_rank(inside, lineage, rank)
+    edges = checkpoint(edges if sample is None else taxa.sample_peptides(edges, sample))
     weights = checkpoint(taxa.taxon_weights(edges, scores))
     edges = taxa.keep_taxa(edges, taxa.selected_taxa(weights, max_taxa))
     return taxa.attach_scores(edges, scores), weights
@@ -34,9 +36,12 @@ def infer_taxa(
 ) -> DataFrame:
     """Posteriors for the whole grid in one job, the best set by goodness, and its named table.
 
-    The weight order is that of the cluster heads, so near-copies of a taxon count once.
+    The weight order is that of the cluster heads, so near-copies of a taxon count once. Sets whose
+    messages did not settle are not rated; it is an error if none did.
     """
-    scores = checkpoint(graph.taxon_posteriors(edges, alphas, betas, priors, **solver))
+    scores = checkpoint(graph.taxon_posteriors(edges, alphas, betas, priors, **solver).where("converged"))
+    if scores.isEmpty() and not edges.isEmpty():
+        raise RuntimeError("no parameter set settled; raise max_iter")
     clusters = taxa.cluster_taxa(edges.where("taxon_id is not null"), weights, threshold)
     heads = weights.join(clusters.select(clusters["head"].alias("taxon_id")).distinct(), "taxon_id", "left_semi")
     params = graph.grid_params(edges.sparkSession, alphas, betas, priors)

@@ -59,7 +59,7 @@ def stream_dedupe(events: DataFrame, keys: Sequence[str], watermark: str = "1 da
     return events.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "append", timeout: int = 600) -> DataFrame:
+def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Process all input there is and return the written result.
 
     ``append`` writes with the file sink, which is exactly-once. ``complete`` and ``update``
@@ -76,9 +76,7 @@ def run_available(stream: DataFrame, name: str, mode: str = "append", timeout: i
             batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
         query = writer.foreachBatch(save).start()
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout} s")
+    query.awaitTermination()
     rows = spark.read.schema(stream.schema).parquet(out) if mode == "append" else spark.read.parquet(out)
     if mode == "complete":
         last = rows.agg(F.max("batch")).first()[0]

@@ -115,3 +115,30 @@ def test_keyword_and_wide_annotations(spark):
     r = ops.annotation_wide(rows).first()
     assert r.ann_organism == "Human" and r.ann_sex is None
     assert ops.has_keyword(spark.createDataFrame([("uses LiP-MS",)], "t string")).first().has_keyword
+
+
+def test_match_tables_are_read_by_their_own_headers(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "a.tsv").write_text("filename\tscannr\tpeptide\thyperscore\nf1\ts1\tAAK\t10.0\n")
+    (tmp_path / "b.tsv").write_text("hyperscore\tpeptide\tfilename\n20.0\tAAAK\tf2\n")
+    (tmp_path / "bad.tsv").write_text("not a table\n")
+    with pytest.warns(UserWarning, match="bad.tsv"):
+        rows = tables.read_psm(spark, str(tmp_path)).collect()
+    assert {(r.filename, r.scannr, r.peptide, r.hyperscore) for r in rows} == {("f1", "s1", "AAK", 10.0), ("f2", None, "AAAK", 20.0)}
+    with pytest.raises(ValueError), pytest.warns(UserWarning):
+        tables.read_psm(spark, str(tmp_path / "bad.tsv"))
+
+
+def test_fasta_records_begin_at_line_starts(spark, tmp_path):
+    (tmp_path / "p.fasta").write_text(">sp|P1 Gln->Glu x\nAC\nde\n>sp|P2\nFF\n")
+    got = {(r.accession, r.description, r.sequence) for r in tables.read_fasta(spark, str(tmp_path / "p.fasta")).collect()}
+    assert got == {("sp|P1", "sp|P1 Gln->Glu x", "ACDE"), ("sp|P2", "sp|P2", "FF")}
+
+
+def test_workflow_log_lines(spark, tmp_path):
+    (tmp_path / "x.log").write_text(
+        "Jan-01 [main] INFO - [ab/012345] Submitted process > search (PXD1 run)\n[cd/6789ab] Cached process > llm (PXD2)\n"
+        "[cd/6789ab] Aborted process > llm (PXD2)\nno task (PXD3)\n[ef/6789ab] Submitted process > x (none)\n")
+    got = [tuple(r) for r in tables.read_workflow_log(spark, str(tmp_path / "x.log")).orderBy("pxd").collect()]
+    assert got == [("PXD1", "search", "PXD1 run", "ab", "012345"), ("PXD2", "llm", "PXD2", "cd", "6789ab")]

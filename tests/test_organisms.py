@@ -38,7 +38,7 @@ def exact(alpha, beta, prior, regularized):
 def check(spark, regularized, alphas, priors):
     grid = [(a, 0.6, p) for a in alphas for p in priors]
     out = graph.taxon_posteriors(
-        edge_table(spark), alphas, [0.6], priors, regularized=regularized, tol=1e-4, damping=0.1, max_iter=20).collect()
+        edge_table(spark), alphas, [0.6], priors, regularized=regularized, tol=1e-4, damping=(0.1,), max_iter=20).collect()
     want = [exact(*g, regularized) for g in grid]
     assert len(out) == 4 * len(grid) and all(r.converged for r in out)
     for r in out:
@@ -57,7 +57,7 @@ def test_infer_taxa_names_the_best_set(spark):
     edges = edge_table(spark)
     weights = edges.groupBy("taxon_id").agg(F.count("*").cast("double").alias("weight"))
     names = edges.select("taxon_id").distinct().withColumn("taxon_name", F.concat(F.lit("t"), "taxon_id"))
-    out = plan.infer_taxa(edges, weights, names, [0.7], [0.6, 0.9], [0.1], max_iter=3).collect()
+    out = plan.infer_taxa(edges, weights, names, [0.7], [0.6, 0.9], [0.1]).collect()
     assert {r.taxon_name for r in out} == {"t1", "t2", "t3", "t4"} and len({r.param_id for r in out}) == 1
 
 
@@ -147,7 +147,7 @@ def test_digest_by_hand(spark):
 def test_aa_masks(spark):
     def mask(a, b, mode):
         df = spark.createDataFrame([(a, b)], "truth string, pred string")
-        return df.select(denovo.aa_mask(mode)("truth", "pred").alias("m")).first().m
+        return df.select(denovo.aa_mask(F.col("truth"), F.col("pred"), mode).alias("m")).first().m
 
     assert mask("PEPTIDE", "PEPTLDE", "best") == [True] * 7  # I and L weigh the same
     assert mask("AGPEK", "GAPEK", "forward") == [False, False, True, True, True]
