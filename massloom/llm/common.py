@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,23 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table of :func:`kept` that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.kept_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are done: it does so once the driver has
+    collected its garbage, which may otherwise be long after a large step."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def with_row_id(df: DataFrame, name: str = "uid") -> DataFrame:
@@ -38,9 +56,8 @@ def in_fold(column: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
-def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, comp) for every row of ``nodes``(node): comp is the smallest node reachable over
-    ``links``(a, b), or the node itself.
+def components(links: DataFrame) -> DataFrame:
+    """(node, comp) of every node of ``links``(a, b): comp is the smallest node reachable.
 
     Rounds of "every node takes the smallest label around it, then the label of its label" until
     nothing changes; each round is a written table, so plans stay flat and lost tasks rerun alone.
@@ -48,12 +65,13 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
     both = kept(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = kept(both.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("comp")), "labels")
     while True:
-        near = (both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("comp").alias("m")))
-        step = labels.join(near, labels.node == near.a, "left").select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("c"))
-        to = labels.select(F.col("node").alias("c"), F.col("comp").alias("up"))
-        step = kept(step.join(to, "c", "left").select("node", "old", F.least("c", F.coalesce("up", "c")).alias("comp")), "labels")
-        moved = step.where("comp <> old").limit(1).count()
-        labels = step.select("node", "comp")
-        if not moved:
-            break
-    return nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("comp").alias("m"))
+        step = labels.join(near, labels.node == near.a).select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("c"))
+        to = step.select(F.col("node").alias("c"), F.col("c").alias("up"))
+        after = kept(step.join(to, "c").select("node", F.least("c", "up").alias("comp"), (F.least("c", "up") < F.col("old")).alias("moved")), "labels")
+        settled = after.where("moved").isEmpty()
+        release(labels)
+        labels = after
+        if settled:
+            release(both)
+            return labels.select("node", "comp")

@@ -2,9 +2,9 @@
 
 A set's shingles are dealt into partitions of the hash domain. Sets of one size band that are
 similar enough differ in few shingles, hence agree on some partitions whole; the signatures are the
-contents of partitions (or, for small sets, of pairs of them). Signatures only propose: every link
-rests on the sizes of intersection and union of the two sets. Documents with equal sets form a
-class, and only one of a class is compared.
+contents of partitions (or, for small sets, of pairs of them). Signatures only propose: a pair must
+pass an exact bound on its difference, and every link rests on the sizes of intersection and union
+of the two whole sets. Documents with equal sets form a class, and only one of a class is compared.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from massloom.llm.common import components, kept, with_row_id
+from massloom.llm.common import components, free_shuffles, kept, release
 from massloom.llm.words import Tokens, chunks, mixed
 
 #: Upper end of a size band over its lower end.
@@ -27,6 +27,10 @@ PAIRED = 4
 #: Signatures that one task of the matching step handles.
 BUCKET = 1_500_000
 BLOOM_BITS = 1 << 25
+#: Bits of a set's parities, and of their short form; see :func:`parities`.
+PARITY_BITS, SHORT_BITS = 1024, 256
+#: Shingles that signatures are made of at once.
+PIECE = 1 << 19
 _U = np.uint64
 
 
@@ -43,7 +47,7 @@ def bands(largest: int, num: int, den: int) -> list[tuple[int, int, int]]:
 
 def _spare(differences: np.ndarray) -> np.ndarray:
     """Partitions beyond what the differences can touch, for those that stay empty."""
-    return 2 + differences // 12
+    return 2 + differences // 10
 
 
 def set_signatures(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,9 +59,19 @@ def set_signatures(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarr
     adds signatures of its smallest shingles, as many as any partner must share one of. Up to
     ``PAIRED`` differences there are d + 2 partitions, and every pair of them makes a signature.
     """
+    ends = np.cumsum([len(s) for s in sets]) // PIECE
+    cuts = np.flatnonzero(np.diff(ends)) + 1
+    owners, found = [np.zeros(0, np.int64)], [np.zeros(0, _U)]
+    for i, j in zip([0, *cuts], [*cuts, len(sets)], strict=True):
+        if j > i:
+            at, sig = _signatures(sets[i:j], num, den)
+            owners.append(at + i)
+            found.append(sig)
+    return np.concatenate(owners), np.concatenate(found)
+
+
+def _signatures(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(s) for s in sets])
-    if not len(sizes):
-        return np.zeros(0, np.int64), np.zeros(0, _U)
     table = bands(int(sizes.max()), num, den)
     lows = np.array([b[0] for b in table])
     own = np.searchsorted(lows, sizes, side="right") - 1
@@ -113,153 +127,253 @@ def _long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def _scan(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """One row per document: (uid, doc_id, n, cls, sent, met). The first of a class in a batch has
-    its signatures in ``sent``, but those that the batch holds more than once are sent by one row
-    only, and all their holders list them in ``met``. So a signature is sent once per batch, even if
-    a third of all documents have it."""
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """(set, word): for each of ``PARITY_BITS`` parts of the hash domain, whether the set has an odd
+    number of shingles there. Where two sets' parities differ, so do the sets: the number of
+    differing bits is never more than that of differing shingles."""
+    values = mixed(np.concatenate(sets) + _U(29)) if sets else np.zeros(0, _U)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    cell = row * PARITY_BITS + (values % _U(PARITY_BITS)).astype(np.int64)
+    odd = np.bincount(cell, minlength=len(sets) * PARITY_BITS).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(len(sets), PARITY_BITS), axis=1).view(np.int64)
+
+
+def _firsts(texts: list[str], words: int) -> tuple[list[np.ndarray], list[int | None], dict[int, int]]:
+    """Sets and classes of some texts, and where each class comes first."""
+    sets = [s for at in chunks(texts) for s in Tokens(texts[at]).sets(words)]
+    keys = [_key(s) if len(s) else None for s in sets]
+    first: dict[int, int] = {}
+    for i, c in enumerate(keys):
+        if c is not None:
+            first.setdefault(c, i)
+    return sets, keys, first
+
+
+def _scan(docs: DataFrame, words: int) -> DataFrame:
+    """One row per document: (doc_id, n, cls, parity); the first of a class in a batch has its parities."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch["text"].tolist()
-            sets = [s for at in chunks(texts) for s in Tokens(texts[at]).sets(words)]
-            keys = [_key(s) if len(s) else None for s in sets]
-            first = {}
-            for i, c in enumerate(keys):
-                if c is not None:
-                    first.setdefault(c, i)
-            rows = np.array(list(first.values()), np.int64)
-            at, sig = set_signatures([sets[i] for i in rows], num, den)
-            order = np.lexsort((at, sig))
-            at, sig = at[order], sig[order]
-            new = np.append(True, (sig[1:] != sig[:-1]) | (at[1:] != at[:-1]))[: len(sig)]
-            at, sig = at[new], sig[new]
-            lead = np.append(True, sig[1:] != sig[:-1])[: len(sig)]
-            alone = lead & np.append(lead[1:], True)[: len(sig)]
+            sets, keys, first = _firsts(batch["text"].tolist(), words)
+            parity: list = [None] * len(sets)
+            for i, bits in zip(first.values(), parities([sets[i] for i in first.values()]), strict=True):
+                parity[i] = bits
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"], "n": [len(s) for s in sets], "cls": pd.array(keys, dtype="Int64"),
+                "parity": pd.Series(parity, dtype=object)})
 
-            def lists(chosen: np.ndarray) -> list:
-                who, what = at[chosen], _long(sig[chosen])
-                order = np.argsort(who, kind="stable")
-                parts = np.split(what[order], np.searchsorted(who[order], np.arange(1, len(rows)))) if len(rows) else []
-                out: list = [None] * len(sets)
-                for i, p in zip(rows, parts, strict=True):
-                    out[i] = p if len(p) else None
-                return out
+    rows = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+    return rows.mapInPandas(scan, "doc_id string, n long, cls long, parity array<long>")
 
-            yield pd.DataFrame({
-                "uid": batch["uid"], "doc_id": batch["doc_id"], "n": [len(s) for s in sets],
-                "cls": pd.array(keys, dtype="Int64"), "sent": pd.Series(lists(lead), dtype=object), "met": pd.Series(lists(~alone), dtype=object)})
 
-    rows = with_row_id(docs).withColumn("doc_id", F.col("doc_id").cast("string"))
-    return rows.mapInPandas(scan, "uid long, doc_id string, n long, cls long, sent array<long>, met array<long>")
+def _packed(sig: np.ndarray, at: np.ndarray, cls: np.ndarray) -> bytes:
+    """Signatures, and the class of each as a place in a list of classes."""
+    used, place = np.unique(at, return_inverse=True)
+    small = np.uint16 if len(used) <= 1 << 16 else np.uint32
+    head = np.array([len(used), len(sig), small().itemsize], np.int64)
+    return head.tobytes() + cls[used].tobytes() + sig.tobytes() + place.astype(small).tobytes()
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """(sig, cls): the holders of every signature that different classes hold."""
-    total = rows.agg(F.sum(F.size("sent"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET))
+def _unpacked(data: bytes) -> np.ndarray:
+    """(signature, class) rows."""
+    classes, n, width = np.frombuffer(data, np.int64, 3).tolist()
+    cls = np.frombuffer(data, np.int64, classes, 24)
+    sig = np.frombuffer(data, np.int64, n, 24 + 8 * classes)
+    place = np.frombuffer(data, np.uint16 if width == 2 else np.uint32, n, 24 + 8 * (classes + n))
+    return np.stack([sig, cls[place]], axis=1)
+
+
+def _shared(docs: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(sig, cls): the holders of every signature that different classes hold.
+
+    A batch of texts sends each of its signatures once, to the task of the signature's bucket, and
+    names all holders of those that it holds more than once: so a signature that a third of all
+    documents have comes in once per batch, and its holders are told without meeting in one task.
+    """
+    total = rows.where("parity is not null").agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, -(-total // (2 * BUCKET)))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sig = np.concatenate(batch["sent"].tolist()).astype(np.int64)
-            cls = np.repeat(batch["cls"].to_numpy(np.int64), [len(s) for s in batch["sent"]])
-            bucket = ((_long(mixed(sig.view(_U)))).view(_U) % _U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            both = np.stack([sig[order], cls[order]], axis=1)
-            yield pd.DataFrame([(b, both[i:j].tobytes()) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if j > i], columns=["bucket", "data"])
+            sets, _, first = _firsts(batch["text"].tolist(), words)
+            cls = np.array(list(first), np.int64)
+            at, sig = set_signatures([sets[i] for i in first.values()], num, den)
+            order = np.lexsort((at, sig))
+            at, sig = at[order], sig[order]
+            new = np.append(True, (sig[1:] != sig[:-1]) | (at[1:] != at[:-1]))[: len(sig)]
+            at, sig = at[new], sig[new]
+            lead = np.append(True, sig[1:] != sig[:-1])[: len(sig)]
+            met = ~(lead & np.append(lead[1:], True)[: len(sig)])
+            out = []
+            for chosen, near in ((lead, False), (met, True)):
+                a, s = at[chosen], sig[chosen]
+                bucket = (mixed(s) % _U(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                    if j > i:
+                        out.append((b, near, _packed(s[order[i:j]].view(np.int64), a[order[i:j]], cls)))
+            yield pd.DataFrame(out, columns=["bucket", "near", "data"])
 
     def match(group: pd.DataFrame) -> pd.DataFrame:
-        both = np.frombuffer(b"".join(group["data"]), np.int64).reshape(-1, 2)
+        parts = [_unpacked(d) for d in group["data"]]
+        near = [p for p, n in zip(parts, group["near"], strict=True) if n]
+        sent = [p for p, n in zip(parts, group["near"], strict=True) if not n]
+        both = np.concatenate(sent) if sent else np.zeros((0, 2), np.int64)
         both = both[np.lexsort((both[:, 1], both[:, 0]))]
-        new = np.append(True, (both[1:] != both[:-1]).any(axis=1))
-        both = both[new]
+        both = both[np.append(True, (both[1:] != both[:-1]).any(axis=1))[: len(both)]]
         same = both[1:, 0] == both[:-1, 0]
-        return pd.DataFrame(both[np.append(same, False) | np.append(False, same)], columns=["sig", "cls"])
+        far = both[(np.append(same, False) | np.append(False, same))[: len(both)]]
+        return pd.DataFrame(np.concatenate([far, *near]), columns=["sig", "cls"])
 
-    sent = rows.where("sent is not null").select("cls", "sent").mapInPandas(deal, "bucket int, data binary")
-    far = sent.groupBy("bucket").applyInPandas(match, "sig long, cls long")
-    near = rows.where("met is not null").select(F.explode("met").alias("sig"), "cls")
-    held = kept(far.union(near).distinct(), "held")
+    sent = docs.select("text").mapInPandas(deal, "bucket int, near boolean, data binary")
+    held = sent.groupBy("bucket").applyInPandas(match, "sig long, cls long")
+    held = kept(held.distinct(), "held")
+    free_shuffles(docs.sparkSession)
     # signatures with the same holders say the same: one of them is kept
     who = held.groupBy("sig").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y")).where("n > 1")
     one = who.groupBy("n", "x", "y").agg(F.min("sig").alias("sig"))
-    return kept(held.join(one.select("sig"), "sig", "left_semi"), "shared")
+    out = kept(held.join(one.select("sig"), "sig", "left_semi"), "shared")
+    release(held)
+    return out
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """(cls, n, parity, p0, ..): size, parities and their short form of each class. The parities of
+    a coarser division are those of the finer one, added up."""
+    short = []
+    for i in range(SHORT_BITS // 64):
+        part = F.col("parity")[i]
+        for j in range(i + SHORT_BITS // 64, PARITY_BITS // 64, SHORT_BITS // 64):
+            part = part.bitwiseXOR(F.col("parity")[j])
+        short.append(part.alias(f"p{i}"))
+    found = rows.where("parity is not null").groupBy("cls").agg(F.max("n").alias("n"), F.min("parity").alias("parity"))
+    return found.select("cls", "n", "parity", *short)
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cls, set) of the ``wanted`` classes, from a second pass over the texts. A Bloom filter of fixed
-    size, the only thing broadcast, keeps most others from the shuffle; the join decides."""
+def _texts_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(cls, text) of the ``wanted`` classes, from a second pass over the texts. A Bloom filter of
+    fixed size, the only thing broadcast, keeps most others from the shuffle; the join decides."""
     spot = F.pmod(F.col("cls"), F.lit(BLOOM_BITS))
-    words_of_bits = wanted.groupBy((spot / 32).cast("int").alias("word")).agg(
+    word = (spot / 32).cast("int").alias("word")
+    found = wanted.groupBy(word).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 32).cast("int"))).alias("bits")).toPandas()
     bits = np.zeros(BLOOM_BITS // 32, np.uint32)
-    bits[words_of_bits["word"].to_numpy()] = words_of_bits["bits"].to_numpy().astype(np.uint32)
+    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
     bloom = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flags = np.frombuffer(bloom.value, np.uint32)
         for batch in batches:
             texts = batch["text"].tolist()
-            found: dict[int, np.ndarray] = {}
+            found: dict[int, str] = {}
             for at in chunks(texts):
-                for s in Tokens(texts[at]).sets(words):
+                for text, s in zip(texts[at], Tokens(texts[at]).sets(words), strict=True):
                     if len(s):
                         c = _key(s)
                         b = c % BLOOM_BITS
                         if flags[b // 32] >> (b % 32) & 1:
-                            found.setdefault(c, _long(s))
-            yield pd.DataFrame({"cls": np.array(list(found), np.int64), "set": pd.Series(list(found.values()), dtype=object)})
+                            found.setdefault(c, text)
+            yield pd.DataFrame({"cls": np.array(list(found), np.int64), "text": pd.Series(list(found.values()), dtype=object)})
 
-    sets = docs.select("text").mapInPandas(scan, "cls long, set array<long>")
-    sets = sets.join(wanted, "cls", "left_semi")
-    return kept(sets.groupBy("cls").agg(F.any_value("set").alias("set")), "sets")
+    texts = docs.select("text").mapInPandas(scan, "cls long, text string")
+    texts = texts.join(wanted, "cls", "left_semi")
+    out = kept(texts.groupBy("cls").agg(F.min("text").alias("text")), "texts")
+    free_shuffles(docs.sparkSession)
+    return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """(a, b) of those pairs that link: den * |intersection| >= num * |union|."""
-    sizes = sets.select("cls", F.size("set").alias("n"))
-    left, right = (sizes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
-    able = pairs.join(left, "a").join(right, "b").where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num).select("a", "b")
-    full = able.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("s_a")), "a").join(
-        sets.select(F.col("cls").alias("b"), F.col("set").alias("s_b")), "b")
-    both = F.size(F.array_intersect("s_a", "s_b"))
-    return full.where(both * den >= (F.size("s_a") + F.size("s_b") - both) * num).select("a", "b")
-
-
-def class_links(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(node, comp) of the classes in ``shared``: components over all links, without all pairs.
-
-    In each round every signature compares a few of its holders with those that are not yet in their
-    component. The first takes one holder, which joins near-copies at once; later rounds take the
-    smallest untried one in each of 16, 64, .. parts. A signature is done when its holders are in
-    one component or have all been tried, so that no pair that could join two components is left out.
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets: dict[int, np.ndarray] = {}
+            given = dict(zip([*batch["a"], *batch["b"]], [*batch["text_a"], *batch["text_b"]], strict=True))
+            names, bodies = list(given), list(given.values())
+            for at in chunks(bodies):
+                sets |= zip(names[at], Tokens(bodies[at]).sets(words), strict=True)
+            both = [len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(batch["a"], batch["b"], strict=True)]
+            size = [len(sets[a]) + len(sets[b]) for a, b in zip(batch["a"], batch["b"], strict=True)]
+            yield batch.loc[[den * i >= num * (n - i) for i, n in zip(both, size, strict=True)], ["a", "b"]]
+
+    full = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").join(
+        texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
+    return full.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")
+
+
+def _able(num: int, den: int) -> Column:
+    """Whether the sizes and parities of rows h and m leave room for a link. Linked sets differ in
+    (den - num) / (den + num) of the sum of their sizes at most."""
+    n, k = F.col("h.n"), F.col("m.n")
+    differ = F.lit(0)
+    for i in range(SHORT_BITS // 64):
+        differ = differ + F.bit_count(F.col(f"h.p{i}").bitwiseXOR(F.col(f"m.p{i}")))
+    return (F.least(n, k) * den >= F.greatest(n, k) * num) & (differ * (den + num) <= (n + k) * (den - num))
+
+
+def _near(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of those pairs whose sizes and full parities leave room for a link."""
+    for c in "ab":
+        pairs = pairs.join(classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}")), c)
+    bits = F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda s, x: s + x)
+    return pairs.where(differ * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num)).select("a", "b")
+
+
+def _ends(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """``pairs`` with the components of both."""
+    for c in "ab":
+        pairs = pairs.join(comps.select(F.col("cls").alias(c), F.col("comp").alias(f"c_{c}")), c)
+    return pairs
+
+
+def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(cls, comp) of the classes in ``shared``: components over all links, without all pairs.
+
+    In each round every signature whose holders are in several components compares some of them,
+    the heads, with those outside their component: first the smallest, then the smallest untried
+    one in each of 256, 65,536, .. parts. A signature is done when its holders are in one component
+    or have all been heads, so no pair that could join two components is left out. Of the first
+    round's pairs, those of each class with its smallest head are verified first; copies of one
+    text meet there, and their other pairs are dropped as settled.
     """
-    nodes = sets.select(F.col("cls").alias("node"))
-    held = shared.select("sig", "cls")
-    heads = held.groupBy("sig").agg(F.min("cls").alias("a"))
-    pairs = held.join(heads, "sig").where("cls <> a").select("a", F.col("cls").alias("b")).distinct()
-    links = kept(_verified(pairs, sets, num, den), "links")
-    tried = heads.select("sig", F.col("a").alias("cls"))
-    parts = 16
-    comps = kept(components(links, nodes), "comps")
+    comps = kept(shared.select("cls", F.col("cls").alias("comp")).distinct(), "comps")
+    tried, parts = None, 1
     while True:
-        open_ = held.join(comps.withColumnRenamed("node", "cls"), "cls")
-        several = open_.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-        open_ = open_.join(several, "sig", "left_semi")
-        new = open_.join(tried, ["sig", "cls"], "left_anti")
-        heads = new.groupBy("sig", F.pmod(F.xxhash64("cls"), F.lit(parts)).alias("part")).agg(F.min_by(F.struct("cls", "comp"), "cls").alias("h"))
-        heads = kept(heads.select("sig", F.col("h.cls").alias("a"), F.col("h.comp").alias("c")), "heads")
+        if tried is None:  # all are apart
+            new = open_ = shared.withColumn("comp", F.col("cls"))
+        else:
+            open_ = shared.join(comps, "cls")
+            several = open_.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
+            open_ = kept(open_.join(several, "sig", "left_semi"), "open")
+            new = open_.join(tried, ["sig", "cls"], "left_anti")
+        heads = new.groupBy("sig", F.pmod(F.xxhash64("cls"), F.lit(parts)).alias("part")).agg(F.min(F.struct("cls", "comp")).alias("h"))
+        heads = kept(heads.select("sig", "h.*"), "heads")
         if heads.isEmpty():
             return comps
-        pairs = open_.join(heads, "sig").where("comp <> c").select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
-        found = kept(_verified(pairs, sets, num, den), "links")
-        tried = kept(tried.union(heads.select("sig", "a")), "tried")
-        if not found.isEmpty():
-            links = links.union(found)
-            comps = kept(components(links, nodes), "comps")
-        parts *= 4
+        short = classes.drop("parity")
+        met = open_.join(short, "cls").alias("m").join(heads.join(short, "cls").alias("h"), (F.col("m.sig") == F.col("h.sig")) & (F.col("m.comp") != F.col("h.comp")) & _able(num, den))
+        met = met.select(F.least("m.cls", "h.cls").alias("a"), F.greatest("m.cls", "h.cls").alias("b")).distinct()
+        pairs = kept(_near(met, classes, num, den), "pairs")
+        free_shuffles(shared.sparkSession)
+        for turn in ("smallest", "rest") if tried is None else ("rest",):
+            if pairs.isEmpty():
+                break
+            now = kept(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "turn") if turn == "smallest" else pairs
+            found = kept(_verified(now, texts, words, num, den), "links")
+            free_shuffles(shared.sparkSession)
+            if not found.isEmpty():
+                moved = components(_ends(found, comps).select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
+                after = comps.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+                comps = kept(after.select("cls", F.coalesce("to", "comp").alias("comp")), "comps")
+            if turn == "smallest":
+                left = _ends(pairs.join(now, ["a", "b"], "left_anti"), comps)
+                pairs = kept(left.where("c_a <> c_b").select("a", "b"), "pairs")
+        mark = heads.select("sig", "cls")
+        tried = kept(mark if tried is None else tried.union(mark), "tried")
+        parts *= 256
 
 
 def near_duplicates(
@@ -276,14 +390,14 @@ def near_duplicates(
     """
     kind = docs.schema[doc_id].dataType
     given = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = kept(_scan(given, words, num, den), "scanned")
-    shared = _shared(rows)
+    scanned = kept(_scan(given, words), "scanned")
+    slim = scanned.select(F.col("doc_id").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), "cls")
+    shared = _shared(given, scanned, words, num, den)
     wanted = kept(shared.select("cls").distinct(), "wanted")
-    sets = _sets_of(given, wanted, words)
-    comps = class_links(shared, sets, num, den)
-    slim = rows.select(F.col("doc_id").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), "cls")
+    classes = kept(_classes(scanned).join(wanted, "cls", "left_semi"), "classes")
+    comps = class_links(shared, classes, _texts_of(given, wanted, words), words, num, den)
     classes = slim.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    known = classes.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    known = classes.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = known.groupBy("comp").agg(F.min("least").alias("component_id"))
     known = known.select("cls", "comp").join(least, "comp").select("cls", "component_id")
     return slim.join(known, "cls", "left").select(

@@ -111,10 +111,10 @@ class Tokens:
 
     def sets(self, k: int) -> list[np.ndarray]:
         """Sorted distinct shingle hashes of each text; empty for a text without words."""
-        text, value = self.shingles(k)
-        order = np.lexsort((value, text))
-        text, value = text[order], value[order]
-        new = np.ones(len(text), bool)
-        new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
-        text, value = text[new], value[new]
-        return np.split(value, np.searchsorted(text, np.arange(1, self.n))) if self.n else []
+        text, value = self.shingles(k)  # in the order of texts
+        cuts = np.searchsorted(text, np.arange(self.n + 1)).tolist()
+        out = []
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            part = np.sort(value[i:j])
+            out.append(part[np.append(True, part[1:] != part[:-1])] if j - i > 1 else part)
+        return out
