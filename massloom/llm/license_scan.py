@@ -43,7 +43,8 @@ def idf_of(bodies: DataFrame, terms: Sequence[str]) -> tuple[dict[str, float], f
 
     The driver gets one count per template term; the corpus's other words weigh as never seen.
     """
-    listed = bodies.sparkSession.createDataFrame([(t,) for t in terms], "word string")
+    # broadcast: the terms of the given templates, a few hundred
+    listed = F.broadcast(bodies.sparkSession.createDataFrame([(t,) for t in terms], "word string"))
     n = bodies.count()
     seen = bodies.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).join(listed, "word")
     counts = {r["word"]: r["n"] for r in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}
