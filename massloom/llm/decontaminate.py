@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from massloom.llm.words import chunks, mixed
 
-#: Steps of a walk that are sampled, and hash tables that share them out.
+#: Most steps of a walk that are sampled, and hash tables that share them out.
 STEPS, TABLES = 60, 4
+#: Bytes at which walks may end. A window of an item takes the widest that the rest of the item fills.
+WIDTHS = (1, 2, 4, 6, 8, 12, 16, 24, 32, 44, STEPS)
 FLAG_BITS = 20
 #: Items whose index one pass over the texts holds; more items take further passes.
 ITEMS = 20_000
@@ -30,6 +32,10 @@ _U = np.uint64
 _SAME = np.arange(256, dtype=np.uint8)
 _SAME[65:91] += 32
 _PLAIN = np.zeros(256, bool)
+#: Code points of scripts without spaces, each of which begins a window and counts as a word, and of
+#: spaces and punctuation beyond ASCII, which end a word.
+UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF), (0x3040, 0x312F), (0x31A0, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B2FF), (0x20000, 0x3FFFF))
+PARTING = ((0x80, 0xA9), (0xAB, 0xB4), (0xB6, 0xB9), (0xBB, 0xBF), (0x2000, 0x206F), (0x3000, 0x303F), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20))
 _PLAIN[48:58] = _PLAIN[97:123] = _PLAIN[65:91] = _PLAIN[128:] = True
 
 
@@ -51,20 +57,22 @@ def _coins() -> np.ndarray:
     return (mixed(np.arange(STEPS * 256, dtype=_U) + _U(SEED)) & _U(1)).astype(np.int32).reshape(STEPS, 256)
 
 
-def window_keys(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(table, window) keys of the windows at ``starts``.
+def window_keys(text: np.ndarray, starts: np.ndarray, width: int = STEPS) -> np.ndarray:
+    """(table, window) keys of the windows of ``width`` bytes at ``starts``.
 
     A CGK walk reads the byte at its place at each step, then moves on by 0 or 1 as a fixed coin of
-    (step, byte) says. Two walks over texts that differ by an edit fall into step again after a few
-    steps, so few of the bytes read differ. Table t's key is made of every ``TABLES``-th byte read;
-    walks whose differences miss one table's steps share its key.
+    (step, byte) says; past the window it reads spaces. Two walks over texts that differ by an edit
+    fall into step again after a few steps, so few of the bytes read differ. Table t's key is made of
+    every ``TABLES``-th byte read; walks whose differences miss one table's steps share its key.
     """
     padded = np.append(text, np.full(STEPS, 32, np.uint8))
-    place, keys = starts.astype(np.int64), np.zeros((TABLES, len(starts)), _U)
+    place, keys, end = starts.astype(np.int64), np.zeros((TABLES, len(starts)), _U), starts + width
     spread = mixed(np.arange(256, dtype=_U) + _U(SEED * 7))
     with np.errstate(over="ignore"):
-        for step, coin in enumerate(_coins()):
+        for step, coin in enumerate(_coins()[: 2 * width]):
             byte = padded[place]
+            if step >= width:  # no walk is past its window before
+                byte = np.where(place < end, byte, np.uint8(32))
             key = keys[step % TABLES]
             key *= _U(0x9E3779B97F4A7C15)
             key += spread[byte]
@@ -74,10 +82,31 @@ def window_keys(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return keys
 
 
+def _within(codes: np.ndarray, ranges: tuple[tuple[int, int], ...]) -> np.ndarray:
+    edges = np.array(ranges)
+    at = np.searchsorted(edges[:, 0], codes, side="right") - 1
+    return (at >= 0) & (codes <= edges[at, 1])
+
+
 def word_starts(text: np.ndarray) -> np.ndarray:
-    """Places after a space that are not spaces."""
+    """Places that are not spaces, after a space or a character that parts words, and every character
+    of a script without spaces and what follows it."""
     space = text == 32
-    return np.flatnonzero(~space[1:] & space[:-1]) + 1
+    begins = np.append(False, ~space[1:] & space[:-1])
+    lead = np.flatnonzero((text == 0xC2) | (text >= 0xE0))  # all characters of the listed ranges
+    if len(lead):
+        b = np.append(text, np.zeros(4, np.uint8)).astype(np.int64)
+        one, two, three, four = (b[lead + k] for k in range(4))
+        size = np.where(one < 0xE0, 2, np.where(one < 0xF0, 3, 4))
+        low = lambda x: x & 63
+        codes = np.where(size == 2, (one & 31) << 6 | low(two), np.where(
+            size == 3, (one & 15) << 12 | low(two) << 6 | low(three), (one & 7) << 18 | low(two) << 12 | low(three) << 6 | low(four)))
+        alone, parts = _within(codes, UNSPACED), _within(codes, PARTING)
+        begins[lead[alone]] = True
+        after = (lead + size)[alone | parts]
+        after = after[after < len(text)]
+        begins[after[text[after] != 32]] = True
+    return np.flatnonzero(begins)
 
 
 def edit_distance(item: bytes, text: bytes, most: int) -> tuple[int, int] | None:
@@ -107,7 +136,8 @@ def edit_distance(item: bytes, text: bytes, most: int) -> tuple[int, int] | None
 
 
 class ItemIndex:
-    """Keys of every window of every item, one at each of its words, and the items themselves."""
+    """Keys of the windows of every item, which begin at its words, end within it and are at least
+    half as long as it, up to the longest walk; and the items themselves."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         text, at = normal(texts)
@@ -116,18 +146,28 @@ class ItemIndex:
         # an item is stripped of its outer spaces; places count from its first character
         starts = word_starts(text)
         owner = np.searchsorted(at, starts, side="right") - 1
-        keys = window_keys(text, starts)
         first = np.full(len(ids), 1 << 60, np.int64)
         np.minimum.at(first, owner, starts)
-        self.tables = []
-        self.flags = np.zeros(1 << FLAG_BITS, bool)
-        for t in range(TABLES):
-            # an item that repeats itself keeps the first and the last place of each key
-            order = np.lexsort((starts, owner, keys[t]))
-            new = np.append(True, (np.diff(keys[t][order]) != 0) | (np.diff(owner[order]) != 0))[: len(order)]
-            order = order[new | np.append(new[1:], True)[: len(order)]]
-            self.tables.append((keys[t][order], owner[order].astype(np.int32), (starts - first[owner])[order].astype(np.int32)))
-            self.flags[keys[t] >> _U(64 - FLAG_BITS)] = True
+        size = np.array([len(i) for i in self.items], np.int64)[owner]
+        rest = first[owner] + size - starts
+        widths = np.array(WIDTHS)
+        # an item of one character that is no window's start has none
+        width = widths[np.maximum(np.searchsorted(widths, rest, side="right") - 1, 0)]
+        #: by width: flags, and for each table (keys, item, offset in the item)
+        self.windows = {}
+        for w in WIDTHS:
+            on = np.flatnonzero((width == w) & (rest >= w) & (2 * w >= np.minimum(size, 2 * STEPS)))
+            if not len(on):
+                continue
+            tables, flags = [], np.zeros(1 << FLAG_BITS, bool)
+            for key in window_keys(text, starts[on], w):
+                # an item that repeats itself keeps the first and the last place of each key
+                order = np.lexsort((starts[on], owner[on], key))
+                new = np.append(True, (np.diff(key[order]) != 0) | (np.diff(owner[on][order]) != 0))
+                order = order[new | np.append(new[1:], True)]
+                tables.append((key[order], owner[on][order].astype(np.int32), (starts - first[owner])[on][order].astype(np.int32)))
+                flags[key >> _U(64 - FLAG_BITS)] = True
+            self.windows[w] = flags, tables
 
     def candidates(self, text: np.ndarray) -> np.ndarray:
         """Rows of (place, item, offset in the item) of windows that share a key with an item's."""
@@ -135,13 +175,15 @@ class ItemIndex:
         out = [np.zeros((0, 3), np.int64)]
         for at in range(0, len(starts), 1 << 16):
             part = starts[at : at + (1 << 16)]
-            for (keys, owner, offset), key in zip(self.tables, window_keys(text, part), strict=True):
-                on = np.flatnonzero(self.flags[key >> _U(64 - FLAG_BITS)])
-                lo, hi = np.searchsorted(keys, key[on], "left"), np.searchsorted(keys, key[on], "right")
-                n = hi - lo
-                which = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                out.append(np.stack([part[np.repeat(on, n)], owner[which], offset[which]], axis=1))
-        return np.concatenate(out)
+            near = text[: part[-1] + STEPS]
+            for width, (flags, tables) in self.windows.items():
+                for (keys, owner, offset), key in zip(tables, window_keys(near, part, width), strict=True):
+                    on = np.flatnonzero(flags[key >> _U(64 - FLAG_BITS)])
+                    lo, hi = np.searchsorted(keys, key[on], "left"), np.searchsorted(keys, key[on], "right")
+                    n = hi - lo
+                    which = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    out.append(np.stack([part[np.repeat(on, n)], owner[which], offset[which]], axis=1))
+        return np.unique(np.concatenate(out), axis=0)
 
     def leaks(self, texts: list[str], edits: float) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, distance, end in the normal form) of every item found in every whole text.
@@ -171,7 +213,8 @@ class ItemIndex:
 def _index_blocks(benchmark: DataFrame, item_id: str, text: str, least_words: int, most_items: int, most_bytes: int) -> Iterator[ItemIndex]:
     """Indexes of blocks of items, each of bounded size; the driver holds one block at a time."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
-    words = F.regexp_count("text", F.lit("[A-Za-z0-9\\x{80}-\\x{10FFFF}]+"))
+    span = lambda ranges: "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
+    words = F.regexp_count("text", F.lit(f"[{span(UNSPACED)}]|[A-Za-z0-9\\x{{80}}-\\x{{10FFFF}}&&[^{span(UNSPACED + PARTING)}]]+"))
     items = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).where(words >= least_words).distinct()
     ids, texts, size = [], [], 0
     for r in items.orderBy("item_id", "text").toLocalIterator():
@@ -193,7 +236,7 @@ def find_leaks(
     the first place found; ``edits`` is the share of the item's normal form that may be edited.
 
     Null texts and ids of items and items under ``least_words`` words take no part, being no
-    passages; null document texts are empty. Repeated items are one; repeated rows are reported
+    passages; where a script has no spaces each character counts as a word; null document texts are empty. Repeated items are one; repeated rows are reported
     once each. Items beyond a block's bound take a further pass over the texts.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
