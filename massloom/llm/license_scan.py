@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from massloom.llm.common import kept, lowered, with_row_id
+from massloom.llm.common import kept, lowered, release, with_row_id
 
 #: Notices by licence, as published; more can be given to the operator.
 TEMPLATES = {
@@ -38,18 +38,18 @@ def _plain(text: str) -> list[str]:
     return [w for w in re.split(_SPLIT, text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))) if w]
 
 
-def idf_of(bodies: DataFrame, terms: Sequence[str]) -> tuple[dict[str, float], float]:
-    """Inverse document frequency of the templates' terms over all texts, and of a word never seen.
+def word_documents(bodies: DataFrame) -> DataFrame:
+    """(word, texts): how many texts have each word."""
+    seen = bodies.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word"))
+    return kept(seen.groupBy("word").agg(F.count("*").alias("texts")), "word-documents")
 
-    The driver gets one count per template term; the corpus's other words weigh as never seen.
-    """
+
+def idf_of(texts: DataFrame, n: int, terms: Sequence[str]) -> dict[str, float]:
+    """Inverse document frequency of the templates' terms over all ``n`` texts."""
     # broadcast: the terms of the given templates, a few hundred
-    listed = F.broadcast(bodies.sparkSession.createDataFrame([(t,) for t in terms], "word string"))
-    n = bodies.count()
-    seen = bodies.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).join(listed, "word")
-    counts = {r["word"]: r["n"] for r in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}
-    weight = lambda c: math.log((n + 1) / (c + 1)) + 1
-    return {t: weight(counts.get(t, 0)) for t in terms}, weight(0)
+    listed = F.broadcast(texts.sparkSession.createDataFrame([(t,) for t in terms], "word string"))
+    counts = {r["word"]: r["texts"] for r in texts.join(listed, "word").collect()}
+    return {t: math.log((n + 1) / (counts.get(t, 0) + 1)) + 1 for t in terms}
 
 
 def template_vectors(templates: Mapping[str, Sequence[str]], idf: Mapping[str, float]) -> list[tuple[str, int, str, float]]:
@@ -86,7 +86,8 @@ def notices(bodies: DataFrame, whole: Column, templates: Mapping[str, Sequence[s
     ``opening``: the first sentence has a match. Ties go to the smaller license name.
     """
     terms = sorted({w for texts in templates.values() for t in texts for w in _plain(t)})
-    idf, unseen = idf_of(bodies, terms)
+    texts, n = word_documents(bodies), bodies.count()
+    idf = idf_of(texts, n, terms)
     vectors = template_vectors(templates, idf)
     leads = F.array(*[F.lit(t) for t in leading_terms(vectors, least)])
     spark = bodies.sparkSession
@@ -94,8 +95,11 @@ def notices(bodies: DataFrame, whole: Column, templates: Mapping[str, Sequence[s
     words = bodies.select("uid", F.posexplode(parts).alias("part", "said")).select("uid", "part", _words(F.col("said")).alias("words"))
     words = words.where(F.arrays_overlap("words", leads)).select("uid", "part", F.explode("words").alias("word"))
     counts = kept(words.groupBy("uid", "part", "word").agg(F.count("*").alias("n")), "notice-words")
-    weights = spark.createDataFrame([(t, float(x)) for t, x in idf.items()], "word string, idf double")
-    weighed = counts.join(weights, "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(unseen)))
+    # every word weighs as it does over all texts; the words of candidate sentences are looked up
+    wanted = kept(texts.join(counts.select("word").distinct(), "word", "left_semi"), "wanted-words")
+    release(texts)
+    idf_column = F.log(F.lit(float(n + 1)) / (F.col("texts") + 1)) + 1
+    weighed = counts.join(wanted, "word").withColumn("x", F.col("n") * idf_column)
     length = weighed.groupBy("uid", "part").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
     vector = spark.createDataFrame(vectors, "license string, template int, word string, weight double")
     dots = weighed.join(vector, "word").groupBy("uid", "part", "license", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
