@@ -33,11 +33,11 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def tile(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
-    """The ``k`` best rows of a row block for each query of a query block.
+    """The ``k`` best ids of a row block for each query of a query block, by the best of an id's rows.
 
     |q.x - scaled int8 product| <= error(q) (1 + error(x)) + error(x), so a pair whose upper bound is
-    below the ``k``-th largest lower bound of its query can't be among the best. The pairs left are
-    computed in double precision from the given vectors; ties go to the smaller id.
+    below the ``k``-th largest lower bound of its query, an id's largest being the id's, can't be
+    among the best. The pairs left are computed in double precision from the given vectors; ties go to the smaller id.
     """
     qc, qs, qe = _coded(q)
     xc, xs, xe = _coded(x)
@@ -45,13 +45,21 @@ def tile(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int
     slack = qe[:, None] * (1 + xe[None, :]) + xe[None, :] + 1e-9
     other = qids[:, None] != ids[None, :]
     low = np.where(other, near - slack, -np.inf)
-    floor = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(qids), -np.inf)
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
+    if len(first) < len(ids):
+        low = np.maximum.reduceat(low[:, order], first, axis=1)
+    floor = np.partition(low, len(first) - k, axis=1)[:, len(first) - k] if len(first) > k else np.full(len(qids), -np.inf)
     i, j = np.nonzero(other & (near + slack >= floor[:, None]))
     q_length, x_length = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
     score = np.empty(len(i))
     for at in range(0, len(i), 1 << 16):
         a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
         score[at : at + (1 << 16)] = (q[a] * x[b]).sum(axis=1) / (q_length[a] * x_length[b])
+    if len(first) < len(ids):  # an id's best pair is the id's
+        order = np.lexsort((-score, ids[j], i))
+        new = np.append(True, (np.diff(i[order]) != 0) | (np.diff(ids[j][order]) != 0))[: len(order)]
+        i, j, score = i[order][new], j[order][new], score[order][new]
     heaps: list[list[tuple[float, int]]] = [[] for _ in qids]
     for a, s, b in zip(i.tolist(), score.tolist(), (-ids[j]).tolist(), strict=True):
         heap = heaps[a]
@@ -97,7 +105,7 @@ def nearest(
 
     keys = ["dims", "qb", "rb"]
     best = asks.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(compare, "query_id long, vec_id long, score double")
-    # k rows a query and row block; the rank filter keeps k of them per task before the shuffle
+    # k ids a query vector and row block; the rank filter keeps k of them per task before the shuffle
     best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
