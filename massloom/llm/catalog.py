@@ -11,11 +11,14 @@ from massloom.llm.block_search import nearest
 from massloom.llm.common import table
 from massloom.llm.context_mix import lm_scores
 from massloom.llm.decontaminate import find_leaks
+from massloom.llm.fill_middle import middle_digest
 from massloom.llm.license_scan import license_scan
 from massloom.llm.ngram_join import near_duplicates
 from massloom.llm.oracles import SQL
+from massloom.llm.plane_clusters import clusters
 from massloom.llm.quality import classify
 from massloom.llm.secret_scan import secret_digest
+from massloom.llm.slice_search import top_products
 from massloom.llm.source_mix import mix_digest
 from massloom.llm.url_filter import filter_urls
 from massloom.llm.warc import archive_round_trip
@@ -67,9 +70,21 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_digest(table(spark, folder, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middle_digest(table(spark, folder, "documents"))
+
+
+def op12_slice_search(spark: SparkSession, folder: str) -> DataFrame:
+    return top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_plane_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters(table(spark, folder, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_secret_scan, op3_url_filter, op4_block_search, op5_context_mix, op6_warc, op7_ngram_join, op8_decontaminate,
-    op9_quality, op10_source_mix)}
+    op9_quality, op10_source_mix, op11_fill_middle, op12_slice_search, op13_plane_clusters)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

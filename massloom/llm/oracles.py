@@ -69,4 +69,38 @@ c as (select d.*, source_size, target, sum(size) over (partition by d.source ord
 select doc_id, cast(size as bigint) as size, source_size, target,
   cast(greatest(0, least(upto, floor(target)) - (upto - size)) + greatest(0, least(upto + source_size, floor(target)) - (upto + source_size - size)) as bigint) as taken from c"""
 
-SQL = {"op2_secret_scan": SECRETS, "op4_block_search": NEAREST, "op6_warc": WARC, "op7_ngram_join": JOIN, "op10_source_mix": MIX}
+FIM = """with d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+  sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+c as (select *, len(u) as n, cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+  cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4 from d),
+e as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from c),
+p as (select *, coalesce(array_to_string(u[1:a], ''), '') as pre, coalesce(array_to_string(u[a + 1:b], ''), '') as mid, coalesce(array_to_string(u[b + 1:], ''), '') as suf from e)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid when 'spm' then '<S>' || suf || '<P>' || pre || '<M>' || mid else t end) as output_sha256,
+  sha256(t) as restored_sha256 from p"""
+
+_FINITE = "list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))"
+PRODUCTS = f"""with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e from embeddings where vec_id is not null and {_FINITE}),
+s as (select q.vec_id as query_id, v.vec_id, max(cast(list_dot_product(q.e, v.e) as bigint)) as score from v q join v on v.vec_id <> q.vec_id and len(v.e) = len(q.e)
+  where q.vec_id % 100 = 0 group by 1, 2),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 10"""
+
+_ROUND = """a{r} as materialized (select uid, e, arg_min(cluster, (d, cluster)) as cluster, min(d) as d from (
+  select uid, e, cluster, list_dot_product(e, e) - 2 * list_dot_product(e, c) + list_dot_product(c, c) as d from v, c{r}) group by 1, 2)"""
+_MOVE = """c{n} as materialized (select c{r}.cluster, coalesce(m.c, c{r}.c) as c from c{r} left join (
+  select cluster, list(cast((s - ((s % n) + n) % n) // n as double) order by i) as c from (
+    select cluster, i, sum(cast(e[i] as bigint)) as s, count(*) as n from (select cluster, e, unnest(range(1, 65)) as i from a{r}) group by 1, 2) group by 1) m using (cluster))"""
+_STEPS = ",\n".join(_ROUND.format(r=r) + (",\n" + _MOVE.format(r=r, n=r + 1) if r < 5 else "") for r in range(6))
+CLUSTERS = f"""with v as materialized (select row_number() over () as uid, vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+  where len(embedding) = 64 and {_FINITE}),
+c0 as materialized (select cast(row_number() over (order by sha256('2:' || coalesce(cast(vec_id as varchar), ''))) - 1 as int) as cluster, e as c from v qualify cluster < 40),
+{_STEPS},
+t as (select cluster, sum(d) as d from a5 group by 1)
+select v.vec_id, a5.cluster, cast(a5.d as bigint) as distance, cast(t.d as bigint) as cluster_inertia, (select cast(sum(d) as bigint) from t) as inertia,
+  sha256(array_to_string(list_transform(c5.c, lambda x: cast(cast(x as bigint) as varchar)), ',')) as centroid_sha256
+from a5 join v using (uid) join t using (cluster) join c5 using (cluster)"""
+
+SQL = {"op2_secret_scan": SECRETS, "op4_block_search": NEAREST, "op6_warc": WARC, "op7_ngram_join": JOIN, "op10_source_mix": MIX,
+       "op11_fill_middle": FIM, "op12_slice_search": PRODUCTS, "op13_plane_clusters": CLUSTERS}
