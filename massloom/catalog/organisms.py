@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from massloom.catalog.registry import query, rounded
-from massloom.operators import denovo, graph, taxa
+from massloom.operators import denovo, graph, inference, taxa
 from massloom.plans import organisms as plan
 
 SCORED = """select sequence as peptide, max(score) as score, count(*) as psms from {f_denovo} group by sequence"""
@@ -16,10 +16,12 @@ def scores(t):
     return denovo.peptide_scores(t("f_denovo").withColumnRenamed("sequence", "peptide"))
 
 
-@query("""select p.sequence, p.taxon_id from {f_peptide_taxa} p where p.sequence in (select sequence from {f_denovo} where charge = 3 and length(sequence) % 2 = 0)""")
+@query("""select p.sequence, p.taxon_id from {f_peptide_taxa} p
+where p.sequence in (select sequence from {f_denovo} where length(sequence) > 10 and score >= 0.8)""")
 def j11_lookup_taxa(t):
-    """The lookup is a semi join; the peptides asked for are half of the table's."""
-    return taxa.lookup_taxa(t("f_denovo").where("charge = 3 and length(sequence) % 2 = 0"), t("f_peptide_taxa"))
+    """The peptides that pass the filter of de novo results, looked up in a bucketed table."""
+    table = taxa.write_peptide_taxa(t("f_peptide_taxa"), "peptide_taxa", 8)
+    return taxa.lookup_taxa(denovo.filter_denovo(t("f_denovo"), sequence="sequence"), table)
 
 
 @query("""select p.sequence, p.taxon_id from {f_peptide_taxa} p join {f_lineage} l on l.taxon_id = p.taxon_id
@@ -235,34 +237,71 @@ FOREST = """select concat('p', cast(s_suppkey as string), '_', cast(j as string)
   0.3 + cast((s_suppkey * 7 + j * 3) % 10 as double) / 15 as score from {supplier}, (values (0, 0), (0, 1), (1, 1), (1, 2), (2, 2), (2, 3)) as v(i, j)"""
 
 
-@query(f"""with e as ({FOREST}), g as (select * from (select unnest([0.7::double, 0.8::double, 0.9::double, 0.99::double]) as alpha) a,
+# every state of a supplier's taxa by enumeration: w is its weight, the posterior its share
+ENUMERATED = """g as (select * from (select unnest([0.7::double, 0.8::double, 0.9::double, 0.99::double]) as alpha) a,
     (select unnest([0.6::double, 0.7::double, 0.8::double, 0.9::double]) as beta) b, (select unnest([0.1::double, 0.3::double, 0.5::double]) as prior) p),
 st as (select s_suppkey, unnest(range(0, 8)) as st from supplier),
 k as (select s_suppkey, st, sequence, any_value(score) as score, sum((st >> (taxon_id % 10)) & 1) as k from st join e on taxon_id // 10 = s_suppkey group by 1, 2, 3),
 f as (select s_suppkey, st, alpha, beta, prior, power(power(1 - alpha, k) * (1 - beta), k) * (1 - beta) / greatest(k, 1) as absent, score from k, g),
 w as (select s_suppkey, st, alpha, beta, prior, product((1 - score) * absent + score * (1 - absent)) * power(prior, bit_count(st)) * power(1 - prior, 3 - bit_count(st)) as w from f group by s_suppkey, st, alpha, beta, prior),
-i as (select unnest([0, 1, 2]) as i)
-select s_suppkey * 10 + i as taxon_id, alpha, beta, prior, round(sum(case when (st >> i) & 1 = 1 then w else 0 end) / sum(w), 6) as score, true as converged from w, i group by 1, 2, 3, 4""")
-def g05_posteriors_forest(t):
-    out = graph.taxon_posteriors(t.sql(FOREST), tol=1e-9, damping=(0.0,))
+i as (select unnest([0, 1, 2]) as i),
+post as (select s_suppkey * 10 + i as taxon_id, alpha, beta, prior, sum(case when (st >> i) & 1 = 1 then w else 0 end) / sum(w) as score from w, i group by 1, 2, 3, 4)"""
+
+
+def _posteriors(t, out):
     out = out.join(graph.grid_params(t.spark), "param_id").select("taxon_id", "alpha", "beta", "prior", "score", "converged")
     return rounded(out, 6, "score")
 
 
-# a loop of three taxa and three peptides for each supplier
-LOOPS = FOREST.replace("(0, 0), (0, 1), (1, 1), (1, 2), (2, 2), (2, 3)", "(0, 0), (0, 1), (1, 1), (1, 2), (2, 2), (2, 0)")
+@query(f"with e as ({FOREST}), {ENUMERATED} select taxon_id, alpha, beta, prior, round(score, 6) as score, true as converged from post")
+def g05_posteriors_forest(t):
+    return _posteriors(t, graph.taxon_posteriors(t.sql(FOREST), tol=1e-9, damping=(0.0,)))
 
 
-@query()
+# a loop of three taxa and three peptides for each supplier, no two suppliers alike
+LOOPS = """select concat('p', cast(s_suppkey as string), '_', cast(j as string)) as sequence, s_suppkey * 10 + i as taxon_id,
+  0.3 + cast((s_suppkey * 7919 + j * 3571) % 9973 as double) / 15000 as score from {supplier}, (values (0, 0), (0, 1), (1, 1), (1, 2), (2, 2), (2, 0)) as v(i, j)"""
+
+
+@query(f"with e as ({LOOPS}), {ENUMERATED} select taxon_id, alpha, beta, prior, round(score, 6) as score, true as converged from post")
 def g05_taxon_posteriors(t):
-    out = graph.taxon_posteriors(t.sql(LOOPS))
-    return rounded(out, 4, "score").drop("residual")
+    return _posteriors(t, inference.component_posteriors(t.sql(LOOPS)))
 
 
 @query()
+def g05_posteriors_dense(t):
+    """One component of all taxa and peptides of the data, for every parameter set."""
+    out = inference.component_posteriors(t.sql(SCORED_EDGES))
+    return rounded(out, 6, "score").drop("residual")
+
+
+# projects of two runs; the peptides of a loop differ in their matches
+PROJECT = "concat('PXD', cast({} % 2 as string)) as pxd, concat('run_', cast(cast(floor({} / 2) as int) % 2 as string)) as run"
+RUN_LOOPS = LOOPS.replace("select ", f"select {PROJECT.format('s_suppkey', 's_suppkey')}, ", 1)
+LOOP_PSMS = f"""select {PROJECT.format('s_suppkey', 's_suppkey')}, concat('p', cast(s_suppkey as string), '_', cast(j as string)) as peptide, 0.5 as score,
+  1 + (s_suppkey + j * 2) % 6 as psms from {{supplier}}, (values (0), (1), (2)) as v(j)"""
+
+
+# no taxon holds nine tenths of another's peptides, so all are heads
+@query(f"""with e as ({LOOPS}), {ENUMERATED}, m as ({LOOP_PSMS}),
+sc as (select *, {PROJECT.format('(taxon_id // 10)', '(taxon_id // 10)')} from post),
+wt as (select m.pxd, m.run, e.taxon_id, sum(log10(m.psms / 8 + 1)) as weight from e join m on m.peptide = e.sequence group by 1, 2, 3),
+a as (select *, row_number() over (partition by pxd, run, alpha, beta, prior order by score desc, taxon_id) as rs from sc),
+b as (select *, row_number() over (partition by pxd, run order by weight desc, taxon_id) as rw, count(*) over (partition by pxd, run) as n from wt),
+j as (select a.*, b.rw from a join b using (pxd, run, taxon_id)),
+tot as (select pxd, run, alpha, beta, prior, sum(score) as total, count(*) as k from a group by all),
+depth as (select *, unnest(range(1, k + 1)) as d from tot),
+ag as (select d.pxd, d.run, d.alpha, d.beta, d.prior, d.d, count(j.taxon_id) / any_value(d.d) as agreement from depth d left join j on j.pxd = d.pxd and j.run = d.run
+  and j.alpha = d.alpha and j.beta = d.beta and j.prior = d.prior and greatest(j.rs, j.rw) <= d.d group by all),
+ao as (select pxd, run, alpha, beta, prior, avg(agreement) as overlap from ag group by all),
+en as (select pxd, run, alpha, beta, prior, -sum(score / total * ln(score / total)) as entropy from j join tot using (pxd, run, alpha, beta, prior) group by all),
+best as (select *, row_number() over (partition by pxd, run order by overlap / (entropy * entropy) desc, alpha desc, beta desc, prior desc) as place from ao join en using (pxd, run, alpha, beta, prior))
+select pxd, run, taxon_id, concat('taxon ', cast(taxon_id as varchar)) as taxon_name, alpha, beta, prior, round(score, 6) as score
+from sc join best using (pxd, run, alpha, beta, prior) where place = 1""")
 def g06_infer_taxa(t):
-    edges = t.sql(LOOPS)
-    psms = edges.groupBy(F.col("sequence").alias("peptide")).agg(F.count("*").alias("psms"), F.max("score").alias("score"))
-    weights = taxa.taxon_weights(edges.select("sequence", "taxon_id"), psms)
+    """Four runs of two projects in one job; each gets its own best parameter set."""
+    edges, by = t.sql(RUN_LOOPS), ["pxd", "run"]
+    weights = taxa.taxon_weights(edges.select(*by, "sequence", "taxon_id"), t.sql(LOOP_PSMS), by)
     names = edges.select("taxon_id").distinct().withColumn("taxon_name", F.concat(F.lit("taxon "), "taxon_id"))
-    return plan.infer_taxa(edges, weights, names)
+    out = plan.infer_taxa(edges, weights, names, by=by).join(graph.grid_params(t.spark), "param_id")
+    return rounded(out.select(*by, "taxon_id", "taxon_name", "alpha", "beta", "prior", "score"), 6, "score")

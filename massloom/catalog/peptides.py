@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from massloom.catalog.registry import query, rounded
+from massloom.functions.counting import leave_one_out
 from massloom.functions import mass as mz, rules
 from massloom.operators import denovo as ops
 
@@ -143,18 +144,18 @@ def j13_candidates(t):
     return rounded(out, 3, "ppm")
 
 
-@query("""with g as (select sequence, run, list(score order by score, charge)[1:3] as s from {f_denovo} group by 1, 2),
-p as (select *, list_transform(s, lambda x: x / 2) as q from g where len(s) = 3)
-select sequence, run, round((((1 - q[2]) * (1 - q[3])) * 0.5 + (q[2] * (1 - q[3]) + (1 - q[2]) * q[3]) * 0.9 + q[2] * q[3] * 0.95) /
-  ((((1 - q[2]) * (1 - q[3])) * 0.1 + (q[2] * (1 - q[3]) + (1 - q[2]) * q[3]) * 0.5 + q[2] * q[3] * 0.9)
-  + (((1 - q[2]) * (1 - q[3])) * 0.5 + (q[2] * (1 - q[3]) + (1 - q[2]) * q[3]) * 0.9 + q[2] * q[3] * 0.95)), 9) as first_present from p""")
+# the counts of all other parents one after another; the likelihood of k present parents is 1 / (1 + k) + (k % 3) / 10
+@query("""with g as (select sequence, list(score / 2 order by score) as p from {f_denovo} group by 1),
+o as (select sequence, p, unnest(range(1, len(p) + 1)) as i from g),
+c as (select sequence, i, list_reduce(list_prepend([1.0::double], list_transform(p[1:i - 1] || p[i + 1:], lambda x: [x])),
+  lambda acc, x: list_transform(range(1, len(acc) + 2), lambda k: coalesce(acc[k], 0) * (1 - x[1]) + coalesce(case when k > 1 then acc[k - 1] end, 0) * x[1])) as c from o),
+l as (select sequence, i, list_sum(list_transform(range(0, len(c)), lambda k: c[k + 1] * (1 / (1.0::double + k) + (k % 3) / 10.0::double))) as absent,
+  list_sum(list_transform(range(0, len(c)), lambda k: c[k + 1] * (1 / (2.0::double + k) + ((k + 1) % 3) / 10.0::double))) as present from c)
+select sequence, cast(i as int) as place, round(absent / (absent + present), 9) as absent, round(present / (absent + present), 9) as present from l""")
 def x03_leave_one_out(t):
-    ranked = t("f_denovo").select("sequence", "run", "score", "charge")
-    from massloom.operators.ranking import top_n
-
-    three = top_n(ranked, ["sequence", "run"], [F.col("score"), F.col("charge")], 3)
-    groups = three.groupBy("sequence", "run").agg(F.array_sort(F.collect_list(F.struct("score", "charge"))).alias("s")).where("size(s) = 3")
-    present = F.transform("s", lambda x: x["score"] / 2)
-    likelihood = F.array(*[F.lit(v) for v in (0.1, 0.5, 0.9, 0.95)])
-    out = mz.leave_one_out(present, likelihood)
-    return rounded(groups.select("sequence", "run", out[0]["present"].alias("first_present")), 9, "first_present")
+    """All rows of a sequence are parents: groups of up to some fifty, on both sides of the short form's limit."""
+    groups = t("f_denovo").groupBy("sequence").agg(F.sort_array(F.collect_list(F.col("score") / 2)).alias("p"))
+    counts = F.sequence(F.lit(0), F.size("p"))
+    likelihood = F.transform(counts, lambda k: 1 / (1.0 + k) + (k % 3) / 10.0)
+    out = groups.select("sequence", F.posexplode(leave_one_out(F.col("p"), likelihood)).alias("place", "m"))
+    return rounded(out.select("sequence", (F.col("place") + 1).alias("place"), "m.absent", "m.present"), 9, "absent", "present")

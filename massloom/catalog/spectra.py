@@ -264,6 +264,6 @@ def k05_fragmentation_types(t):
 
 
 @query("""select filename, spectrum_id from (select filename, spectrum_id, row_number() over (partition by filename order by spectrum_id) as rn
-from {f_spectrum} where ms_level = 2 and spectrum_id in (select l_orderkey from lineitem)) where rn <= 20""")
+from {f_spectrum} where ms_level = 2 and spectrum_id in (select spectrum_id from {f_peak})) where rn <= 20""")
 def s19_sample_spectra(t):
     return sample_spectra(arrays(t).select("filename", "spectrum_id", "ms_level", "mz", "intensity"), 20).select("filename", "spectrum_id")

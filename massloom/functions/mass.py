@@ -70,32 +70,3 @@ def sequence_mass(peptide: Column) -> Column:
     lookup = F.create_map(*[F.lit(x) for pair in rules.RESIDUE_MASS.items() for x in pair])
     letters = F.filter(F.split(peptide, ""), lambda a: a != "")
     return F.aggregate(letters, F.lit(rules.WATER), lambda acc, a: acc + F.try_element_at(lookup, a))
-
-
-def leave_one_out(present: Column, likelihood: Column) -> Column:
-    """Messages to each of n binary variables from a likelihood over how many are present.
-
-    ``present`` holds P(variable = 1); ``likelihood`` has n + 1 entries. Entry i of the result
-    is ``struct(absent, present)``, scaled to sum to one. Quadratic in n: for short arrays.
-    """
-
-    def add(counts: Column, p: Column) -> Column:
-        stay = F.transform(F.concat(counts, F.array(F.lit(0.0))), lambda x: x * (1 - p))
-        move = F.transform(F.concat(F.array(F.lit(0.0)), counts), lambda x: x * p)
-        return F.zip_with(stay, move, lambda a, b: a + b)
-
-    def message(_: Column, i: Column) -> Column:
-        others = F.filter(present, lambda _x, j: j != i)
-        counts = F.aggregate(others, F.array(F.lit(1.0)), add)
-        n = F.size(counts)
-
-        def dot(shift: int) -> Column:
-            weights = F.slice(likelihood, F.lit(1 + shift), n)
-            return F.aggregate(
-                F.zip_with(counts, weights, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x
-            )
-
-        absent, there = dot(0), dot(1)
-        return F.struct((absent / (absent + there)).alias("absent"), (there / (absent + there)).alias("present"))
-
-    return F.transform(present, message)

@@ -3,19 +3,39 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from massloom import schemas
 from massloom.functions import rules
 from massloom.operators.ranking import numbered, top_n
-from massloom.session import checkpoint
+from massloom.session import checkpoint, scratch_dir
+
+
+def write_peptide_taxa(edges: DataFrame, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """The table (sequence, taxon_id) written once in ``buckets`` sorted files by hash of the sequence.
+
+    Lookups then join file by file: the table, which may be far larger than any project, is never
+    shuffled again. ``path`` is a folder that all executors reach, by default a new one in the
+    shared folder. The returned table keeps its buckets without a catalog.
+    """
+    spark = edges.sparkSession
+    entry = f"{name}_{uuid.uuid4().hex}"
+    writer = edges.select("sequence", "taxon_id").repartition(buckets, "sequence").write.bucketBy(buckets, "sequence").sortBy("sequence")
+    writer.option("path", path or scratch_dir(spark, name)).format("parquet").saveAsTable(entry)
+    return spark.table(entry)
 
 
 def lookup_taxa(peptides: DataFrame, peptide_taxa: DataFrame) -> DataFrame:
-    """Edges (sequence, taxon_id) of the distinct peptides asked for."""
+    """Edges (sequence, taxon_id) of the distinct peptides asked for.
+
+    With a table of :func:`write_peptide_taxa` only the peptides asked for are shuffled.
+    """
     return peptide_taxa.join(peptides.select("sequence").distinct(), "sequence", "left_semi")
 
 
@@ -47,8 +67,9 @@ def intersect_taxa(edges: DataFrame, allowed: DataFrame) -> DataFrame:
     return edges.join(allowed.select("taxon_id").distinct(), "taxon_id", "left_semi")
 
 
-def keep_taxa(edges: DataFrame, taxa: DataFrame) -> DataFrame:
-    return edges.join(taxa.select("taxon_id").distinct(), "taxon_id", "left_semi").select(*edges.columns)
+def keep_taxa(edges: DataFrame, taxa: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    keys = [*by, "taxon_id"]
+    return edges.join(taxa.select(*keys).distinct(), keys, "left_semi").select(*edges.columns)
 
 
 def to_rank(edges: DataFrame, lineage: DataFrame, rank: str = "species", drop_null: bool = False) -> DataFrame:
@@ -70,9 +91,9 @@ def to_rank(edges: DataFrame, lineage: DataFrame, rank: str = "species", drop_nu
     return out.where("taxon_id is not null") if drop_null else out
 
 
-def attach_scores(edges: DataFrame, scores: DataFrame) -> DataFrame:
+def attach_scores(edges: DataFrame, scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Score and match count of each edge's peptide; peptides without one keep NULLs."""
-    return edges.join(scores.select(F.col("peptide").alias("sequence"), "score", "psms"), "sequence", "left")
+    return edges.join(scores.select(*by, F.col("peptide").alias("sequence"), "score", "psms"), [*by, "sequence"], "left")
 
 
 def weighted_sample(
@@ -187,77 +208,137 @@ def taxon_classes(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame | None = None) -> DataFrame:
-    """Directed overlap between classes above ``threshold``: shared peptides / size of ``member``.
+#: Classes of a block, and peptides of a class that one tile row may hold.
+BLOCK_CLASSES, PART_PEPTIDES = 256, 1 << 16
+
 
-    Exact without building every pair. A member of n peptides may lack fewer than
-    d = n - floor(t n) of them, so of any p of its peptides a partner has at least p - d + 1.
-    Each member looks for partners with about 2 d of its rarest peptides; the few pairs that
-    reach this count are then counted in full. A peptide of very many taxa comes into play only
-    for members that have hardly any other.
+def _tile(members: pd.DataFrame, heads: pd.DataFrame, threshold: float, whole: bool) -> pd.DataFrame:
+    """Shared peptides of each member and head of two blocks, from bitmaps over the members' peptides.
+
+    A head smaller than the member's share of peptides can't hold enough of them. If the rows are
+    ``whole`` sets, only pairs that may pass the threshold are returned, else all that share any.
+    """
+    words, at = np.unique(np.concatenate(members["peptides"].tolist()), return_inverse=True)
+
+    def bitmaps(rows: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+        bits = np.zeros((n, -(-len(words) // 64) * 64), bool)
+        bits[rows, places] = True
+        return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+    mine = bitmaps(np.repeat(np.arange(len(members)), members["peptides"].str.len()), at, len(members))
+    held = np.concatenate(heads["peptides"].tolist())
+    places = np.minimum(np.searchsorted(words, held), len(words) - 1)
+    known = words[places] == held
+    theirs = bitmaps(np.repeat(np.arange(len(heads)), heads["peptides"].str.len())[known], places[known], len(heads))
+    n, size = members["n_peptides"].to_numpy(), heads["n_peptides"].to_numpy()
+    ids, others, out = members["class_id"].to_numpy(), heads["class_id"].to_numpy(), []
+    for i in range(len(members)):
+        least = n[i] * threshold - 1e-6
+        fits = np.flatnonzero((size > least) & (others != ids[i]))
+        shared = np.bitwise_count(mine[i] & theirs[fits]).sum(axis=1, dtype=np.int64)
+        keep = shared > (least if whole else 0)
+        out.append((np.full(keep.sum(), ids[i]), others[fits[keep]], shared[keep], np.full(keep.sum(), n[i])))
+    columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+    return pd.DataFrame(dict(zip(["member", "head", "shared", "n_peptides"], columns, strict=True)))
+
+
+def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Directed overlap between classes above ``threshold``: shared peptides / size of ``member``, in
+    each group of ``by``.
+
+    Exact without building every pair. A member of n peptides may lack fewer than d = n - floor(t n)
+    of them, so a partner holds at least one of any d. Each member looks for partners with its
+    first d or few more peptides in the order (taxa that hold it, hash): rare ones first, and members of
+    a family of near-copies choose the same ones. Classes with the same smallest peptide hash, as
+    most near-copies are, form blocks; blocks of which one looks for a peptide of the other are
+    compared by bitmaps in a tile. So a family costs its output, not the square of every shared
+    peptide, and a class without near-copies is a block of its own.
     """
-    classes = taxon_classes(edges) if classes is None else classes
-    heads = classes.where("taxon_id = class_id").select("class_id", "n_peptides")
-    core = edges.join(heads, F.col("taxon_id") == F.col("class_id")).select("class_id", "sequence", "n_peptides")
-    spread = core.groupBy("sequence").agg(F.count("*").alias("df"))
-    core = checkpoint(core.join(spread, "sequence"))
+    by = list(by)
+    classes = taxon_classes(edges, by) if classes is None else classes
+    heads = classes.where("taxon_id = class_id").select(*by, "taxon_id", "class_id", "n_peptides")
+    core = edges.join(heads, [*by, "taxon_id"]).select(*by, "class_id", "sequence", "n_peptides")
+    spread = checkpoint(core.groupBy(*by, "sequence").agg(F.count("*").alias("df")).withColumn("pid", F.monotonically_increasing_id()))
+    hashed = F.xxhash64("pid")
+    core = core.join(spread, [*by, "sequence"]).select(
+        *by, "class_id", "n_peptides", "pid", hashed.alias("hash"), (F.col("df") + (F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30))).alias("order"))
+    core = checkpoint(core)
+    keys = [*by, "class_id"]
     n = F.max("n_peptides")
     need = n - F.floor(n * threshold)
-    share = F.least(F.lit(1.0), 2 * need / n + 1e-3)
-    grid = F.percentile_approx("df", [i / 20 for i in range(1, 21)], 10_000)
-    limits = core.groupBy("class_id").agg(
-        need.alias("need"), F.try_element_at(grid, F.ceil(share * 20).cast("int")).alias("limit")
-    )
-    probe = core.join(limits, "class_id")
-    counts = probe.groupBy("class_id").agg(
-        F.count_if(F.col("df") <= F.col("limit")).alias("p"), F.max("n_peptides").alias("n"), F.max("need").alias("d")
-    )
-    counts = counts.select("class_id", (F.col("p") >= F.col("d")).alias("ok"), F.when(
-        F.col("p") >= F.col("d"), F.col("p")).otherwise(F.col("n")).alias("p"))
-    probe = probe.join(counts, "class_id").where("df <= limit or not ok")
-    pairs = (
-        probe.select(F.col("class_id").alias("member"), "sequence", (F.col("p") - F.col("need") + 1).alias("least"))
-        .join(core.select(F.col("class_id").alias("head"), "sequence"), "sequence")
-        .where("member <> head")
-        .groupBy("member", "head")
-        .agg(F.count("*").alias("met"), F.max("least").alias("least"))
-        .where("met >= least")
-        .select("member", "head")
-    )
-    shared = (
-        pairs.join(core.select(F.col("class_id").alias("member"), "sequence", "n_peptides"), "member")
-        .join(core.select(F.col("class_id").alias("head"), "sequence"), ["head", "sequence"])
-        .groupBy("member", "head")
-        .agg(F.count("*").alias("shared"), F.max("n_peptides").alias("n_peptides"))
-    )
+    share = F.least(F.lit(1.0), need / n + 1e-3)
+    grid = F.percentile_approx("order", [i / 50 for i in range(1, 51)], 10_000)
+    limits = core.groupBy(*keys).agg(
+        need.alias("need"), F.try_element_at(grid, F.ceil(share * 50).cast("int")).alias("limit"), F.min("hash").alias("least"), n.alias("n"))
+    family = limits.groupBy(*by, "least").agg(F.ceil(F.count("*") / BLOCK_CLASSES).alias("splits"))
+    limits = limits.join(family, [*by, "least"]).withColumn("block", F.xxhash64("least", F.pmod(F.xxhash64("class_id"), "splits")))
+    limits = checkpoint(limits.select(*keys, "need", "limit", "n", "block"))
+    core = core.join(limits.select(*keys, "limit", "need", "block"), keys)
+    # the quantile is near, not exact: a member whose limit leaves it too few peptides asks with all
+    enough = core.groupBy(*keys).agg((F.count_if(F.col("order") <= F.col("limit")) >= F.max("need")).alias("enough"))
+    probe = core.join(enough, keys).where("order <= limit or not enough").select(*by, "pid", F.col("block").alias("mb")).distinct()
+    met = probe.join(core.select(*by, "pid", F.col("block").alias("hb")).distinct(), [*by, "pid"]).select(*by, "mb", "hb").distinct()
+    met = checkpoint(met)
+    largest = limits.agg(F.max("n")).first()[0] or 1
+    parts = -(-largest // PART_PEPTIDES)
+    sets = core.groupBy(*keys, "block", F.pmod("hash", F.lit(parts)).alias("part")).agg(
+        F.max("n_peptides").alias("n_peptides"), F.sort_array(F.collect_list("pid")).alias("peptides"))
+    sets = checkpoint(sets)
+    kind = edges.schema["taxon_id"].dataType.simpleString()
+    names = [F.col(c).cast("string").alias(f"_k{i}") for i, c in enumerate(by)]
+    texts = [f"_k{i}" for i in range(len(by))]
+
+    def side(block: str) -> DataFrame:  # new names, as both sides come from the same tables
+        rest = [F.col(c).alias(c) for c in ("mb", "hb", "part", "class_id", "n_peptides", "peptides")]
+        return met.join(sets.withColumnRenamed("block", block), [*by, block]).select(*names, *rest)
+
+    tile_keys = [*texts, "mb", "hb", "part"]
+
+    def compare(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"member": [], "head": [], "shared": [], "n_peptides": []})
+        out = empty if a.empty or b.empty else _tile(a, b, threshold, parts == 1)
+        for name, value in zip(texts, key, strict=False):
+            out[name] = value
+        return out
+
+    text = "".join(f", {t} string" for t in texts)
+    shared = side("mb").groupBy(*tile_keys).cogroup(side("hb").groupBy(*tile_keys)).applyInPandas(
+        compare, f"member {kind}, head {kind}, shared long, n_peptides long{text}")
+    back = [F.col(t).cast(edges.schema[c].dataType).alias(c) for t, c in zip(texts, by, strict=True)]
+    shared = shared.select(*back, "member", "head", "shared", "n_peptides")
+    if parts > 1:
+        shared = shared.groupBy(*by, "member", "head").agg(F.sum("shared").alias("shared"), F.max("n_peptides").alias("n_peptides"))
     return shared.withColumn("overlap", F.col("shared") / F.col("n_peptides")).where(F.col("overlap") > threshold)
 
 
-def cluster_taxa(edges: DataFrame, weights: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """Clusters (head, member) of taxa: heaviest first, a head absorbs all that overlap with it.
+def cluster_taxa(edges: DataFrame, weights: DataFrame, threshold: float = 0.9, by: Sequence[str] = ()) -> DataFrame:
+    """Clusters (head, member) of taxa: heaviest first, a head absorbs all that overlap with it, in each
+    group of ``by``.
 
     The greedy choice, in rounds: a taxon becomes a head once every heavier one that could
     absorb it is known not to be a head, and is absorbed once one of them is. Taxa with equal
     peptide sets act as one, led by the heaviest. A member may belong to several heads.
     """
+    by = list(by)
     rank = F.struct((-F.col("weight")).alias("w"), F.col("taxon_id").alias("t"))
-    known = edges.join(weights.select("taxon_id"), "taxon_id", "left_semi").select("taxon_id", "sequence").distinct()
-    classes = checkpoint(taxon_classes(known))
-    best = classes.join(weights.select("taxon_id", "weight"), "taxon_id").groupBy("class_id").agg(F.min(rank).alias("rank"))
-    links = class_overlap(known, threshold, classes).select("member", "head")
+    known = edges.join(weights.select(*by, "taxon_id"), [*by, "taxon_id"], "left_semi").select(*by, "taxon_id", "sequence").distinct()
+    classes = checkpoint(taxon_classes(known, by))
+    best = classes.join(weights.select(*by, "taxon_id", "weight"), [*by, "taxon_id"]).groupBy(*by, "class_id").agg(F.min(rank).alias("rank"))
+    best = checkpoint(best)
+    links = class_overlap(known, threshold, classes, by).select(*by, "member", "head")
     links = checkpoint(
-        links.join(best.select(F.col("class_id").alias("member"), F.col("rank").alias("mr")), "member")
-        .join(best.select(F.col("class_id").alias("head"), F.col("rank").alias("hr")), "head")
+        links.join(best.select(*by, F.col("class_id").alias("member"), F.col("rank").alias("mr")), [*by, "member"])
+        .join(best.select(*by, F.col("class_id").alias("head"), F.col("rank").alias("hr")), [*by, "head"])
     )
-    heavier = links.where("hr < mr").select("member", "head")
-    state = checkpoint(best.select("class_id", F.lit(None).cast("boolean").alias("is_head")))
+    heavier = links.where("hr < mr").select(*by, "member", "head")
+    state = checkpoint(best.select(*by, "class_id", F.lit(None).cast("boolean").alias("is_head")))
     while True:  # each round decides at least the heaviest open class of every chain
-        above = heavier.join(state.withColumnRenamed("class_id", "head"), "head").groupBy("member").agg(
+        above = heavier.join(state.withColumnRenamed("class_id", "head"), [*by, "head"]).groupBy(*by, F.col("member").alias("class_id")).agg(
             F.coalesce(F.bool_or("is_head"), F.lit(False)).alias("absorbed"),
             F.count_if(F.col("is_head").isNull()).alias("open"),
         )
-        new = state.join(above, F.col("class_id") == F.col("member"), "left").select(
-            "class_id",
+        new = state.join(above, [*by, "class_id"], "left").select(
+            *by, "class_id",
             F.when(F.col("is_head").isNotNull(), F.col("is_head"))
             .when(F.coalesce("absorbed", F.lit(False)), F.lit(False))
             .when(F.coalesce("open", F.lit(0)) == 0, F.lit(True))
@@ -266,13 +347,13 @@ def cluster_taxa(edges: DataFrame, weights: DataFrame, threshold: float = 0.9) -
         state = checkpoint(new)
         if state.where("is_head is null").isEmpty():
             break
-    heads = state.where("is_head").join(best, "class_id").select(
-        F.col("class_id").alias("head"), F.col("rank.t").alias("head_taxon")
+    heads = state.where("is_head").join(best, [*by, "class_id"]).select(
+        *by, F.col("class_id").alias("head"), F.col("rank.t").alias("head_taxon")
     )
-    own = heads.select("head_taxon", F.col("head").alias("class_id"))
-    others = links.join(heads, "head").select("head_taxon", F.col("member").alias("class_id"))
-    return own.unionByName(others).join(classes.select("class_id", "taxon_id"), "class_id").select(
-        F.col("head_taxon").alias("head"), F.col("taxon_id").alias("member")
+    own = heads.select(*by, "head_taxon", F.col("head").alias("class_id"))
+    others = links.join(heads, [*by, "head"]).select(*by, "head_taxon", F.col("member").alias("class_id"))
+    return own.unionByName(others).join(classes.select(*by, "class_id", "taxon_id"), [*by, "class_id"]).select(
+        *by, F.col("head_taxon").alias("head"), F.col("taxon_id").alias("member")
     )
 
 
@@ -293,20 +374,19 @@ def goodness(scores: DataFrame, weights: DataFrame, by: Sequence[str] = ("param_
 
     With ``p`` = 1 the overlap is the mean over depths 1..k of the common share of both tops;
     a taxon at rank m in the worse list adds the sum of 1/d for d = m..k. Smaller ``p`` weighs
-    early depths more. A ranked list holds the taxa of one graph, which pruning has cut.
+    early depths more. Weights that have columns of ``by``, as a run, are ranked within them. A ranked list holds the taxa of one graph, which pruning has cut.
     """
     by = list(by)
     ranked = scores.select(*by, "taxon_id", "score", (-F.col("score")).alias("_low"))
     ranked = numbered(ranked, by, ["_low", "taxon_id"], "_s").drop("_low")
-    if "sample" in by and "sample" in weights.columns:
-        heavy = weights.select("sample", "taxon_id", (-F.col("weight")).alias("_low"))
-        heavy = numbered(heavy, ["sample"], ["_low", "taxon_id"], "_w").drop("_low")
-        sizes = heavy.groupBy("sample").agg(F.count("*").alias("_nw"))
-        joined = ranked.join(heavy, ["sample", "taxon_id"], "left").join(sizes, "sample")
+    own = [c for c in by if c in weights.columns]
+    heavy = weights.select(*own, "taxon_id", (-F.col("weight")).alias("_low"))
+    heavy = numbered(heavy, own, ["_low", "taxon_id"], "_w").drop("_low")
+    joined = ranked.join(heavy, [*own, "taxon_id"], "left")
+    if own:
+        joined = joined.join(heavy.groupBy(*own).agg(F.count("*").alias("_nw")), own, "left").withColumn("_nw", F.coalesce("_nw", F.lit(0)))
     else:
-        heavy = numbered(weights.select("taxon_id", (-F.col("weight")).alias("_low")), [], ["_low", "taxon_id"], "_w").drop("_low")
-        size = heavy.agg(F.count("*").alias("n")).scalar()
-        joined = ranked.join(heavy, "taxon_id", "left").withColumn("_nw", size)
+        joined = joined.withColumn("_nw", heavy.agg(F.count("*").alias("n")).scalar())
     totals = joined.groupBy(*by).agg(
         F.sum("score").alias("_sum"), F.least(F.count("*"), F.max("_nw")).alias("_k")
     )
@@ -346,5 +426,3 @@ def with_grid(
         for i, (a, b, c) in enumerate((a, b, c) for a in alphas for b in betas for c in priors)
     ]
     return df.withColumn("_p", F.explode(F.array(*grid))).select(*df.columns, "_p.*")
-
-

@@ -126,8 +126,10 @@ def test_durations(spark):
 def test_leave_one_out_matches_enumeration(spark):
     import itertools
 
+    from massloom.functions.counting import leave_one_out
+
     p, like = [0.2, 0.7, 0.9], [0.1, 0.5, 0.8, 0.9]
-    got = one(spark, mz.leave_one_out(F.array(*map(F.lit, p)), F.array(*map(F.lit, like))))
+    got = one(spark, leave_one_out(F.array(*map(F.lit, p)), F.array(*map(F.lit, like))))
     for i, r in enumerate(got):
         totals = [0.0, 0.0]
         for x in (0, 1):
@@ -137,3 +139,62 @@ def test_leave_one_out_matches_enumeration(spark):
                     w *= q if bit else 1 - q
                 totals[x] += w * like[sum(rest) + x]
         assert abs(r.present - totals[1] / sum(totals)) < 1e-12
+
+
+def messages_by_deletion(p, like):
+    """Each variable's messages from the counts of all others, added one after another."""
+    import numpy as np
+
+    out = []
+    for i in range(len(p)):
+        counts = np.ones(1)
+        for j, x in enumerate(p):
+            if j != i:
+                counts = np.append(counts * (1 - x), 0) + np.append(0, counts * x)
+        absent, there = counts @ like[:-1], counts @ like[1:]
+        out.append(there / (absent + there))
+    return np.array(out)
+
+
+def test_leave_one_out_tree_equals_deletion():
+    import numpy as np
+
+    from massloom.functions import counting
+
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 5, 64, 300):
+        p, like = rng.uniform(0, 1, (2, n)), rng.uniform(0, 1, (2, n + 1))
+        absent, there = counting.tree_messages(p, like)
+        for row in range(2):
+            assert np.abs(there[row] - messages_by_deletion(p[row], like[row])).max() < 1e-12
+        assert np.abs(absent + there - 1).max() < 1e-12
+
+
+def test_leave_one_out_by_fourier_transforms(monkeypatch):
+    import numpy as np
+
+    from massloom.functions import counting
+
+    rng = np.random.default_rng(2)
+    p, like = rng.uniform(0.1, 0.9, (1, 400)), np.exp(-np.arange(401) / 400)[None] + 0.1
+    direct = counting.tree_messages(p, like)[1]
+    monkeypatch.setattr(counting, "LONG", 16)
+    assert np.abs(counting.tree_messages(p, like)[1] - direct).max() < 1e-9
+    assert np.abs(direct[0] - messages_by_deletion(p[0], like[0])).max() < 1e-12
+
+
+def test_leave_one_out_forms_agree_on_columns(spark):
+    import numpy as np
+
+    from massloom.functions.counting import leave_one_out
+
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.uniform(0, 1, n).tolist(), rng.uniform(0, 1, n + 1).tolist()) for i, n in enumerate((1, 2, 8, 32, 33, 1000))] + [(9, None, None)]
+    df = spark.createDataFrame(rows, "id int, p array<double>, l array<double>").repartition(3)
+    want = {i: messages_by_deletion(p, np.array(like)) for i, p, like in rows if p is not None}
+    for short in (0, 8, 32, 64):
+        some = df if short < 64 else df.where("id < 5 or id = 9")
+        got = {r.id: r.m for r in some.select("id", leave_one_out(F.col("p"), F.col("l"), short).alias("m")).collect()}
+        for i in got.keys() & want.keys():
+            assert max(abs(m.present - w) + abs(m.absent + w - 1) for m, w in zip(got[i], want[i], strict=True)) < 1e-11
+        assert got[9] is None

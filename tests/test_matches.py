@@ -80,3 +80,18 @@ def test_resolve_spectrum_file(spark):
     files = spark.createDataFrame([("a.mzML",), ("b.mzML",), ("bb.mzML",), ("c.raw.mzML",)], "file string")
     got = {r.filename: r.actual_file for r in ops.resolve_spectrum_file(names, files).collect()}
     assert got == {"a.mzML": "a.mzML", "b": "b.mzML", "c.raw": "c.raw.mzML", "d": "d", "x.mzML": "x.mzML"}
+
+
+def test_numbered_cuts_large_groups_into_ranges(spark):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.concat(F.lit("g"), F.col("id") % 90)).alias("g"),
+        F.when(F.col("id") % 7 > 0, F.xxhash64("id") % 50).alias("v"), F.concat(F.lit("t"), "id").alias("t"), F.col("id").alias("_key_of_another"),
+    ).repartition(6)
+    want = df.selectExpr("*", "cast(row_number() over (partition by g order by v, t) as bigint) as n")
+    got = ranking.numbered(df, ["g"], ["v", "t"], "n", most=700)
+    assert got.exceptAll(want).isEmpty() and got.count() == 20_000
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_range" in text
+    whole = ranking.numbered(df, [], [F.col("t")], "n", most=700)
+    assert whole.exceptAll(df.selectExpr("*", "cast(row_number() over (order by t) as bigint) as n")).isEmpty()
+    assert whole.columns == [*df.columns, "n"]
