@@ -1,25 +1,48 @@
 """Facts read from protocol text, by its words and numbers.
 
-A text is cut into tokens: words, numbers and single marks. Terms are looked up among the words;
-amounts are a number and its unit within a stated number of tokens after a keyword.
+Names are looked up in :mod:`vocabulary`. For amounts a text is split at a keyword, and what follows
+each place is cut into tokens: words, numbers and single marks. An amount is a number and its unit
+within a stated number of tokens after the keyword.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from massloom.functions import rules
-from massloom.functions.text import first_term, has_term, let, plain_words
+from massloom.functions.text import let
+from massloom.functions.vocabulary import AT_PLACE, PROTOCOL_MODS, first_named, has, names_in, words_of
 
 #: Tokens that an amount may stand from its keyword.
 NEAR, FAR = 16, 40
+CLOSE = 64
+
+
+def _from(text: Column, word: str) -> Column:
+    """A text from a little before the first place of some letters, in either case; NULL without them."""
+    return let(F.split(text, f"(?i){word}", 2), lambda p: F.when(
+        F.size(p) > 1, F.concat(F.right(F.get(p, F.lit(0)), F.lit(CLOSE)), F.lit(word), F.get(p, F.lit(1)))))
+
+
+def _pieces(text: Column, keyword: str) -> Column:
+    """What stands before the first place of ``keyword``, a run of whole words, and what follows each
+    place up to the next."""
+    return F.split(F.translate(text, "­–", "--"), rf"(?i)(?<![A-Za-z]){keyword}(?![A-Za-z])", -1)
+
+
+_TOKEN = r"\d+(?:\.\d+)?|[A-Za-z]+|[^\sA-Za-z0-9]"
 
 
 def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, "­–", "--"), F.lit(r"\d+(?:\.\d+)?|[A-Za-z]+|[^\sA-Za-z0-9]"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+
+
+def _after(pieces: Column, reach: int) -> Column:
+    """The first ``reach`` tokens after each place of the keyword; no more of the text is cut."""
+    follow = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return F.transform(follow, lambda p: _tokens(F.regexp_extract(p, rf"^(?:\s*+(?:{_TOKEN})){{0,{reach}}}+", 0)))
 
 
 def _first(items: Column) -> Column:
@@ -34,14 +57,7 @@ def _digits(token: Column, low: int, high: int) -> Column:
     return F.coalesce(F.length(token).between(low, high) & token.try_cast("long").isNotNull(), F.lit(False))
 
 
-def _phrase(tokens: Column, i: Column, words: Sequence[str]) -> Column:
-    out = _is(F.get(tokens, i), words[0])
-    for k, word in enumerate(words[1:], 1):
-        out = out & _is(F.get(tokens, i + k), word)
-    return out
-
-
-def _amount(tokens: Column, begins: Callable[[Column], Column], length: int, reach: int, stop: str, units: Sequence[str]) -> Column:
+def _amount(text: Column, keyword: str, reach: int, stop: str, units: Sequence[str]) -> Column:
     """(number, unit) of the first keyword that has one before ``stop`` and within ``reach`` tokens."""
 
     def until(window: Column) -> Column:
@@ -52,91 +68,91 @@ def _amount(tokens: Column, begins: Callable[[Column], Column], length: int, rea
         return _first(F.transform(window, lambda t, k: F.when(
             t.rlike("^[0-9]") & _is(F.get(window, k + 1), *units), F.struct(t.alias("number"), F.get(window, k + 1).alias("unit")))))
 
-    places = F.filter(F.transform(tokens, lambda t, i: i), begins)
-    return _first(F.transform(places, lambda i: let(F.slice(tokens, i + length + 1, reach), lambda w: let(until(w), pick))))
-
-
-def cleavage_agent(text: Column) -> Column:
-    return F.coalesce(first_term(text, rules.CLEAVAGE_TERMS), F.lit("not available"))
-
-
-def reduction_reagent(text: Column) -> Column:
-    return first_term(text, rules.REDUCTION_TERMS)
-
-
-def alkylation_reagent(text: Column) -> Column:
-    return first_term(text, rules.ALKYLATION_TERMS)
+    return _first(F.transform(_after(_pieces(text, keyword), reach), lambda w: let(until(w), pick)))
 
 
 def mass_tolerance(text: Column, which: str) -> Column:
     """``which`` is ``precursor`` or ``fragment``: the first number with a mass unit after a word that
     begins so, in the same sentence."""
-
-    def read(tokens: Column) -> Column:
-        found = _amount(tokens, lambda i: F.lower(F.get(tokens, i)).startswith(which), 1, NEAR, ".", ("ppm", "da", "mmu"))
-        return F.concat(found["number"], F.lit(" "), found["unit"])
-
-    return F.when(F.lower(text).contains(which), let(_tokens(text), read))
+    found = let(_from(text, which), lambda t: _amount(t, f"{which}[A-Za-z]*", NEAR, ".", ("ppm", "da", "mmu")))
+    return let(found, lambda a: F.concat(a["number"], F.lit(" "), a["unit"]))
 
 
 def scan_range(text: Column) -> Column:
-    """MS1 range: two numbers of three or four digits before or after ``m/z``, also as the digits of
-    both without what stood between them."""
+    """MS1 range: two numbers of three or four digits right before or after ``m/z`` (within ``CLOSE``
+    characters before it), also as the digits of both without what stood between them."""
     text_of = lambda a, b: F.concat(a, F.lit("m/z-"), b, F.lit("m/z"))
 
-    def read(tokens: Column) -> Column:
-        at = lambda i: F.get(tokens, i)
-        pair = lambda i: _digits(at(i), 3, 4) & _is(at(i + 1), "-", "to") & _digits(at(i + 2), 3, 4)
-        number = lambda i: i + 1 + F.when(_phrase(tokens, i + 1, ["range", "of"]), 2).otherwise(0)
-        before = _first(F.transform(tokens, lambda t, i: F.when(_is(at(i + 3), "mz") & pair(i), text_of(t, at(i + 2)))))
-        after = _first(F.transform(tokens, lambda t, i: F.when(_is(t, "mz") & pair(number(i)), text_of(at(number(i)), at(number(i) + 2)))))
-        joined = _first(F.transform(tokens, lambda t, i: F.when(_is(t, "mz") & _digits(at(number(i)), 7, 8), at(number(i)))))
-        split = let(joined, lambda d: text_of(F.substr(d, F.lit(1), F.length(d) - 4), F.substr(d, F.length(d) - 3)))
-        return F.coalesce(before, after, split)
-
-    plain = F.regexp_replace(text, "(?i)m/z", " mz ")
-    return F.when(F.lower(plain).contains("mz"), let(_tokens(plain), read))
-
+    def pair(tokens: Column, i: Column) -> Column:
+        a, mark, b = (F.get(tokens, i + k) for k in range(3))
+        return F.when((i >= 0) & _digits(a, 3, 4) & _is(mark, "-", "to") & _digits(b, 3, 4), text_of(a, b))
 
-def collision_energy(text: Column) -> Column:
-    """The number at ``NCE``, else the percentage after a normalized collision energy, else the
-    electron volts after a collision energy."""
+    def start(tokens: Column) -> Column:
+        return F.when(_is(F.get(tokens, F.lit(0)), "range") & _is(F.get(tokens, F.lit(1)), "of"), 2).otherwise(0)
 
-    def read(tokens: Column) -> Column:
-        at = lambda i: F.get(tokens, i)
+    def run_on(tokens: Column) -> Column:
+        digits = F.get(tokens, start(tokens))
+        return F.when(_digits(digits, 7, 8), text_of(F.substr(digits, F.lit(1), F.length(digits) - 4), F.substr(digits, F.length(digits) - 3)))
 
-        def number(i: Column) -> Column:
-            skip = i + 1 + _is(at(i + 1), ")").cast("int")
-            return at(skip + _is(at(skip), "of").cast("int"))
+    def read(pieces: Column) -> Column:
+        heads = F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), lambda p: _tokens(F.right(p, F.lit(CLOSE))))
+        before = _first(F.transform(heads, lambda w: pair(w, F.size(w) - 3)))
+        after = let(_after(pieces, 5), lambda follow: F.coalesce(
+            _first(F.transform(follow, lambda w: pair(w, start(w)))), _first(F.transform(follow, run_on))))
+        return F.coalesce(before, after)
 
-        nce = _first(F.transform(tokens, lambda t, i: F.when(_is(t, "nce") & number(i).rlike("^[0-9]"), number(i))))
-        share = _amount(tokens, lambda i: _phrase(tokens, i, ["normalized", "collision", "energy"]), 3, FAR, ")", ("%",))
-        volts = _amount(tokens, lambda i: _phrase(tokens, i, ["collision", "energy"]), 2, FAR, ")", ("ev",))
-        return F.coalesce(F.concat(nce, F.lit(" NCE")), F.concat(share["number"], F.lit(" NCE")), F.concat(volts["number"], F.lit(" eV")))
+    return let(_from(F.regexp_replace(text, "(?i)m/z", " mz "), "mz"), lambda t: let(_pieces(t, "mz"), read))
 
-    low = F.lower(text)
-    return F.when(low.contains("nce") | low.contains("collision"), let(_tokens(text), read))
 
+def collision_energy(text: Column) -> Column:
+    """The number at ``NCE``, else the percentage after a normalized collision energy, else the
+    electron volts after a collision energy."""
 
-def protocol_mods(text: Column) -> Column:
-    """Modifications a protocol names, as an array of (unimod_id, name, residues, kind). The terms
-    of one modification stand in one line."""
+    def number(window: Column) -> Column:
+        skip = _is(F.get(window, F.lit(0)), ")").cast("int")
+        token = F.get(window, skip + _is(F.get(window, skip), "of").cast("int"))
+        return F.when(token.rlike("^[0-9]"), token)
 
-    def named(lines: Column, groups: Sequence[Sequence[str]]) -> Column:
-        def on(line: Column) -> Column:
-            found = F.lit(True)
-            for terms in groups:
-                found = found & has_term(line, terms)
-            return found
+    def energy(t: Column) -> Column:
+        share = _amount(t, r"normalized\s+collision\s+energy", FAR, ")", ("%",))["number"]
+        volts = _amount(t, r"collision\s+energy", FAR, ")", ("ev",))["number"]
+        return F.coalesce(F.concat(share, F.lit(" NCE")), F.concat(volts, F.lit(" eV")))
 
-        return F.exists(lines, on)
+    nce = let(_from(text, "nce"), lambda t: _first(F.transform(_after(_pieces(t, "nce"), 3), number)))
+    return F.coalesce(F.concat(nce, F.lit(" NCE")), let(_from(text, "collision"), energy))
 
-    def read(lines: Column) -> Column:
-        kinds = [
-            F.when(named(lines, groups), F.struct(
-                F.lit(uid).alias("unimod_id"), F.lit(name).alias("name"), F.lit(residues).alias("residues"), F.lit(kind).alias("kind")))
-            for groups, uid, name, residues, kind in rules.PROTOCOL_MODS
-        ]
-        return F.array_compact(F.array(*kinds))
 
-    return let(F.transform(F.split(text, "\n"), plain_words), read)
+def cleavage_agent(text: Column) -> Column:
+    return F.coalesce(let(names_in(words_of(text), "cleavage"), lambda found: first_named(found, "cleavage")), F.lit("not available"))
+
+
+def named_facts(sample: Column, data: Column) -> Column:
+    """Struct of (cleavage_agent, reduction_reagent, alkylation_reagent, protocol_mods): enzymes and
+    modifications named in either text, reagents in the sample protocol. Modifications are (unimod_id,
+    name, residues, kind); one bound to a place counts where both names stand in one line."""
+    both = F.concat(data, F.lit(" "), sample)
+
+    def kind_of(found: Column, name: str) -> Column:
+        uid, residues, kind = PROTOCOL_MODS[name]
+        here = has(found, "modification", name)
+        if name in AT_PLACE:
+            in_line = lambda line: let(
+                names_in(words_of(line), "modification", "place"), lambda f: has(f, "modification", name) & has(f, "place", AT_PLACE[name]))
+            here = here & has(found, "place", AT_PLACE[name]) & F.exists(F.split(both, "\n"), in_line)
+        return F.when(here, F.struct(
+            F.lit(uid).alias("unimod_id"), F.lit(name).alias("name"), F.lit(residues).alias("residues"), F.lit(kind).alias("kind")))
+
+    def read(found: Column) -> Column:
+        return F.struct(
+            F.coalesce(first_named(found["all"], "cleavage"), F.lit("not available")).alias("cleavage_agent"),
+            first_named(found["own"], "reduction").alias("reduction_reagent"),
+            first_named(found["own"], "alkylation").alias("alkylation_reagent"),
+            F.array_compact(F.array(*[kind_of(found["all"], name) for name in PROTOCOL_MODS])).alias("protocol_mods"))
+
+    def look(words: Column) -> Column:
+        found = F.struct(
+            names_in(F.concat(words["data"], words["sample"]), "cleavage", "modification", "place").alias("all"),
+            names_in(words["sample"], "reduction", "alkylation").alias("own"))
+        return let(found, read)
+
+    return let(F.struct(words_of(sample).alias("sample"), words_of(data).alias("data")), look)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from massloom.functions import rules
+from massloom.functions.vocabulary import first_named, names_in, words_of
 from massloom.schemas import known
 
 
@@ -95,7 +96,7 @@ def llm_json(col: Column, schema: str) -> Column:
 def cv_map(col: Column, kind: str) -> Column:
     """Vocabulary term for ``acquisition``, ``dissociation``, ``label`` or ``analyzer``."""
     if kind == "analyzer":
-        return first_term(col, rules.ANALYZER_TERMS)
+        return let(names_in(words_of(col), "analyzer"), lambda found: first_named(found, "analyzer"))
     table = {
         "acquisition": rules.ACQUISITION_CV,
         "dissociation": rules.DISSOCIATION_CV,
@@ -110,34 +111,6 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def plain_words(col: Column) -> Column:
-    """The lower-case words of a text between single spaces, with a space at either end."""
-    words = F.regexp_extract_all(F.lower(col), F.lit("[a-z0-9_]+"), F.lit(0))
-    return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-
-
-def has_term(words: Column, terms: Sequence[str]) -> Column:
-    """Whether one of the terms occurs in :func:`plain_words` of a text; a star at either end of a
-    term stands for the rest of a word."""
-    out = F.lit(False)
-    for term in terms:
-        head, tail = "" if term.startswith("*") else " ", "" if term.endswith("*") else " "
-        out = out | words.contains(head + term.strip("*") + tail)
-    return out
-
-
-def first_term(col: Column, listed: Sequence[tuple[str, Sequence[str]]]) -> Column:
-    """The first value of (value, terms) with a term in ``col``, else NULL."""
-
-    def read(words: Column) -> Column:
-        out = F.lit(None).cast("string")
-        for value, terms in reversed(listed):
-            out = F.when(has_term(words, terms), F.lit(value)).otherwise(out)
-        return out
-
-    return let(plain_words(col), read)
-
-
 def first_known(*cols: Column) -> Column:
     """The first value that is not a missing mark, else ``not available``."""
     return F.coalesce(*[known(c) for c in cols], F.lit("not available"))

@@ -83,19 +83,18 @@ def next_batch(projects: DataFrame, n: int = 500, order: Sequence[str] = ("raw_f
 def protocol_facts(projects: DataFrame, sample: str = "sample_protocol", data: str = "data_protocol") -> DataFrame:
     """Facts read from the protocol texts of each project."""
     s, d = F.coalesce(F.col(sample), F.lit("")), F.coalesce(F.col(data), F.lit(""))
-    both, swapped = F.concat(s, F.lit(" "), d), F.concat(d, F.lit(" "), s)
-    return projects.withColumns(
-        {
-            "cleavage_agent": protocol.cleavage_agent(both),
-            "reduction_reagent": protocol.reduction_reagent(s),
-            "alkylation_reagent": protocol.alkylation_reagent(s),
-            "precursor_tolerance": protocol.mass_tolerance(swapped, "precursor"),
-            "fragment_tolerance": protocol.mass_tolerance(swapped, "fragment"),
-            "scan_range": protocol.scan_range(s),
-            "collision_energy": protocol.collision_energy(s),
-            "protocol_mods": protocol.protocol_mods(swapped),
-        }
-    )
+    swapped = F.concat(d, F.lit(" "), s)
+    named = ["cleavage_agent", "reduction_reagent", "alkylation_reagent"]
+    out = projects.withColumns({
+        "_named": protocol.named_facts(s, d),
+        "precursor_tolerance": protocol.mass_tolerance(swapped, "precursor"),
+        "fragment_tolerance": protocol.mass_tolerance(swapped, "fragment"),
+        "scan_range": protocol.scan_range(s),
+        "collision_energy": protocol.collision_energy(s),
+    })
+    numbers = ["precursor_tolerance", "fragment_tolerance", "scan_range", "collision_energy"]
+    return out.select(
+        *projects.columns, *[F.col(f"_named.{c}").alias(c) for c in named], *numbers, F.col("_named.protocol_mods").alias("protocol_mods"))
 
 
 def annotation_confidence(rows: DataFrame, by: Sequence[str] = ("pxd", "kind")) -> DataFrame:

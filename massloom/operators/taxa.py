@@ -208,8 +208,8 @@ def taxon_classes(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-#: Classes of a block, and peptides of a class that one tile row may hold.
-BLOCK_CLASSES, PART_PEPTIDES = 256, 1 << 16
+#: Classes of a block, blocks that one block meets in a tile, peptides of a class that a tile's row may hold.
+BLOCK_CLASSES, TILE_BLOCKS, PART_PEPTIDES = 256, 8, 1 << 16
 
 
 def _tile(members: pd.DataFrame, heads: pd.DataFrame, threshold: float, whole: bool) -> pd.DataFrame:
@@ -247,17 +247,17 @@ def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame |
     each group of ``by``.
 
     Exact without building every pair. A member of n peptides may lack fewer than d = n - floor(t n)
-    of them, so a partner holds at least one of any d. Each member looks for partners with its
-    first d or few more peptides in the order (taxa that hold it, hash): rare ones first, and members of
-    a family of near-copies choose the same ones. Classes with the same smallest peptide hash, as
-    most near-copies are, form blocks; blocks of which one looks for a peptide of the other are
-    compared by bitmaps in a tile. So a family costs its output, not the square of every shared
-    peptide, and a class without near-copies is a block of its own.
+    of them, so of any p of its peptides a partner has at least p - d + 1. Each member looks for
+    partners with about 2 d peptides, first in the order (taxa that hold it, hash): rare ones, and
+    members of a family of near-copies choose the same. Classes with the same smallest peptide
+    hash, as most near-copies are, form blocks; two blocks meet in a tile, as bitmaps, if the one
+    holds as many of the peptides that the other looks for as some member of it needs. So a family costs its
+    output, not the square of every shared peptide, and a class without near-copies is a block of its own.
     """
     by = list(by)
     classes = taxon_classes(edges, by) if classes is None else classes
     heads = classes.where("taxon_id = class_id").select(*by, "taxon_id", "class_id", "n_peptides")
-    core = edges.join(heads, [*by, "taxon_id"]).select(*by, "class_id", "sequence", "n_peptides")
+    core = checkpoint(edges.join(heads, [*by, "taxon_id"]).select(*by, "class_id", "sequence", "n_peptides"))
     spread = checkpoint(core.groupBy(*by, "sequence").agg(F.count("*").alias("df")).withColumn("pid", F.monotonically_increasing_id()))
     hashed = F.xxhash64("pid")
     core = core.join(spread, [*by, "sequence"]).select(
@@ -266,7 +266,7 @@ def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame |
     keys = [*by, "class_id"]
     n = F.max("n_peptides")
     need = n - F.floor(n * threshold)
-    share = F.least(F.lit(1.0), need / n + 1e-3)
+    share = F.least(F.lit(1.0), 2 * need / n + 1e-3)
     grid = F.percentile_approx("order", [i / 50 for i in range(1, 51)], 10_000)
     limits = core.groupBy(*keys).agg(
         need.alias("need"), F.try_element_at(grid, F.ceil(share * 50).cast("int")).alias("limit"), F.min("hash").alias("least"), n.alias("n"))
@@ -275,10 +275,16 @@ def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame |
     limits = checkpoint(limits.select(*keys, "need", "limit", "n", "block"))
     core = core.join(limits.select(*keys, "limit", "need", "block"), keys)
     # the quantile is near, not exact: a member whose limit leaves it too few peptides asks with all
-    enough = core.groupBy(*keys).agg((F.count_if(F.col("order") <= F.col("limit")) >= F.max("need")).alias("enough"))
-    probe = core.join(enough, keys).where("order <= limit or not enough").select(*by, "pid", F.col("block").alias("mb")).distinct()
-    met = probe.join(core.select(*by, "pid", F.col("block").alias("hb")).distinct(), [*by, "pid"]).select(*by, "mb", "hb").distinct()
-    met = checkpoint(met)
+    p = F.count_if(F.col("order") <= F.col("limit"))
+    asked = core.groupBy(*keys, "block").agg(p.alias("p"), F.max("need").alias("d"), F.max("n_peptides").alias("n"))
+    asked = asked.withColumn("enough", F.col("p") >= F.col("d"))
+    least = F.min(F.when(F.col("enough"), F.col("p")).otherwise(F.col("n")) - F.col("d") + 1)
+    least = asked.groupBy(*by, F.col("block").alias("mb")).agg(least.alias("least"))
+    probe = core.join(asked.select(*keys, "enough"), keys).where("order <= limit or not enough").select(*by, "pid", F.col("block").alias("mb")).distinct()
+    met = probe.join(core.select(*by, "pid", F.col("block").alias("hb")).distinct(), [*by, "pid"]).groupBy(*by, "mb", "hb").agg(F.count("*").alias("met"))
+    met = met.join(least, [*by, "mb"]).where("met >= least")
+    partners = met.groupBy(*by, "mb").agg(F.ceil(F.count("*") / TILE_BLOCKS).alias("tiles"))
+    met = checkpoint(met.join(partners, [*by, "mb"]).select(*by, "mb", "hb", F.pmod(F.xxhash64("hb"), "tiles").alias("tile")))
     largest = limits.agg(F.max("n")).first()[0] or 1
     parts = -(-largest // PART_PEPTIDES)
     sets = core.groupBy(*keys, "block", F.pmod("hash", F.lit(parts)).alias("part")).agg(
@@ -288,11 +294,12 @@ def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame |
     names = [F.col(c).cast("string").alias(f"_k{i}") for i, c in enumerate(by)]
     texts = [f"_k{i}" for i in range(len(by))]
 
-    def side(block: str) -> DataFrame:  # new names, as both sides come from the same tables
-        rest = [F.col(c).alias(c) for c in ("mb", "hb", "part", "class_id", "n_peptides", "peptides")]
-        return met.join(sets.withColumnRenamed("block", block), [*by, block]).select(*names, *rest)
+    def side(tiles: DataFrame, block: str) -> DataFrame:  # new names, as both sides come from the same tables
+        rest = [F.col(c).alias(c) for c in ("mb", "tile", "part", "class_id", "n_peptides", "peptides")]
+        return tiles.join(sets.withColumnRenamed("block", block), [*by, block]).select(*names, *rest)
 
-    tile_keys = [*texts, "mb", "hb", "part"]
+    tile_keys = [*texts, "mb", "tile", "part"]
+    members, others = side(met.select(*by, "mb", "tile").distinct(), "mb"), side(met, "hb")
 
     def compare(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"member": [], "head": [], "shared": [], "n_peptides": []})
@@ -302,7 +309,7 @@ def class_overlap(edges: DataFrame, threshold: float = 0.9, classes: DataFrame |
         return out
 
     text = "".join(f", {t} string" for t in texts)
-    shared = side("mb").groupBy(*tile_keys).cogroup(side("hb").groupBy(*tile_keys)).applyInPandas(
+    shared = members.groupBy(*tile_keys).cogroup(others.groupBy(*tile_keys)).applyInPandas(
         compare, f"member {kind}, head {kind}, shared long, n_peptides long{text}")
     back = [F.col(t).cast(edges.schema[c].dataType).alias(c) for t, c in zip(texts, by, strict=True)]
     shared = shared.select(*back, "member", "head", "shared", "n_peptides")

@@ -123,6 +123,45 @@ def test_durations(spark):
     assert d("2024-01-01 00:00:00", "2024-01-01 00:00:03") == "3s"
 
 
+def test_names_are_found_whole_and_across_separators(spark):
+    from massloom.functions.vocabulary import first_named, names_in, words_of
+
+    def agent(text):
+        return one(spark, protocol.cleavage_agent(F.lit(text)))
+
+    assert all(agent(t).startswith("NT=Lys-C") for t in ("LysC", "with lys-c, overnight", "Lys C", "rLys-C"))
+    assert agent("Trypsin/P") == agent("were trypsinized") == "NT=Trypsin;AC=MS:1001251"
+    assert agent("antitrypsins") == agent("") == "not available" and agent("Glu-C and trypsin").startswith("NT=Glu-C")
+
+    def analyzer(text):
+        return one(spark, tx.cv_map(F.lit(text), "analyzer"))
+
+    assert [analyzer(t) for t in ("QExactive Plus", "Orbitrap Fusion Lumos", "LTQ Velos", "timsTOF Pro 2", "TSQ-Vantage", "abacus")] == [
+        "orbitrap", "orbitrap", "ion trap", "TOF", "quadrupole", None]
+    found = names_in(words_of(F.lit("10 mM tris (2-carboxyethyl) phosphine or 2-ME")), "reduction")
+    assert one(spark, first_named(found, "reduction")) == "tris(2-carboxyethyl)phosphine"
+
+
+def test_modifications_of_a_protocol(spark):
+    def mods(sample, data):
+        return [m.unimod_id for m in one(spark, protocol.named_facts(F.lit(sample), F.lit(data)))["protocol_mods"]]
+
+    assert mods("TMT labelled", "Carbamidomethylation fixed, oxidation (M), acetyl (protein N-term)") == [4, 730, 35, 1]
+    assert mods("acetyl\nat the N-terminus", "") == [] and mods("", "Phosphopeptides; deamidated; dimethylation") == [21, 7, 34]
+    assert one(spark, protocol.named_facts(F.lit("DTT and IAA"), F.lit("TCEP")))["reduction_reagent"] == "dithiothreitol"
+
+
+def test_amounts_near_their_keywords(spark):
+    tol = lambda t, w="precursor": one(spark, protocol.mass_tolerance(F.lit(t), w))
+    assert tol("precursors and precursor ions: 20 ppm") == "20 ppm" and tol("precursor. 20 ppm") is None
+    assert tol("precursor " + "x " * 20 + "5 ppm") is None and tol("Fragment ions 0.5 Da; precursor 3 Da", "fragment") == "0.5 Da"
+    assert one(spark, protocol.scan_range(F.lit("from 400 to 1600 m/z and m/z 200-300"))) == "400m/z-1600m/z"
+    assert one(spark, protocol.scan_range(F.lit("m/z 12.350-1600 x"))) is None
+    energy = lambda t: one(spark, protocol.collision_energy(F.lit(t)))
+    assert energy("normalized collision energy (stepped) 25 %") is None and energy("normalized collision energy of 25 %") == "25 NCE"
+    assert energy("a collision energy of 30 eV") == "30 eV" and energy("once 5") is None
+
+
 def test_leave_one_out_matches_enumeration(spark):
     import itertools
 
