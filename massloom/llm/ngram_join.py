@@ -29,6 +29,8 @@ BUCKET = 1_500_000
 BLOOM_BITS = 1 << 25
 #: Bits of a set's parities, and of their short form; see :func:`parities`.
 PARITY_BITS, SHORT_BITS = 1024, 256
+#: Turns in which a class is compared with one other only, before pairs are listed.
+SEEDS = 2
 #: Shingles that signatures are made of at once.
 PIECE = 1 << 19
 _U = np.uint64
@@ -303,23 +305,27 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int
     return full.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")
 
 
-def _able(num: int, den: int) -> Column:
-    """Whether the sizes and parities of rows h and m leave room for a link. Linked sets differ in
-    (den - num) / (den + num) of the sum of their sizes at most."""
-    n, k = F.col("h.n"), F.col("m.n")
+def _room(differ: Column, n: Column, k: Column, num: int, den: int) -> Column:
+    """Whether two sets of these sizes that differ in at least so many shingles may link. Linked sets
+    differ in (den - num) / (den + num) of the sum of their sizes at most."""
+    return (F.least(n, k) * den >= F.greatest(n, k) * num) & (differ * (den + num) <= (n + k) * (den - num))
+
+
+def _able(num: int, den: int, words: int) -> Column:
+    """Whether sizes and parities, p0, .. of ``words`` words, of rows h and m leave room for a link."""
     differ = F.lit(0)
-    for i in range(SHORT_BITS // 64):
+    for i in range(words):
         differ = differ + F.bit_count(F.col(f"h.p{i}").bitwiseXOR(F.col(f"m.p{i}")))
-    return (F.least(n, k) * den >= F.greatest(n, k) * num) & (differ * (den + num) <= (n + k) * (den - num))
+    return _room(differ, F.col("h.n"), F.col("m.n"), num, den)
 
 
 def _near(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of those pairs whose sizes and full parities leave room for a link."""
-    for c in "ab":
+    for c in "ba":
         pairs = pairs.join(classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}")), c)
     bits = F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda s, x: s + x)
-    return pairs.where(differ * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num)).select("a", "b")
+    return pairs.where(_room(differ, F.col("n_a"), F.col("n_b"), num, den)).select("a", "b")
 
 
 def _ends(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -332,45 +338,64 @@ def _ends(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """(cls, comp) of the classes in ``shared``: components over all links, without all pairs.
 
-    In each round every signature whose holders are in several components compares some of them,
-    the heads, with those outside their component: first the smallest, then the smallest untried
+    First, in ``SEEDS`` turns, every class is compared with one other only: the first, in the order
+    of a hash, of the heads of its signatures, each signature's head being its first holder.
+    Copies of one text meet there, so a family is in few components before pairs are listed.
+    Then in each round every signature whose holders are in several components compares some of
+    them, its heads, with those outside their component: first the smallest, then the smallest untried
     one in each of 256, 65,536, .. parts. A signature is done when its holders are in one component
-    or have all been heads, so no pair that could join two components is left out. Of the first
-    round's pairs, those of each class with its smallest head are verified first; copies of one
-    text meet there, and their other pairs are dropped as settled.
+    or have all been heads, so no pair that could join two components is left out. A pair is listed
+    only if its sizes and full parities leave room for a link, which hardly any but links do.
     """
+    spark = shared.sparkSession
     comps = kept(shared.select("cls", F.col("cls").alias("comp")).distinct(), "comps")
+    short = classes.drop("parity")
+    full = classes.select("cls", "n", *[F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_BITS // 64)])
+
+    def still_open() -> DataFrame:
+        every = shared.join(comps, "cls")
+        several = every.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
+        return kept(every.join(several, "sig", "left_semi"), "open")
+
+    def met(holders: DataFrame, heads: DataFrame, facts: DataFrame, bits: int) -> DataFrame:
+        apart = (F.col("m.sig") == F.col("h.sig")) & (F.col("m.comp") != F.col("h.comp"))
+        m, h = holders.join(facts, "cls").alias("m"), heads.join(facts, "cls").alias("h")
+        return m.join(h, apart & _able(num, den, bits // 64)).select(F.col("h.cls").alias("a"), F.col("m.cls").alias("b"))
+
+    def merged(pairs: DataFrame) -> DataFrame:
+        """Components after the links among ``pairs``."""
+        found = kept(_verified(pairs, texts, words, num, den), "links")
+        free_shuffles(spark)
+        if found.isEmpty():
+            return comps
+        moved = components(_ends(found, comps).select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
+        after = comps.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+        return kept(after.select("cls", F.coalesce("to", "comp").alias("comp")), "comps")
+
+    for turn in range(SEEDS):
+        open_ = still_open() if turn else shared.withColumn("comp", F.col("cls"))
+        order = F.xxhash64("cls", F.lit(turn))
+        heads = open_.groupBy("sig").agg(F.min(F.struct(order, "cls", "comp")).alias("h")).select("sig", "h.cls", "h.comp")
+        one = met(open_, heads, short, SHORT_BITS).groupBy("b").agg(F.min_by("a", F.struct(F.xxhash64("a", F.lit(turn)), "a")).alias("a"))
+        pairs = kept(_near(one, classes, num, den), "pairs")
+        free_shuffles(spark)
+        comps = merged(pairs)
+        if turn:
+            release(open_)
     tried, parts = None, 1
     while True:
-        if tried is None:  # all are apart
-            new = open_ = shared.withColumn("comp", F.col("cls"))
-        else:
-            open_ = shared.join(comps, "cls")
-            several = open_.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-            open_ = kept(open_.join(several, "sig", "left_semi"), "open")
-            new = open_.join(tried, ["sig", "cls"], "left_anti")
+        open_ = still_open()
+        new = open_ if tried is None else open_.join(tried, ["sig", "cls"], "left_anti")
         heads = new.groupBy("sig", F.pmod(F.xxhash64("cls"), F.lit(parts)).alias("part")).agg(F.min(F.struct("cls", "comp")).alias("h"))
         heads = kept(heads.select("sig", "h.*"), "heads")
         if heads.isEmpty():
             return comps
-        short = classes.drop("parity")
-        met = open_.join(short, "cls").alias("m").join(heads.join(short, "cls").alias("h"), (F.col("m.sig") == F.col("h.sig")) & (F.col("m.comp") != F.col("h.comp")) & _able(num, den))
-        met = met.select(F.least("m.cls", "h.cls").alias("a"), F.greatest("m.cls", "h.cls").alias("b")).distinct()
-        pairs = kept(_near(met, classes, num, den), "pairs")
-        free_shuffles(shared.sparkSession)
-        for turn in ("smallest", "rest") if tried is None else ("rest",):
-            if pairs.isEmpty():
-                break
-            now = kept(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "turn") if turn == "smallest" else pairs
-            found = kept(_verified(now, texts, words, num, den), "links")
-            free_shuffles(shared.sparkSession)
-            if not found.isEmpty():
-                moved = components(_ends(found, comps).select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
-                after = comps.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
-                comps = kept(after.select("cls", F.coalesce("to", "comp").alias("comp")), "comps")
-            if turn == "smallest":
-                left = _ends(pairs.join(now, ["a", "b"], "left_anti"), comps)
-                pairs = kept(left.where("c_a <> c_b").select("a", "b"), "pairs")
+        found = met(open_, heads, full, PARITY_BITS)
+        pairs = kept(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        free_shuffles(spark)
+        if not pairs.isEmpty():
+            comps = merged(pairs)
+        release(open_)
         mark = heads.select("sig", "cls")
         tried = kept(mark if tried is None else tried.union(mark), "tried")
         parts *= 256
