@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from massloom.llm.words import chunks, mixed
+from massloom.llm.words import ODD, chunks, mixed, powers
 
 #: Most steps of a walk that are sampled, and hash tables that share them out.
 STEPS, TABLES = 60, 4
@@ -109,6 +109,19 @@ def word_starts(text: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+def byte_sums(text: np.ndarray) -> np.ndarray:
+    """Running sums of the bytes' random numbers times powers of an odd number."""
+    with np.errstate(over="ignore"):
+        values = mixed(np.arange(256, dtype=_U) + _U(SEED * 3))[text] * powers(ODD, len(text))
+        return np.append(_U(0), np.cumsum(values, dtype=_U))
+
+
+def stretch_hash(sums: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the ``length`` bytes from each start, wherever it stands."""
+    with np.errstate(over="ignore"):
+        return mixed((sums[starts + length] - sums[starts]) * powers(pow(ODD, -1, 1 << 64), len(sums))[starts])
+
+
 def edit_distance(item: bytes, text: bytes, most: int) -> tuple[int, int] | None:
     """(distance, end) of the stretch of ``text`` nearest to ``item``, None beyond ``most`` edits.
 
@@ -137,9 +150,10 @@ def edit_distance(item: bytes, text: bytes, most: int) -> tuple[int, int] | None
 
 class ItemIndex:
     """Keys of the windows of every item, which begin at its words, end within it and are at least
-    half as long as it, up to the longest walk; and the items themselves."""
+    half as long as it, up to the longest walk; and the items themselves. Items of fewer words than
+    ``least_words`` have no windows: they are found by the hash of the whole, as exact copies."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[str], texts: list[str], least_words: int = 5):
         text, at = normal(texts)
         self.ids = ids
         self.items = [text[a + 1 : b].tobytes().strip() for a, b in zip(at, at[1:], strict=False)]
@@ -150,13 +164,22 @@ class ItemIndex:
         np.minimum.at(first, owner, starts)
         size = np.array([len(i) for i in self.items], np.int64)[owner]
         rest = first[owner] + size - starts
+        brief = np.bincount(owner, minlength=len(ids)) < least_words
+        #: short items by length in bytes: (sorted hashes, items)
+        self.brief: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        sums = byte_sums(text)
+        for length in np.unique(size[brief[owner]]) if len(owner) else ():
+            on = np.flatnonzero(brief & (np.array([len(i) for i in self.items]) == length) & (first < 1 << 60))
+            hashes = stretch_hash(sums, first[on], length)
+            order = np.argsort(hashes, kind="stable")
+            self.brief[int(length)] = hashes[order], on[order]
         widths = np.array(WIDTHS)
         # an item of one character that is no window's start has none
         width = widths[np.maximum(np.searchsorted(widths, rest, side="right") - 1, 0)]
         #: by width: flags, and for each table (keys, item, offset in the item)
         self.windows = {}
         for w in WIDTHS:
-            on = np.flatnonzero((width == w) & (rest >= w) & (2 * w >= np.minimum(size, 2 * STEPS)))
+            on = np.flatnonzero(~brief[owner] & (width == w) & (rest >= w) & (2 * w >= np.minimum(size, 2 * STEPS)))
             if not len(on):
                 continue
             tables, flags = [], np.zeros(1 << FLAG_BITS, bool)
@@ -185,6 +208,24 @@ class ItemIndex:
                     out.append(np.stack([part[np.repeat(on, n)], owner[which], offset[which]], axis=1))
         return np.unique(np.concatenate(out), axis=0)
 
+    def copies(self, text: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(place, item) of every exact copy of a short item that begins and ends with words."""
+        if not self.brief:
+            return
+        starts, sums = word_starts(text), byte_sums(text)
+        ends = np.zeros(len(text) + 1, bool)
+        ends[starts] = ends[len(text)] = True
+        ends[:-1] |= text == 32
+        for length, (hashes, items) in self.brief.items():
+            at = starts[starts + length <= len(text)]
+            at = at[ends[at + length]]
+            found = stretch_hash(sums, at, length)
+            lo, hi = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
+            for k in np.flatnonzero(hi > lo).tolist():
+                for item in items[lo[k] : hi[k]].tolist():
+                    if text[at[k] : at[k] + length].tobytes() == self.items[item]:
+                        yield int(at[k]), item
+
     def leaks(self, texts: list[str], edits: float) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, distance, end in the normal form) of every item found in every whole text.
 
@@ -192,6 +233,12 @@ class ItemIndex:
         candidate; a window has the item's size plus the allowed edits on either side.
         """
         text, at = normal(texts)
+        exact = set()
+        for place, item in self.copies(text):
+            r = int(np.searchsorted(at, place, side="right")) - 1
+            if (r, item) not in exact:
+                exact.add((r, item))
+                yield r, item, 0, place + len(self.items[item]) - int(at[r])
         hits = self.candidates(text)
         if not len(hits):
             return
@@ -212,20 +259,20 @@ class ItemIndex:
 
 def _index_blocks(benchmark: DataFrame, item_id: str, text: str, least_words: int, most_items: int, most_bytes: int) -> Iterator[ItemIndex]:
     """Indexes of blocks of items, each of bounded size; the driver holds one block at a time."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
+    items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text"))
     span = lambda ranges: "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
-    words = F.regexp_count("text", F.lit(f"[{span(UNSPACED)}]|[A-Za-z0-9\\x{{80}}-\\x{{10FFFF}}&&[^{span(UNSPACED + PARTING)}]]+"))
-    items = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).where(words >= least_words).distinct()
+    word = F.lit(f"[{span(UNSPACED)}]|[A-Za-z0-9\\x{{80}}-\\x{{10FFFF}}&&[^{span(UNSPACED + PARTING)}]]")
+    items = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).where(F.regexp_count("text", word) > 0).distinct()
     ids, texts, size = [], [], 0
     for r in items.orderBy("item_id", "text").toLocalIterator():
         if ids and (len(ids) >= most_items or size + len(r.text) > most_bytes):
-            yield ItemIndex(ids, texts)
+            yield ItemIndex(ids, texts, least_words)
             ids, texts, size = [], [], 0
         ids.append(r.item_id)
         texts.append(r.text)
         size += len(r.text)
     if ids:
-        yield ItemIndex(ids, texts)
+        yield ItemIndex(ids, texts, least_words)
 
 
 def find_leaks(
@@ -235,14 +282,15 @@ def find_leaks(
     """(doc_id, item_id, distance, item_length): each item that each row holds, with the distance of
     the first place found; ``edits`` is the share of the item's normal form that may be edited.
 
-    Null texts and ids of items and items under ``least_words`` words take no part, being no
-    passages; where a script has no spaces each character counts as a word; null document texts are empty. Repeated items are one; repeated rows are reported
+    Items under ``least_words`` words are found as exact copies only, from word to word; where a script
+    has no spaces each character counts as a word. Null texts and ids of items and items without a
+    word take no part; null document texts are empty. Repeated items are one; repeated rows are reported
     once each. Items beyond a block's bound take a further pass over the texts.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
-    schema = "doc_id string, item_id long, distance int, item_length int"
+    schema = "doc_id string, item_id string, distance int, item_length int"
     out = None
     for index in _index_blocks(benchmark, item_id, item_text, least_words, most_items, most_bytes):
         held = docs.sparkSession.sparkContext.broadcast(index)
@@ -259,7 +307,8 @@ def find_leaks(
         out = part if out is None else out.union(part)
     if out is None:
         out = docs.sparkSession.createDataFrame([], schema)
-    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    item_kind = benchmark.schema[item_id].dataType
+    return out.withColumns({"doc_id": F.col("doc_id").cast(kind), "item_id": F.col("item_id").cast(item_kind)})
 
 
 def _leaky(held: Broadcast, edits: float):  # noqa: ANN202
@@ -276,7 +325,8 @@ def _leaky(held: Broadcast, edits: float):  # noqa: ANN202
 
 
 def holds_leak(docs: DataFrame, benchmark: DataFrame, text: Column, edits: float = EDITS, least_words: int = 5) -> Column:
-    """Whether a text holds an item, as a column: nothing is shuffled or joined."""
+    """Whether a text holds an item, as a column: nothing is shuffled or joined. Null and empty texts hold
+    none; nulls and short items are treated as in :func:`find_leaks`."""
     flag = F.lit(False)
     for index in _index_blocks(benchmark, "item_id", "text", least_words, ITEMS, ITEM_BYTES):
         flag = flag | _leaky(docs.sparkSession.sparkContext.broadcast(index), edits)(F.coalesce(text, F.lit("")))

@@ -99,14 +99,14 @@ def train(
         F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & ~in_fold(F.col("_id"), *held_out))
     ids = ids.orderBy(F.xxhash64("_id"), "_id", "_label").limit(most_rows)
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
-    found = rows.join(F.broadcast(ids), "_id").select("_text", "_label")
+    found = rows.join(F.broadcast(ids), "_id").select("_text", "_label", F.xxhash64("_id", "_text").alias("_hash"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"x": list(text_features(b["_text"].tolist())), "y": b["_label"]})
+            yield pd.DataFrame({"x": list(text_features(b["_text"].tolist())), "y": b["_label"], "h": b["_hash"]})
 
-    # repeated documents may outnumber the ids, so the rows are limited as well
-    got = found.mapInPandas(features, "x array<double>, y int").limit(most_rows).toPandas()
+    # repeated documents may outnumber the ids, so the rows are limited as well, by a hash of id and text
+    got = found.mapInPandas(features, "x array<double>, y int, h long").orderBy("h", "y", "x").limit(most_rows).toPandas()
     if got.empty:
         return None
     got = got.assign(x=[tuple(x) for x in got["x"]]).sort_values(["x", "y"])  # the fit must not depend on the order
@@ -114,6 +114,8 @@ def train(
 
 
 def quality_score(model: dict | None, text: Column) -> Column:
+    """Score in (0, 1) of a text, null being empty; 0.7 for every text without a model."""
+
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series(score_texts(model, texts.tolist()), dtype="float64")

@@ -59,7 +59,18 @@ def findings(docs: DataFrame, doc_id: str, text: str, repo: Column, owner: Colum
     each = each.where(F.char_length("value") >= least[F.col("kind")])
     each = each.where((F.col("kind") != "loose") | (F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")))
     return rows, each.select(
-        "uid", "repo", "owner", "kind", (F.col("end") - F.col("length")).alias("start"), "end", "value", F.sha2("value", 256).alias("hash"))
+        "uid", "repo", "owner", "kind", (F.col("end") - F.col("length")).alias("start"), "end",
+        F.sha2("value", 256).alias("hash"), entropy(F.col("value")).alias("bits"), F.col("value").rlike("[0-9]").alias("digit"))
+
+
+def entropy(value: Column) -> Column:
+    """Bits of entropy a character."""
+    size = F.char_length(value)
+    share = F.transform(
+        F.array_distinct(F.filter(F.split(value, ""), lambda c: c != "")),
+        lambda c: (size - F.char_length(F.replace(value, c, F.lit("")))) / size,
+    )
+    return F.aggregate(share, F.lit(0.0), lambda s, p: s - p * F.log2(p))
 
 
 def ownership(finds: DataFrame, copied_owners: int, copied_repos: int, least_bits: float) -> DataFrame:
@@ -70,19 +81,13 @@ def ownership(finds: DataFrame, copied_owners: int, copied_repos: int, least_bit
     ``copied_repos`` repositories; ``live``: else, with ``least_bits`` of entropy a character and a
     digit; ``weak``: the rest. A null repository or owner counts as one value of its own.
     """
-    spots = finds.groupBy("hash", F.coalesce("repo", F.lit("\0")).alias("repo"), F.coalesce("owner", F.lit("\0")).alias("owner")).agg(F.min("value").alias("value"))
-    owners = spots.groupBy("hash", "owner").agg(F.min("value").alias("value"), F.count("*").alias("repos"))
-    each = owners.groupBy("hash").agg(F.min("value").alias("value"), F.sum("repos").alias("repos"), F.count("*").alias("owners"))
-    size = F.char_length("value")
-    share = F.transform(
-        F.array_distinct(F.filter(F.split("value", ""), lambda c: c != "")),
-        lambda c: (size - F.char_length(F.replace(F.col("value"), c, F.lit("")))) / size,
-    )
-    bits = F.aggregate(share, F.lit(0.0), lambda s, p: s - p * F.log2(p))
-    each = each.withColumn("bits", bits)
+    facts = [F.min("bits").alias("bits"), F.min("digit").alias("digit")]
+    spots = finds.groupBy("hash", F.coalesce("repo", F.lit("\0")).alias("repo"), F.coalesce("owner", F.lit("\0")).alias("owner")).agg(*facts)
+    owners = spots.groupBy("hash", "owner").agg(*facts, F.count("*").alias("repos"))
+    each = owners.groupBy("hash").agg(*facts, F.sum("repos").alias("repos"), F.count("*").alias("owners"))
     verdict = (
         F.when((F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repos), "copied")
-        .when((F.col("bits") >= least_bits) & F.col("value").rlike("[0-9]"), "live").otherwise("weak")
+        .when((F.col("bits") >= least_bits) & F.col("digit"), "live").otherwise("weak")
     )
     return each.select("hash", "repos", "owners", "bits", verdict.alias("verdict"))
 
@@ -135,19 +140,21 @@ MASKS = {"live": "[credential]", "copied": "[example credential]", "weak": "[pas
 def mask_secrets(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every reported span replaced by what it is; ``n_chars``, if there, is renewed.
 
-    Overlapping spans are merged and take the gravest name. Texts without a candidate pass untouched and are not
-    shuffled. Rows are found again by (doc_id, hash of the text): rows alike in both are masked
-    alike.
+    Overlapping spans are merged and take the gravest name. Texts without a candidate, null and empty
+    ones too, pass untouched and are not shuffled. Rows are found again by (doc_id, hash of the
+    text), null ids by their own: rows alike in both are masked alike. Columns keep their names,
+    whatever they are; without ``repo`` and ``owner`` both are the column ``source``.
     """
-    columns, text, doc_id = docs.columns, options.get("text", "text"), options.get("doc_id", "doc_id")
+    columns, text, doc_id = docs.columns, options.pop("text", "text"), options.pop("doc_id", "doc_id")
+    repo, owner = (options.pop(k, None) for k in ("repo", "owner"))
     any_kind = "|".join(f"(?:{KINDS[k][0]})" for k in KINDS)
     has = F.coalesce(F.col(text).rlike(any_kind), F.lit(False))
     clean, suspect = docs.where(~has), docs.where(has)
-    keyed = suspect.select(F.struct(F.col(doc_id), F.xxhash64(text).alias("text_hash")).alias("_key"), F.col(text).alias("_text"), *[c for c in columns if c not in (text,)], )
+    key = F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"))
+    places = [F.col("source") if c is None else c for c in (repo, owner)]
     rows, spans = secret_spans(
-        suspect.select(F.struct(F.col(doc_id), F.xxhash64(text).alias("text_hash")).alias("doc_id"), F.col(text).alias("text"),
-                       F.col("source"), *([F.col("lang")] if "lang" in columns else [])),
-        **{k: v for k, v in options.items() if k not in ("doc_id", "text")})
+        suspect.select(key.alias("doc_id"), F.col(text).alias("text"), places[0].alias("repo"), places[1].alias("owner")),
+        repo=F.col("repo"), owner=F.col("owner"), **options)
     grave = F.array_position(F.array(*map(F.lit, MASKS)), F.col("verdict"))
     by_start = Window.partitionBy("uid").orderBy("start", "end")
     spans = spans.withColumn("reach", F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
@@ -156,13 +163,16 @@ def mask_secrets(docs: DataFrame, **options) -> DataFrame:
     back = Window.partitionBy("uid").orderBy("part")
     parts = parts.withColumn("from", F.coalesce(F.lag("end").over(back), F.lit(0)))
     lists = parts.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "from", "end", "grave"))).alias("parts"))
-    wanted = rows.join(lists, "uid").groupBy("doc_id").agg(F.min("parts").alias("parts")).withColumnRenamed("doc_id", "_key")
+    wanted = rows.join(lists, "uid").groupBy(F.col("doc_id").alias("of")).agg(F.min("parts").alias("parts"))
+    # the whole row travels as one column, so no name can clash
+    whole = suspect.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    body = F.col("row").getField(text)
     names = F.array(*[F.lit(m) for m in MASKS.values()])
     pieces = F.transform("parts", lambda p: F.concat(
-        F.substr(F.col("_text"), (p["from"] + 1).cast("int"), (p["start"] - p["from"]).cast("int")), F.element_at(names, p["grave"].cast("int"))))
-    rest = F.substr(F.col("_text"), (F.element_at("parts", -1)["end"] + 1).cast("int"))
-    masked = F.when(F.col("parts").isNull(), F.col("_text")).otherwise(F.concat(F.array_join(pieces, ""), rest))
-    joined = keyed.join(wanted, keyed["_key"].eqNullSafe(wanted["_key"]), "left").withColumn("_masked", masked)
-    size = lambda c: F.char_length("_masked").cast(docs.schema[c].dataType).alias(c)
+        F.substr(body, (p["from"] + 1).cast("int"), (p["start"] - p["from"]).cast("int")), F.element_at(names, p["grave"].cast("int"))))
+    rest = F.substr(body, (F.element_at("parts", -1)["end"] + 1).cast("int"))
+    masked = F.when(F.col("parts").isNull(), body).otherwise(F.concat(F.array_join(pieces, ""), rest))
+    joined = whole.join(wanted, F.col("key").eqNullSafe(F.col("of")), "left").withColumn("masked", masked)
+    size = lambda c: F.char_length("masked").cast(docs.schema[c].dataType).alias(c)
     return clean.unionByName(joined.select(*[
-        F.col("_masked").alias(c) if c == text else size(c) if c == "n_chars" else F.col(c) for c in columns]))
+        F.col("masked").alias(c) if c == text else size(c) if c == "n_chars" else F.col("row").getField(c).alias(c) for c in columns]))

@@ -24,6 +24,8 @@ SKIPPABLE = 0x184D2A5D
 DICT_BYTES = 32 << 10
 #: Records from which an archive's dictionary is built: its first ones, up to so many bytes.
 SAMPLE_BYTES = 2 << 20
+#: Bytes of a record that serve as a sample; records are written whole.
+SAMPLE_RECORD = 1 << 16
 ARCHIVE_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 
@@ -76,7 +78,7 @@ class ArchiveWriter:
 
     def _start(self) -> None:
         try:
-            made = zstandard.train_dictionary(self.dict_bytes, [r[: 1 << 16] for r in self.waiting], k=1024, d=8).as_bytes()
+            made = zstandard.train_dictionary(self.dict_bytes, [r[:SAMPLE_RECORD] for r in self.waiting], k=1024, d=8).as_bytes()
         except zstandard.ZstdError:  # too few or too small records for a dictionary
             made = b""
         packed = zstandard.ZstdCompressor().compress(made)
@@ -139,6 +141,12 @@ def read_records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
         buffer = buffer[size:]
 
 
+def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
+    """(file system, path) of a folder as Spark names it: Hadoop's names of S3 are pyarrow's ``s3``."""
+    scheme, sep, rest = folder.partition("://")
+    return pafs.FileSystem.from_uri(f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else folder)
+
+
 def write_archives(
     pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0,
     dict_bytes: int = DICT_BYTES, sample_bytes: int = SAMPLE_BYTES, archive_bytes: int = ARCHIVE_BYTES, level: int = 3,
@@ -163,7 +171,7 @@ def write_archives(
         "page_id", "url", "html", F.coalesce("again", F.lit(False)).alias("again"), "top")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, base = pafs.FileSystem.from_uri(folder)
+        fs, base = filesystem(folder)
         fs.create_dir(base)
         writer, name, done = None, "", []
 
@@ -199,7 +207,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, _ = pafs.FileSystem.from_uri(folder)
+        fs, _ = filesystem(folder)
         columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
 
         def frame(rows: list[tuple]) -> pd.DataFrame:

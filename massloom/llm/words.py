@@ -9,7 +9,9 @@ import numpy as np
 
 #: Texts are worked on in pieces of about so many bytes; a longer text is a piece of its own.
 CHUNK = 1 << 20
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: An odd number, which has an inverse modulo 2**64.
+ODD = 0x9E3779B97F4A7C15
+_ODD = np.uint64(ODD)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -38,7 +40,7 @@ def _some_powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """Powers 0 to n - 1 modulo 2**64; those for an ordinary piece are kept."""
     if n > 2 * CHUNK:
         return _some_powers.__wrapped__(base, n)
@@ -76,8 +78,8 @@ class Tokens:
             upper = (self.raw >= 65) & (self.raw <= 90)
             values = mixed(np.arange(256, dtype=np.uint64) + np.uint64(1))[self.raw + upper.astype(np.uint8) * np.uint8(32)]
             with np.errstate(over="ignore"):
-                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(int(_ODD), len(self.raw)), dtype=np.uint64)])
-                back = _powers(pow(int(_ODD), -1, 1 << 64), len(self.raw) + 1)
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(ODD, len(self.raw)), dtype=np.uint64)])
+                back = powers(pow(ODD, -1, 1 << 64), len(self.raw) + 1)
                 word = (sums[self.ends] - sums[self.starts]) * back[self.starts]
                 self._hashes = mixed(word + (self.ends - self.starts).astype(np.uint64))
         return self._hashes
