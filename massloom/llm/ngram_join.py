@@ -342,9 +342,9 @@ def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words:
     of a hash, of the heads of its signatures, each signature's head being its first holder.
     Copies of one text meet there, so a family is in few components before pairs are listed.
     Then in each round every signature whose holders are in several components compares some of
-    them, its heads, with those outside their component: first the smallest, then the smallest untried
-    one in each of 256, 65,536, .. parts. A signature is done when its holders are in one component
-    or have all been heads, so no pair that could join two components is left out. A pair is listed
+    them, its heads, with those outside their component: first the smallest, then the smallest in each
+    of 256, 65,536, .. parts. A signature is done when its holders are in one component or were all
+    heads in one round, so no pair that could join two components is left out. A pair is listed
     only if its sizes and full parities leave room for a link, which hardly any but links do.
     """
     spark = shared.sparkSession
@@ -352,52 +352,59 @@ def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words:
     short = classes.drop("parity")
     full = classes.select("cls", "n", *[F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_BITS // 64)])
 
-    def still_open() -> DataFrame:
-        every = shared.join(comps, "cls")
+    def still_open(done: DataFrame | None) -> DataFrame:
+        every = (shared if done is None else shared.join(done, "sig", "left_anti")).join(comps, "cls")
         several = every.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
         return kept(every.join(several, "sig", "left_semi"), "open")
 
-    def met(holders: DataFrame, heads: DataFrame, facts: DataFrame, bits: int) -> DataFrame:
+    def headed(holders: DataFrame, order: Column, parts: int) -> DataFrame:
+        """Heads (sig, part, h): of holders dealt by signature already, so they are not shuffled again."""
+        part = F.pmod(F.xxhash64("cls"), F.lit(parts))
+        row = F.struct(order.alias("order"), *[c for c in holders.columns if c != "sig"])
+        return holders.groupBy("sig", part.alias("part")).agg(F.min(row).alias("h")).select("sig", "h.*").drop("order")
+
+    def met(holders: DataFrame, heads: DataFrame, bits: int) -> DataFrame:
         apart = (F.col("m.sig") == F.col("h.sig")) & (F.col("m.comp") != F.col("h.comp"))
-        m, h = holders.join(facts, "cls").alias("m"), heads.join(facts, "cls").alias("h")
-        return m.join(h, apart & _able(num, den, bits // 64)).select(F.col("h.cls").alias("a"), F.col("m.cls").alias("b"))
+        return holders.alias("m").join(heads.alias("h"), apart & _able(num, den, bits // 64)).select(F.col("h.cls").alias("a"), F.col("m.cls").alias("b"))
 
     def merged(pairs: DataFrame) -> DataFrame:
         """Components after the links among ``pairs``."""
         found = kept(_verified(pairs, texts, words, num, den), "links")
         free_shuffles(spark)
-        if found.isEmpty():
-            return comps
-        moved = components(_ends(found, comps).select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
-        after = comps.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
-        return kept(after.select("cls", F.coalesce("to", "comp").alias("comp")), "comps")
+        after = comps
+        if not found.isEmpty():
+            moved = components(_ends(found, comps).select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
+            joined = comps.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+            after = kept(joined.select("cls", F.coalesce("to", "comp").alias("comp")), "comps")
+            release(comps)
+        release(found)
+        release(pairs)
+        return after
 
     for turn in range(SEEDS):
-        open_ = still_open() if turn else shared.withColumn("comp", F.col("cls"))
-        order = F.xxhash64("cls", F.lit(turn))
-        heads = open_.groupBy("sig").agg(F.min(F.struct(order, "cls", "comp")).alias("h")).select("sig", "h.cls", "h.comp")
-        one = met(open_, heads, short, SHORT_BITS).groupBy("b").agg(F.min_by("a", F.struct(F.xxhash64("a", F.lit(turn)), "a")).alias("a"))
+        open_ = still_open(None) if turn else shared.withColumn("comp", F.col("cls"))
+        holders = open_.join(short, "cls").repartition("sig")
+        found = met(holders, headed(holders, F.xxhash64("cls", F.lit(turn)), 1), SHORT_BITS)
+        one = found.groupBy("b").agg(F.min_by("a", F.struct(F.xxhash64("a", F.lit(turn)), "a")).alias("a"))
         pairs = kept(_near(one, classes, num, den), "pairs")
         free_shuffles(spark)
         comps = merged(pairs)
         if turn:
             release(open_)
-    tried, parts = None, 1
+    done, parts = None, 1
     while True:
-        open_ = still_open()
-        new = open_ if tried is None else open_.join(tried, ["sig", "cls"], "left_anti")
-        heads = new.groupBy("sig", F.pmod(F.xxhash64("cls"), F.lit(parts)).alias("part")).agg(F.min(F.struct("cls", "comp")).alias("h"))
-        heads = kept(heads.select("sig", "h.*"), "heads")
-        if heads.isEmpty():
+        open_ = still_open(done)
+        if open_.isEmpty():
             return comps
-        found = met(open_, heads, full, PARITY_BITS)
+        holders = open_.join(full, "cls").repartition("sig")
+        found = met(holders, headed(holders, F.col("cls"), parts), PARITY_BITS)
         pairs = kept(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        every = F.count_distinct(F.pmod(F.xxhash64("cls"), F.lit(parts))) == F.count("*")  # all were heads
+        now = open_.groupBy("sig").agg(every.alias("all")).where("all").select("sig")
+        done = kept(now if done is None else now.union(done), "done")
         free_shuffles(spark)
-        if not pairs.isEmpty():
-            comps = merged(pairs)
+        comps = merged(pairs)
         release(open_)
-        mark = heads.select("sig", "cls")
-        tried = kept(mark if tried is None else tried.union(mark), "tried")
         parts *= 256
 
 
