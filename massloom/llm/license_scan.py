@@ -12,22 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from massloom.llm.common import kept, lowered, release, with_row_id
+from massloom.llm.license_texts import TEMPLATES
 
-#: Notices by licence, as published; more can be given to the operator.
-TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
-    "BSD-3-Clause": ["Use of this source code is governed by a BSD-style license."],
-    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."],
-    "CC-BY-NC-4.0": ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC 4.0."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "Proprietary": ["All rights reserved."],
-}
 #: Least cosine of a match.
 LEAST = 0.75
 LICENSE_FILE = r"(?i)^(un)?licen[cs]e([.-].*)?$|^copying([.-].*)?$|^notice([.-].*)?$"
 _SPLIT, _SENTENCE = "[^a-z0-9]+", r"\n+|(?<=[.!?])\s+"
+#: Paragraphs are parted by lines without a letter or digit, such as the bare markers of a comment.
+_PARAGRAPH = r"\n(?:[^A-Za-z0-9\n]*\n)+"
 
 
 def _words(text: Column) -> Column:
@@ -78,12 +70,22 @@ def leading_terms(vectors: Sequence[tuple[str, int, str, float]], least: float)
     return sorted(found)
 
 
+def _heavy(held: Column, vectors: Sequence[tuple[str, int, str, float]], least: float) -> Column:
+    """Whether the template terms ``held`` by a part make up, for some template, the mass without which
+    no cosine reaches ``least``, however often they occur."""
+    each = [[(w, x * x) for _, k, w, x in vectors if k == number] for number in sorted({v[1] for v in vectors})]
+    listed = F.array(*[F.array(*[F.struct(F.lit(w).alias("w"), F.lit(m).alias("m")) for w, m in one]) for one in each])
+    mass = lambda t: F.aggregate(t, F.lit(0.0), lambda acc, z: acc + F.when(F.array_contains(held, z["w"]), z["m"]).otherwise(0.0))
+    return F.exists(listed, lambda t: mass(t) >= least * least * (1 - 1e-9))
+
+
 def notices(bodies: DataFrame, whole: Column, templates: Mapping[str, Sequence[str]], least: float) -> DataFrame:
     """(uid, license, score, opening): best matching template of every text of ``bodies``(uid, text)
     that has one.
 
-    Every sentence and line of the text is compared, and the text as one where ``whole`` holds.
-    ``opening``: the first sentence has a match. Ties go to the smaller license name.
+    Every sentence, line and paragraph of the text is compared, and the text as one where ``whole``
+    holds: a header's lines are one paragraph, however they are broken and marked. ``opening``: the
+    first sentence or paragraph has a match. Ties go to the smaller license name.
     """
     terms = sorted({w for texts in templates.values() for t in texts for w in _plain(t)})
     texts, n = word_documents(bodies), bodies.count()
@@ -91,10 +93,16 @@ def notices(bodies: DataFrame, whole: Column, templates: Mapping[str, Sequence[s
     vectors = template_vectors(templates, idf)
     leads = F.array(*[F.lit(t) for t in leading_terms(vectors, least)])
     spark = bodies.sparkSession
-    parts = F.concat(F.filter(F.split("text", _SENTENCE), lambda s: F.trim(s) != ""), F.when(whole, F.array("text")).otherwise(F.array()))
-    words = bodies.select("uid", F.posexplode(parts).alias("part", "said")).select("uid", "part", _words(F.col("said")).alias("words"))
-    words = words.where(F.arrays_overlap("words", leads)).select("uid", "part", F.explode("words").alias("word"))
-    counts = kept(words.groupBy("uid", "part", "word").agg(F.count("*").alias("n")), "notice-words")
+    sentences = F.filter(F.split("text", _SENTENCE), lambda s: F.trim(s) != "")
+    numbered = lambda parts: F.transform(parts, lambda s, i: F.struct((i == 0).alias("opens"), s.alias("said")))
+    # a paragraph of one sentence and line is among the sentences
+    longer = F.filter(numbered(F.split("text", _PARAGRAPH)), lambda p: p["said"].rlike(_SENTENCE))
+    file = F.when(whole, F.array(F.struct(F.lit(False).alias("opens"), F.col("text").alias("said")))).otherwise(F.array())
+    parts = bodies.select("uid", F.posexplode(F.concat(numbered(sentences), longer, file)).alias("part", "p"))
+    words = parts.select("uid", "part", "p.opens", _words(F.col("p.said")).alias("words")).where(F.arrays_overlap("words", leads))
+    words = words.where(_heavy(F.array_intersect("words", F.array(*[F.lit(t) for t in terms])), vectors, least))
+    words = words.select("uid", "part", "opens", F.explode("words").alias("word"))
+    counts = kept(words.groupBy("uid", "part", "opens", "word").agg(F.count("*").alias("n")), "notice-words")
     # every word weighs as it does over all texts; the words of candidate sentences are looked up
     wanted = kept(texts.join(counts.select("word").distinct(), "word", "left_semi"), "wanted-words")
     release(texts)
@@ -102,10 +110,10 @@ def notices(bodies: DataFrame, whole: Column, templates: Mapping[str, Sequence[s
     weighed = counts.join(wanted, "word").withColumn("x", F.col("n") * idf_column)
     length = weighed.groupBy("uid", "part").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
     vector = spark.createDataFrame(vectors, "license string, template int, word string, weight double")
-    dots = weighed.join(vector, "word").groupBy("uid", "part", "license", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    dots = weighed.join(vector, "word").groupBy("uid", "part", "opens", "license", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
     scored = dots.join(length, ["uid", "part"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 9)).where(F.col("score") >= least)
     best = F.min_by("license", F.struct(-F.col("score"), F.col("license")))
-    return scored.groupBy("uid").agg(best.alias("license"), F.max("score").alias("score"), (F.min("part") == 0).alias("opening"))
+    return scored.groupBy("uid").agg(best.alias("license"), F.max("score").alias("score"), F.bool_or("opens").alias("opening"))
 
 
 def license_scan(
@@ -117,15 +125,17 @@ def license_scan(
     A file's own notice decides (basis ``notice``); else the licence file in its directory or the
     nearest ancestor that has one (``inherited``, with that directory and match); else nothing
     (``none``). Licence files are those named so, and with ``opening_counts`` those whose first
-    sentence is a notice; the best match of a directory's licence files is the directory's licence.
+    sentence or paragraph is a notice; the best match of a directory's licence files is the
+    directory's licence. The BSD texts differ only as a whole, so in a header both are BSD-3-Clause.
 
     Null text is empty; a file with null path inherits nothing; the directory of a path without a
     slash is empty and is the ancestor of all. Repeated rows are files of their own.
     """
     rows = files.select(F.col(doc_id).alias("doc_id"), path.cast("string").alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = with_row_id(rows.withColumns({
+    # written first: both readings below must number the rows alike
+    rows = kept(with_row_id(rows.withColumns({
         "dir": F.when(F.col("path").contains("/"), F.regexp_replace("path", r"(?s)/[^/]*\z", "")).when(F.col("path").isNotNull(), ""),
-        "named": F.coalesce(F.regexp_extract("path", r"(?s)([^/]*)\z", 1).rlike(LICENSE_FILE), F.lit(False))}))
+        "named": F.coalesce(F.regexp_extract("path", r"(?s)([^/]*)\z", 1).rlike(LICENSE_FILE), F.lit(False))})), "license-files")
     found = kept(notices(rows.select("uid", "text", "named"), F.col("named"), templates or TEMPLATES, least), "notices")
     own = kept(rows.select("uid", "doc_id", "path", "dir", "named").join(found, "uid", "left"), "license-rows")
     gives = F.col("named") | (F.col("opening") if opening_counts else F.lit(False))

@@ -141,10 +141,15 @@ def read_records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
         buffer = buffer[size:]
 
 
-def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
-    """(file system, path) of a folder as Spark names it: Hadoop's names of S3 are pyarrow's ``s3``."""
+def pyarrow_uri(folder: str) -> str:
+    """A folder as pyarrow names it: Hadoop's names of S3 are all ``s3`` there."""
     scheme, sep, rest = folder.partition("://")
-    return pafs.FileSystem.from_uri(f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else folder)
+    return f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else folder
+
+
+def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
+    """(file system, path) of a folder as Spark names it."""
+    return pafs.FileSystem.from_uri(pyarrow_uri(folder))
 
 
 def write_archives(

@@ -13,9 +13,8 @@ words = lambda t: [w for w in re.split("[^a-z0-9]+", t.translate(LOWER)) if w]
 
 def brute(rows, opening_counts, least=LEAST):
     """rows of (doc_id, path, text)"""
-    terms = {w for ts in TEMPLATES.values() for t in ts for w in words(t)}
-    df = Counter(w for *_, t in rows for w in set(words(t or "")) & terms)
-    idf = lambda w: math.log((len(rows) + 1) / ((df[w] if w in terms else 0) + 1)) + 1
+    df = Counter(w for *_, t in rows for w in set(words(t or "")))
+    idf = lambda w: math.log((len(rows) + 1) / (df[w] + 1)) + 1
 
     def vector(text):
         x = {w: n * idf(w) for w, n in Counter(words(text)).items()}
@@ -26,17 +25,18 @@ def brute(rows, opening_counts, least=LEAST):
     own = []
     for _, path, text in rows:
         named = path is not None and re.search(LICENSE_FILE, path.rsplit("/", 1)[-1]) is not None
-        parts = [s for s in re.split(r"\n+|(?<=[.!?])\s+", text or "") if s.strip(" ")] + ([text or ""] if named else [])
+        parts = [(k == 0, s) for k, s in enumerate(s for s in re.split(r"\n+|(?<=[.!?])\s+", text or "") if s.strip(" "))]
+        parts += [(k == 0, s) for k, s in enumerate(re.split(r"\n(?:[^A-Za-z0-9\n]*\n)+", text or ""))] + ([(False, text or "")] if named else [])
         hits = []
-        for k, part in enumerate(parts):
+        for k, part in parts:
             v = vector(part)
             hits += [(-s, name, k) for name, t in templates if (s := round(sum(v.get(w, 0) * x for w, x in t.items()), 9)) >= least]
-        own.append((named, min(hits) if hits else None, any(h[2] == 0 for h in hits)))
+        own.append((named, min(h[:2] for h in hits) if hits else None, any(h[2] for h in hits)))
     grants = {}
     for (_, path, _), (named, hit, opening) in zip(rows, own, strict=True):
         if hit and path is not None and (named or opening_counts and opening):
             d = path.rsplit("/", 1)[0] if "/" in path else ""
-            grants[d] = min(grants.get(d, hit[:2]), hit[:2])
+            grants[d] = min(grants.get(d, hit), hit)
     out = []
     for (i, path, _), (_, hit, _) in zip(rows, own, strict=True):
         at = None
@@ -104,3 +104,58 @@ def test_odd_rows(spark):
 def test_a_directory_with_a_third_of_all_files(spark):
     rows = [(i, f"hot/{i}" if i % 3 else f"d{i}/x", "text") for i in range(200)] + [(500, "hot/LICENSE", "Released under the MIT License.")]
     assert found(license_scan(files(spark, rows), F.col("source"))) == brute(rows, False)
+
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2019 Someone Else
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+GPL_HEADER = """/*
+ * widget.c - a widget
+ * Copyright (C) 2020  A. Author
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version {} of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ */
+int main() {{}}
+"""
+APACHE_HEADER = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+import os
+"""
+BSD_FILE = """Copyright 2011 Somebody. All rights kept by them.
+
+""" + next(t for t in TEMPLATES["BSD-2-Clause"]).replace(". THIS", ".\n\nTHIS")
+
+
+def test_headers_and_files_as_they_are_published(spark):
+    third = "\n\nNeither the name of Somebody nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    rows = [
+        (1, "a/LICENSE", MIT_FILE), (2, "a/x.c", "int x;"), (3, "b/w.c", GPL_HEADER.format(3)), (4, "b/v.c", GPL_HEADER.format(2).replace("software: you", "software; you").replace("Foundation, either", "Foundation; either")),
+        (5, "c/m.py", APACHE_HEADER), (6, "d/COPYING", BSD_FILE), (7, "e/COPYING", BSD_FILE + third), (8, "f/y.py", "# a comment on free software and the terms of use\nprint(1)"),
+        (9, "g/LICENSE.txt", MIT_FILE.replace("\n", "\r\n")), (10, "h/isc.h", "// Permission to use, copy, modify, and/or distribute this software for any\n// purpose with or without fee is hereby granted, provided that the above\n// copyright notice and this permission notice appear in all copies.\n"),
+    ] + [(100 + i, f"z/{i}", "plain words of a file about nothing in particular") for i in range(60)]
+    got = found(license_scan(files(spark, rows), F.col("source")))
+    assert got == brute(rows, False)
+    by_id = {r[0]: r[2:4] for r in got}
+    assert by_id[1] == ("MIT", "notice") and by_id[2] == ("MIT", "inherited") and by_id[9] == ("MIT", "notice")
+    assert by_id[3] == ("GPL-3.0", "notice") and by_id[4] == ("GPL-2.0", "notice") and by_id[5] == ("Apache-2.0", "notice")
+    assert by_id[6] == ("BSD-2-Clause", "notice") and by_id[7] == ("BSD-3-Clause", "notice") and by_id[10] == ("ISC", "notice")
+    assert by_id[8][1] == by_id[100][1] == "none"
