@@ -81,6 +81,18 @@ def s06_read_dia_report(t):
     return rounded(out, 6, "top")
 
 
+STUDIES = """select concat('PXD', cast(c_custkey as string)) as pxd, to_json(named_struct('lab', named_struct('name', c_name), 'n', -1,
+  'runAssessor', named_struct('n', c_nationkey, 'unlisted', array(c_mktsegment, cast(c_custkey % 5 as string))))) as text from {customer}"""
+
+
+# the nested sections, the bare one that no nested one hides, and one that no schema lists
+@query("""select 'PXD' || c_custkey as pxd, unnest(['lab', 'n', 'unlisted']) as section,
+  unnest(['{"name":"' || c_name || '"}', cast(c_nationkey as varchar), '["' || c_mktsegment || '","' || (c_custkey % 5) || '"]']) as json from customer""")
+def s07_study_sections(t):
+    sections = docs.study_sections(docs.study_documents(t.sql(STUDIES), "text"))
+    return sections.select("pxd", "section", F.to_json("value").alias("json"))
+
+
 @query("""select 'PXD' || (100000 + o_custkey) as pxd, 'f' || o_orderkey as stem, case when o_orderkey % 2 = 0 then 'DDA' else 'DIA' end as acquisition_type, 'Q Exactive' as instrument,
   round(o_totalprice, 4) as tmt_score from orders""")
 def s07_read_study(t):

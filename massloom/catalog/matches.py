@@ -46,6 +46,18 @@ def a06_distinct_proteins(t):
     return ops.distinct_proteins(t("f_psm"), ["filename"])
 
 
+# whether the estimates of each charge's runs, united from stored sketches, are within four standard errors
+@query("""select charge, count(*) as num_psms, true as peptides_fit, true as proteins_fit from {f_psm} group by charge""")
+def a06_united_sketches(t):
+    psm = t("f_psm")
+    got = ops.united_sketches(ops.run_sketches(psm, ["filename", "charge"]), ["charge"])
+    exact = ops.search_summary(psm, ["charge"]).drop("num_psms").join(ops.distinct_proteins(psm, ["charge"]), "charge")
+    fits = lambda estimate, n: F.abs(F.col(estimate) - F.col(n)) <= F.col(n) * (4 * 0.8 / 64) + 1
+    return got.join(exact, "charge").select(
+        "charge", "num_psms", fits("unique_peptides", "num_unique_peptides").alias("peptides_fit"),
+        fits("distinct_proteins", "proteins_distinct").alias("proteins_fit"))
+
+
 @query("""select filename, count(*) as num_psms, count(distinct peptide) as num_unique_peptides
 from {f_psm} group by filename""")
 def a07_per_file_stats(t):

@@ -190,18 +190,21 @@ def discover_modifications(t):
 LABEL = "case o_orderkey % 8 when 0 then 'TMT' when 1 then 'TMTpro' when 2 then 'iTRAQ4' when 3 then 'iTRAQ8' when 4 then 'SILAC' when 5 then 'LFQ' when 6 then 'none' else 'TMT10' end"
 
 
-def _rules_values() -> str:
-    from massloom.functions import rules
-
-    rows = [
-        f"('{c}', '{s}', '{n}', {u}, {m!r}, '{site}', {str(f).lower()})" for c, s, n, u, m, site, f in rules.LABEL_MODS
-    ]
-    return "(values " + ", ".join(rows) + ") as v(label_class, source, mod, unimod_id, mass, site, fixed)"
+# what is expected of every label, and of each class of label more
+EXPECTED_MODS = """(select '*' as label_class, 'dia' as source, * from (values ('Oxidation', 35, 15.994915, 'M', false), ('Acetyl', 1, 42.010565, '*n', false),
+    ('Deamidated', 7, 0.984016, 'N', false), ('Deamidated', 7, 0.984016, 'Q', false), ('Phospho', 21, 79.966331, 'S', false), ('Phospho', 21, 79.966331, 'T', false),
+    ('Phospho', 21, 79.966331, 'Y', false), ('Gln->pyro-Glu', 28, -17.026549, 'Qn', false), ('Glu->pyro-Glu', 27, -18.010565, 'En', false),
+    ('Carbamidomethyl', 4, 57.021464, 'C', true)) as b(mod, unimod_id, mass, site, fixed)
+  union all select c, source, mod, unimod_id, case when c = 'TMTpro' and source = 'static' then 304.207 else mass end, site, true from
+    (values ('TMT', 'TMT', 737, 229.162932), ('TMTpro', 'TMT', 737, 304.207146), ('iTRAQ', 'iTRAQ', 214, 144.102063), ('iTRAQ8', 'iTRAQ', 214, 304.20536)) as k(c, mod, unimod_id, mass),
+    (values ('search', 'K'), ('search', '^'), ('dia', 'K'), ('dia', '*n'), ('static', '^'), ('static', 'K'), ('static', 'Y')) as p(source, site) where site <> 'Y' or mod = 'iTRAQ'
+  union all select 'SILAC', source, mod, unimod_id, mass, site, false from (values ('SILAC_K', 259, 8.014199, 'K'), ('SILAC_R', 267, 10.008269, 'R')) as s(mod, unimod_id, mass, site),
+    (values ('search'), ('dia')) as q(source)) as v"""
 
 
 @query(f"""with l as (select distinct {LABEL} as label from {{orders}}),
 k as (select label, case label when 'TMT10' then 'TMT' when 'iTRAQ4' then 'iTRAQ' when 'none' then 'LFQ' else label end as own from l)
-select k.label, v.source, v.mod, v.unimod_id, cast(v.mass as double) as mass, v.site, v.fixed from k join {_rules_values()}
+select k.label, v.source, v.mod, v.unimod_id, cast(v.mass as double) as mass, v.site, v.fixed from k join {EXPECTED_MODS}
 on v.label_class = k.own or v.label_class = '*'""")
 def p20_label_mods(t):
     return runs.label_mods(t.sql(f"select {LABEL} as labeling from {{orders}}"))

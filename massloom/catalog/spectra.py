@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from massloom.catalog.registry import query, rounded
-from massloom.functions import rules
 from massloom.operators import runs
 from massloom.session import scratch_dir
 from massloom.sources import sinks
@@ -108,14 +107,21 @@ def a12_composite_from_peaks(t):
     return runs.composite_from_peaks(t("f_spectrum"), t("f_peak"))
 
 
-def _regions() -> str:
-    rows = [f"('{k}', '{r}', '{lab}', {a}, {b})" for k, r, lab, a, b in runs.reporter_regions()]
-    return "(values " + ", ".join(rows) + ") as v(frag_type, region, label, first_bin, last_bin)"
+# expected bins of each region: a hundredth of an m/z unit around the reporter at high resolution, one unit at low
+REGIONS = """(select frag_type, region, label, cast(trunc((mz - width / 2 - 100) / step) as bigint) as first_bin, cast(trunc((mz + width / 2 - 100) / step) as bigint) as last_bin from (
+  select 'HR_HCD' as frag_type, 0.01::double as width, 0.0002::double as step, * from (values
+    ('TMT6_126', 'TMT', 126.127725::double), ('TMT6_127', 'TMT', 127.124760::double), ('TMT6_128', 'TMT', 128.134433::double), ('TMT6_129', 'TMT', 129.131468::double),
+    ('TMT6_130', 'TMT', 130.141141::double), ('TMT6_131', 'TMT', 131.138176::double), ('TMT6plex', 'TMT', 230.1702::double), ('TMTpro', 'TMTpro', 305.2144::double),
+    ('TMTpro+H2O', 'TMTpro', 323.22499::double), ('iTRAQ_114', 'iTRAQ', 114.11068::double), ('iTRAQ_115', 'iTRAQ', 115.107715::double), ('iTRAQ_116', 'iTRAQ', 116.111069::double),
+    ('iTRAQ_117', 'iTRAQ', 117.114424::double), ('iTRAQ4_nterm', 'iTRAQ4', 145.109::double), ('iTRAQ8_118', 'iTRAQ8', 118.111459::double), ('iTRAQ8_119', 'iTRAQ8', 119.114814::double),
+    ('iTRAQ8_121', 'iTRAQ8', 121.121524::double), ('iTRAQ8_113', 'iTRAQ8', 113.107325::double)) as h(region, label, mz)
+  union all select 'LR_IT_CID', 1.0::double, 0.05::double, * from (values ('TMT6plex', 'TMT', 230.1702::double), ('TMT6_y1K', 'TMT', 376.2757::double), ('iTRAQ4_y1K', 'iTRAQ4', 376.2757::double),
+    ('iTRAQ8_y1K', 'iTRAQ8', 451.3118::double)) as l(region, label, mz))) as v"""
 
 
 PEAKS = f"""{COMPOSITE},
 modes as (select c.filename, c.frag_type, v.region, v.label, first(c.bin order by c.intensity desc, c.bin) as mode_bin
-  from comp c join {_regions()} on v.frag_type = c.frag_type and c.bin >= v.first_bin and c.bin < v.last_bin
+  from comp c join {REGIONS} on v.frag_type = c.frag_type and c.bin >= v.first_bin and c.bin < v.last_bin
   where c.intensity > 0 group by 1, 2, 3, 4),
 rings as (select m.*, d.d, coalesce(sum(c.n_peaks), 0) as n, coalesce(sum(c.intensity), 0) as i
   from modes m cross join (select unnest(range(0, 17)) as d) d left join comp c on c.filename = m.filename and c.frag_type = m.frag_type
@@ -173,20 +179,27 @@ def x04_fit_peak(t):
     return rounded(rounded(rounded(fits, 6, "fit_mz"), 7, "sigma"), 2, "height")
 
 
+@query()
+def x04_fit_peak_linear(t):
+    comp = runs.composite(arrays(t))
+    fits = runs.fit_peak_linear(comp, runs.reporter_peaks(comp))
+    return rounded(rounded(rounded(fits, 6, "fit_mz"), 7, "sigma"), 2, "height")
+
+
 CV = """select filename, ord, accession from (select concat('run_', cast(o_custkey % 60 as string)) as filename, o_orderkey as ord,
   case o_custkey % 60 % 6 when 0 then 'MS:1000551' when 1 then case when o_orderkey % 2 = 0 then 'MS:1000562' else 'MS:1000566' end
     when 2 then case when o_orderkey % 3 = 0 then 'MS:1002523' else 'MS:1000551' end when 3 then 'MS:1000566'
     when 4 then case when o_orderkey % 3 = 0 then 'MS:1001911' else 'MS:1002416' end else 'MS:9999999' end as accession from {orders}) x"""
 
 
-def _models() -> str:
-    rows = [f"('{a}', '{n}', '{c}', 1)" for a, n, c in rules.INSTRUMENTS]
-    rows += [f"('{a}', '{n}', '{c}', {r})" for a, n, c, r in rules.INSTRUMENT_SPECIAL]
-    return "(values " + ", ".join(rows) + ") as v(accession, name, category, rank)"
+# what is expected of each accession that occurs: name, category, and the rank of those that only stand in
+EXPECTED_MODELS = """(values ('MS:1001911', 'Q Exactive', 'pureHCD', 1), ('MS:1002523', 'Q Exactive HF', 'pureHCD', 1), ('MS:1002416', 'Orbitrap Fusion', 'variable', 1),
+  ('MS:1000562', 'SCIEX instrument model', 'QTOF', 2), ('MS:1000551', 'SCIEX instrument model', 'QTOF', 3),
+  ('MS:1000566', 'Conversion to mzML from mzXML from unknown instrument', 'unknown', 5)) as v(accession, name, category, rank)"""
 
 
 @query(f"""with cv as ({CV}), r as (select cv.filename, v.*, row_number() over (partition by cv.filename order by v.rank nulls last,
-  case when v.rank = 1 then -cv.ord else cv.ord end) as rn from cv left join {_models()} on v.accession = cv.accession)
+  case when v.rank = 1 then -cv.ord else cv.ord end) as rn from cv left join {EXPECTED_MODELS} on v.accession = cv.accession)
 select filename, accession, coalesce(name, 'unknown') as name, coalesce(category, 'unknown') as category from r where rn = 1""")
 def p18_instrument(t):
     return runs.instrument(t.sql(CV))

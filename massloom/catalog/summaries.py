@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from massloom.catalog.projects import DONE, RAW, attempts
 from massloom.catalog.registry import query, rounded
 from massloom.operators import reports as ops
-from massloom.streaming import events as st
+from massloom.streaming import events as st, projects
 
 SUMMARY = """select pxd, count(*) as total_events, count(*) filter (where level = 'ERROR') as error_events, count(*) filter (where level = 'WARNING') as warning_events,
   count(*) filter (where level = 'INFO') as info_events, count(*) filter (where level = 'DEBUG') as debug_events, count(*) filter (where category = 'decision') as decisions,
@@ -193,6 +193,21 @@ def t01_stream_event_summary(t):
     return plain_time(st.run_available(st.stream_event_summary(stream(t)), "t01", "complete"), "first_ts", "last_ts")
 
 
+# a project's last event completes it; the newest project stays open, as nothing moves event time past it
+@query(f"select * from ({SUMMARY}) where last_ts < (select max(ts) from {{f_event}})")
+def t01_stream_project_summaries(t):
+    last = t("f_event").groupBy("pxd").agg(F.max(F.struct("ts", "event_id")).alias("l")).select("pxd", F.col("l.event_id").alias("last_id"))
+    done = F.col("event_id") == F.col("last_id")
+    out = projects.stream_project_summaries(stream(t).join(last, "pxd"), done, watermark="0 seconds")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(key)
+    t.spark.conf.set(key, projects.STORE)
+    try:
+        return plain_time(st.run_available(out, "t01p"), "first_ts", "last_ts")
+    finally:
+        t.spark.conf.set(key, before)
+
+
 @query("""with w as (select time_bucket(interval 1 hour, ts) as window_start, process, level, count(*) as n from {f_event} group by 1, 2, 3)
 select window_start, window_start + interval 1 hour as window_end, process, level, n from w
 where window_start + interval 1 hour <= (select max(ts) - interval 1 hour from {f_event})""")

@@ -148,19 +148,21 @@ def site_fractions(
     residues in all unique stripped peptides, plus one per peptide for each allowed terminus.
     """
     by = list(by)
-    # the distinct forms feed all three branches, and the few definitions two: both are kept, so
-    # the matches are read and shuffled once and the reference is searched once
+    # the distinct forms and the few definitions feed two branches each: both are kept; a peptide is
+    # parsed once, however many groups have it, and its marks are joined back
     forms = checkpoint(_forms(psm, by))
-    events = _events(forms, by, compat)
+    parsed = forms.select("peptide", "stripped").distinct()
+    events = parsed.select("peptide", "stripped", F.explode(modseq.mod_events(F.col("peptide"), compat)).alias("e"))
+    events = checkpoint(events.select("peptide", "stripped", "e.*").withColumn("event", _event_key()))
     defs = checkpoint(mod_definitions(events, unimod, tol, hidden))
     totals = residue_counts(forms, by)
+    marks = events.select("peptide", "stripped", "pos", "event").join(defs.select("event", "mod_key"), "event")
+    marks = marks.groupBy("peptide", "stripped", "mod_key").agg(F.collect_set("pos").alias("at"))  # at most a peptide's length
     sites = (
-        events.withColumn("event", _event_key()).select(*by, "stripped", "pos", "event")
-        .join(defs.select("event", "mod_key"), "event")
-        .select(*by, "mod_key", "stripped", "pos").distinct()
-        .groupBy(*by, "mod_key", "stripped").agg(F.count("*").alias("n"))
+        forms.select(*by, "peptide").join(marks, "peptide")
+        .groupBy(*by, "mod_key", "stripped").agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("n"))
         .groupBy(*by, "mod_key")
-        .agg(F.sum("n").alias("modified_sites"), F.count("*").alias("peptides_with_mod"))
+        .agg(F.sum("n").cast("bigint").alias("modified_sites"), F.count("*").alias("peptides_with_mod"))
     )
     facts = defs.drop("event").dropDuplicates(["mod_key"])
     joined = sites.join(facts, "mod_key")

@@ -142,3 +142,21 @@ def test_workflow_log_lines(spark, tmp_path):
         "[cd/6789ab] Aborted process > llm (PXD2)\nno task (PXD3)\n[ef/6789ab] Submitted process > x (none)\n")
     got = [tuple(r) for r in tables.read_workflow_log(spark, str(tmp_path / "x.log")).orderBy("pxd").collect()]
     assert got == [("PXD1", "search", "PXD1 run", "ab", "012345"), ("PXD2", "llm", "PXD2", "cd", "6789ab")]
+
+
+def test_a_document_with_unlisted_sections_comes_back_whole(spark):
+    inner = {"files": {"/d/a.mzML": {"n": 3, "odd key \" é": [1, None, {"x": 1.5}]}}, "search_criteria": {"labeling": "TMT"}, "never heard of": [True, "\\ \n", {}]}
+    given = {
+        "P1": inner, "P2": {"pxd_id": "P2", "runAssessor": inner, "extra": {"deep": [[1], [2, 3]]}, "files": "the nested one wins"},
+        "P3": {}, "P4": {"null section": None, "n": 12345678901234567890}, "P5": None,
+    }
+    rows = [(k, json.dumps(v) if v is not None else "{not json") for k, v in given.items()] + [("P6", None)]
+    parsed = docs.study_documents(spark.createDataFrame(rows, "pxd string, text string"), "text")
+    sections = docs.study_sections(parsed)
+    back = {r.pxd: json.loads(r.json) for r in docs.whole_documents(sections).collect()}
+    lifted = {**{k: v for k, v in given["P2"].items() if k != "runAssessor"}, **inner}
+    assert back == {"P1": inner, "P2": lifted, "P4": given["P4"]}
+    bad = {r.pxd for r in parsed.where("body is null").collect()}
+    assert bad == {"P5", "P6"}
+    [got] = docs.section(sections.where("pxd = 'P1'"), "search_criteria", "labeling string, missing int").collect()
+    assert got.search_criteria.labeling == "TMT" and got.search_criteria.missing is None

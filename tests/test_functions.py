@@ -237,3 +237,52 @@ def test_leave_one_out_forms_agree_on_columns(spark):
         for i in got.keys() & want.keys():
             assert max(abs(m.present - w) + abs(m.absent + w - 1) for m, w in zip(got[i], want[i], strict=True)) < 1e-11
         assert got[9] is None
+
+
+def least_squares(points, start):
+    """Plain damped steps with numpy."""
+    import numpy as np
+
+    x, y = np.array(points).T
+    g, damp = np.array(start, float), 1e-3
+    f = lambda g: g[0] * np.exp(-((x - g[1]) / g[2]) ** 2 / 2)
+    for _ in range(300):
+        v, z = f(g), (x - g[1]) / g[2]
+        j = np.stack([v / g[0], v * z / g[2], v * z * z / g[2]], axis=1)
+        a = j.T @ j
+        new = g + np.linalg.solve(a + damp * np.diag(np.diag(a)), j.T @ (y - v))
+        if ((y - f(new)) ** 2).sum() <= ((y - v) ** 2).sum():
+            g, damp = new, damp / 10
+        else:
+            damp *= 10
+    return g
+
+
+def test_linear_peak_fit_equals_least_squares(spark):
+    import numpy as np
+
+    from massloom.operators import runs
+
+    rng = np.random.default_rng(7)
+    comp, peaks, points = [], [], {}
+    for k, (height, mid, sigma, noise) in enumerate([(1000, 0.3, 2.0, 1), (40, -0.6, 1.4, 6), (15, 0.2, 2.5, 4), (500, 0.0, 0.8, 0)]):
+        xs = np.arange(-16, 16)
+        ys = np.maximum(np.round(height * np.exp(-((xs - mid) / sigma) ** 2 / 2) + rng.normal(0, noise, len(xs)), 3), 0)
+        mode = 100_000 + 1000 * k
+        comp += [("run", "HR_HCD", mode + int(x), 5, float(y)) for x, y in zip(xs, ys) if y > 0]
+        peaks.append(("run", "HR_HCD", f"r{k}", "TMT", mode, 8, 100, 1.0, True))
+        points[f"r{k}"] = list(zip(xs, ys))
+    comp = spark.createDataFrame(comp, "filename string, frag_type string, bin long, n_peaks long, intensity double")
+    schema = "filename string, frag_type string, region string, label string, mode_bin long, extent int, n_spectra long, intensity double, is_found boolean"
+    peaks = spark.createDataFrame([*peaks, ("run", "HR_HCD", "void", "TMT", 5, 8, 100, 1.0, True)], schema)
+    start = {r.region: r for r in runs.fit_peak(comp, peaks).collect()}
+    got = {r.region: r for r in runs.fit_peak_linear(comp, peaks).collect()}
+    assert not got["void"].converged and got["void"].height is None if "void" in got else True
+    low, _, width = 100.0, None, 0.0002
+    for k, region in enumerate(sorted(points)):
+        s, g = start[region], got[region]
+        mode = 100_000 + 1000 * k
+        want = least_squares(points[region], (s.height, (s.fit_mz - low) / width - mode, s.sigma / width))
+        assert g.converged and abs(g.height - want[0]) < 1e-4 * want[0]
+        assert abs((g.fit_mz - low) / width - mode - want[1]) < 1e-3 and abs(g.sigma / width - want[2]) < 1e-3 * want[2]
+    assert abs(start["r2"].height - got["r2"].height) > 0.1  # the noisy flanks did decide before
