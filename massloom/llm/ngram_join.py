@@ -29,6 +29,8 @@ BUCKET = 1_500_000
 BLOOM_BITS = 1 << 25
 #: Bits of a set's parities, and of their short form; see :func:`parities`.
 PARITY_BITS, SHORT_BITS = 1024, 256
+#: Holders of a signature that are all compared at once.
+FEW = 64
 #: Turns in which a class is compared with one other only, before pairs are listed.
 SEEDS = 2
 #: Shingles that signatures are made of at once.
@@ -342,10 +344,11 @@ def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words:
     of a hash, of the heads of its signatures, each signature's head being its first holder.
     Copies of one text meet there, so a family is in few components before pairs are listed.
     Then in each round every signature whose holders are in several components compares some of
-    them, its heads, with those outside their component: first the smallest, then the smallest in each
-    of 256, 65,536, .. parts. A signature is done when its holders are in one component or were all
-    heads in one round, so no pair that could join two components is left out. A pair is listed
-    only if its sizes and full parities leave room for a link, which hardly any but links do.
+    them, its heads, with those outside their component: all of them if they are at most ``FEW``, else
+    the smallest in each of 256, 65,536, .. parts. A signature is done when its holders are in one
+    component or were all heads in one round, so no pair that could join two components is left
+    out. A pair is listed only if its sizes and full parities leave room for a link, which hardly
+    any but links do.
     """
     spark = shared.sparkSession
     comps = kept(shared.select("cls", F.col("cls").alias("comp")).distinct(), "comps")
@@ -354,14 +357,14 @@ def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words:
 
     def still_open(done: DataFrame | None) -> DataFrame:
         every = (shared if done is None else shared.join(done, "sig", "left_anti")).join(comps, "cls")
-        several = every.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-        return kept(every.join(several, "sig", "left_semi"), "open")
+        several = every.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("held")).where("lo <> hi")
+        return kept(every.join(several.select("sig", "held"), "sig"), "open")
 
-    def headed(holders: DataFrame, order: Column, parts: int) -> DataFrame:
-        """Heads (sig, part, h): of holders dealt by signature already, so they are not shuffled again."""
-        part = F.pmod(F.xxhash64("cls"), F.lit(parts))
+    def headed(holders: DataFrame, order: Column, part: Column) -> DataFrame:
+        """The first holder of each signature and part; holders are dealt by signature already, so they
+        are not shuffled again."""
         row = F.struct(order.alias("order"), *[c for c in holders.columns if c != "sig"])
-        return holders.groupBy("sig", part.alias("part")).agg(F.min(row).alias("h")).select("sig", "h.*").drop("order")
+        return holders.groupBy("sig", part.alias("part")).agg(F.min(row).alias("h")).select("sig", "h.*").drop("order", "held")
 
     def met(holders: DataFrame, heads: DataFrame, bits: int) -> DataFrame:
         apart = (F.col("m.sig") == F.col("h.sig")) & (F.col("m.comp") != F.col("h.comp"))
@@ -384,22 +387,24 @@ def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words:
     for turn in range(SEEDS):
         open_ = still_open(None) if turn else shared.withColumn("comp", F.col("cls"))
         holders = open_.join(short, "cls").repartition("sig")
-        found = met(holders, headed(holders, F.xxhash64("cls", F.lit(turn)), 1), SHORT_BITS)
+        found = met(holders, headed(holders, F.xxhash64("cls", F.lit(turn)), F.lit(0)), SHORT_BITS)
         one = found.groupBy("b").agg(F.min_by("a", F.struct(F.xxhash64("a", F.lit(turn)), "a")).alias("a"))
         pairs = kept(_near(one, classes, num, den), "pairs")
         free_shuffles(spark)
         comps = merged(pairs)
         if turn:
             release(open_)
-    done, parts = None, 1
+    done, parts = None, 256
     while True:
         open_ = still_open(done)
         if open_.isEmpty():
             return comps
         holders = open_.join(full, "cls").repartition("sig")
-        found = met(holders, headed(holders, F.col("cls"), parts), PARITY_BITS)
+        spot = F.xxhash64("cls")
+        part = F.when(F.col("held") <= FEW, spot).otherwise(F.pmod(spot, F.lit(parts)))
+        found = met(holders, headed(holders, F.col("cls"), part), PARITY_BITS)
         pairs = kept(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        every = F.count_distinct(F.pmod(F.xxhash64("cls"), F.lit(parts))) == F.count("*")  # all were heads
+        every = F.count_distinct(part) == F.count("*")  # all were heads
         now = open_.groupBy("sig").agg(every.alias("all")).where("all").select("sig")
         done = kept(now if done is None else now.union(done), "done")
         free_shuffles(spark)
