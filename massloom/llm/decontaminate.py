@@ -21,6 +21,8 @@ from massloom.llm.words import ODD, chunks, mixed, powers
 STEPS, TABLES = 60, 4
 #: Bytes at which walks may end. A window of an item takes the widest that the rest of the item fills.
 WIDTHS = (1, 2, 4, 6, 8, 12, 16, 24, 32, 44, STEPS)
+#: Bytes from which on a walk is long enough for samples of half its steps in a row.
+LONG_WALK = 24
 FLAG_BITS = 20
 #: Items whose index one pass over the texts holds; more items take further passes.
 ITEMS = 20_000
@@ -62,26 +64,40 @@ def window_keys(text: np.ndarray, starts: np.ndarray, width: int = STEPS) -> np.
 
     A CGK walk reads the byte at its place at each step, then moves on by 0 or 1 as a fixed coin of
     (step, byte) says; past the window it reads spaces. Two walks over texts that differ by an edit
-    fall into step again after a few steps, so few of the bytes read differ. Table t's key is made of
-    every ``TABLES``-th byte read; walks whose differences miss one table's steps share its key.
+    fall into step again after a few steps, so the bytes read differ in a few runs. Table t's key is
+    made of the bytes read at its sample of the steps; walks whose differences miss one table's
+    steps share its key.
     """
     padded = np.append(text, np.full(STEPS, 32, np.uint8))
     place, keys, end = starts.astype(np.int64), np.zeros((TABLES, len(starts)), _U), starts + width
     spread = mixed(np.arange(256, dtype=_U) + _U(SEED * 7))
+    tables = samples(width)
     with np.errstate(over="ignore"):
         for step, coin in enumerate(_coins()[: 2 * width]):
             byte = padded[place]
             if step >= width:  # no walk is past its window before
                 byte = np.where(place < end, byte, np.uint8(32))
-            key = keys[step % TABLES]
-            key *= _U(0x9E3779B97F4A7C15)
-            key += spread[byte]
+            read = spread[byte]
+            for t in tables[step]:
+                keys[t] *= _U(0x9E3779B97F4A7C15)
+                keys[t] += read
             place += coin[byte]
         for t in range(TABLES):
             keys[t] = mixed(keys[t] + _U(t))
     return keys
 
 
+def samples(width: int) -> list[list[int]]:
+    """For each step the tables that read it. Long walks have three overlapping halves, as edits spoil
+    runs of steps, and every ``TABLES``-th step; in short walks a half would say too little, so the
+    tables share the steps out in turn."""
+    steps = min(STEPS, 2 * width)
+    if width < LONG_WALK:
+        return [[s % TABLES] for s in range(steps)]
+    half = steps // 2
+    return [[t for t, first in enumerate((0, half // 2, half)) if first <= s < first + half] + ([TABLES - 1] if s % TABLES == 0 else []) for s in range(steps)]
+
+
 def _within(codes: np.ndarray, ranges: tuple[tuple[int, int], ...]) -> np.ndarray:
     edges = np.array(ranges)
     at = np.searchsorted(edges[:, 0], codes, side="right") - 1
