@@ -70,15 +70,6 @@ def leading_terms(vectors: Sequence[tuple[str, int, str, float]], least: float)
     return sorted(found)
 
 
-def _heavy(held: Column, vectors: Sequence[tuple[str, int, str, float]], least: float) -> Column:
-    """Whether the template terms ``held`` by a part make up, for some template, the mass without which
-    no cosine reaches ``least``, however often they occur."""
-    each = [[(w, x * x) for _, k, w, x in vectors if k == number] for number in sorted({v[1] for v in vectors})]
-    listed = F.array(*[F.array(*[F.struct(F.lit(w).alias("w"), F.lit(m).alias("m")) for w, m in one]) for one in each])
-    mass = lambda t: F.aggregate(t, F.lit(0.0), lambda acc, z: acc + F.when(F.array_contains(held, z["w"]), z["m"]).otherwise(0.0))
-    return F.exists(listed, lambda t: mass(t) >= least * least * (1 - 1e-9))
-
-
 def notices(bodies: DataFrame, whole: Column, templates: Mapping[str, Sequence[str]], least: float) -> DataFrame:
     """(uid, license, score, opening): best matching template of every text of ``bodies``(uid, text)
     that has one.
@@ -100,7 +91,6 @@ def notices(bodies: DataFrame, whole: Column, templates: Mapping[str, Sequence[s
     file = F.when(whole, F.array(F.struct(F.lit(False).alias("opens"), F.col("text").alias("said")))).otherwise(F.array())
     parts = bodies.select("uid", F.posexplode(F.concat(numbered(sentences), longer, file)).alias("part", "p"))
     words = parts.select("uid", "part", "p.opens", _words(F.col("p.said")).alias("words")).where(F.arrays_overlap("words", leads))
-    words = words.where(_heavy(F.array_intersect("words", F.array(*[F.lit(t) for t in terms])), vectors, least))
     words = words.select("uid", "part", "opens", F.explode("words").alias("word"))
     counts = kept(words.groupBy("uid", "part", "opens", "word").agg(F.count("*").alias("n")), "notice-words")
     # every word weighs as it does over all texts; the words of candidate sentences are looked up
