@@ -91,6 +91,13 @@ def notices(bodies: DataFrame, whole: Column, templates: Mapping[str, Sequence[s
     file = F.when(whole, F.array(F.struct(F.lit(False).alias("opens"), F.col("text").alias("said")))).otherwise(F.array())
     parts = bodies.select("uid", F.posexplode(F.concat(numbered(sentences), longer, file)).alias("part", "p"))
     words = parts.select("uid", "part", "p.opens", _words(F.col("p.said")).alias("words")).where(F.arrays_overlap("words", leads))
+    # the largest share that each term held has of any template bounds the mass held of every template
+    share: dict[str, float] = {}
+    for _, _, w, x in vectors:
+        share[w] = max(share.get(w, 0.0), x * x)
+    listed = F.create_map(*[F.lit(v) for pair in share.items() for v in pair])
+    held = F.array_intersect("words", F.array(*[F.lit(t) for t in terms]))
+    words = words.where(F.aggregate(held, F.lit(0.0), lambda acc, w: acc + F.try_element_at(listed, w)) >= least * least * (1 - 1e-9))
     words = words.select("uid", "part", "opens", F.explode("words").alias("word"))
     counts = kept(words.groupBy("uid", "part", "opens", "word").agg(F.count("*").alias("n")), "notice-words")
     # every word weighs as it does over all texts; the words of candidate sentences are looked up
