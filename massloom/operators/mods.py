@@ -34,17 +34,22 @@ def _reference(unimod: DataFrame) -> DataFrame:
     )
 
 
+def _shuffled(reference: DataFrame) -> DataFrame:
+    """The reference may be large, and grouped rows are taken for smaller than they are: no join broadcasts it."""
+    return reference.hint("merge")
+
+
 def match_mods(masses: DataFrame, unimod: DataFrame, tol: float = 0.01) -> DataFrame:
     """Best reference record per (mass, residue, term).
 
     Records within ``tol``; those whose visible sites allow the residue or terminus first, then
     the smaller difference, then reference order. Masses without a match are not returned.
     """
-    sites = _reference(unimod).join(mod_sites(unimod), "unimod_id", "left")
+    sites = _reference(unimod).join(_shuffled(mod_sites(unimod)), "unimod_id", "left")
     shifts = masses.select("mass", "residue", "term").distinct()
     edge = tol * 1.001
     near = interval_join(
-        shifts, F.col("mass"), sites, F.col("mono_mass") - edge, F.col("mono_mass") + edge, 2 * tol
+        shifts, F.col("mass"), _shuffled(sites), F.col("mono_mass") - edge, F.col("mono_mass") + edge, 2 * tol
     ).withColumn("diff", F.abs(F.col("mono_mass") - F.col("mass")))
     allowed = F.coalesce(F.array_contains("residues", F.col("residue")), F.lit(False)) | F.coalesce(
         F.array_contains("terms", F.col("term")), F.lit(False)
@@ -87,7 +92,7 @@ def mod_definitions(events: DataFrame, unimod: DataFrame, tol: float = 0.01, hid
     kinds = events.select("mass", "residue", "term", "unimod_id").distinct().withColumn("event", _event_key())
     by_mass = match_mods(kinds.where("unimod_id is null"), unimod, tol)
     sites = mod_sites(unimod, hidden)
-    named = kinds.where("unimod_id is not null").join(_reference(unimod), "unimod_id", "left")
+    named = kinds.where("unimod_id is not null").join(_shuffled(_reference(unimod)), "unimod_id", "left")
     matched = (
         kinds.where("unimod_id is null").drop("unimod_id").alias("k")
         .join(
@@ -115,7 +120,7 @@ def mod_definitions(events: DataFrame, unimod: DataFrame, tol: float = 0.01, hid
         F.array_sort(F.collect_set("term")).alias("seen_terms"),
     )
     none = F.array().cast("array<string>")
-    per_key = per_key.join(sites, "unimod_id", "left").select(
+    per_key = per_key.join(_shuffled(sites), "unimod_id", "left").select(
         "mod_key", "unimod_id", "mod_name", "mass_shift",
         F.when(F.col("unimod_id").isNull(), F.col("seen_residues")).otherwise(
             F.coalesce("residues", none)).alias("residues"),
@@ -232,7 +237,7 @@ def usable_mods(ptm: DataFrame, unimod: DataFrame, tol: float = 0.01, max_mass:
     )
     found = match_mods(shifts, unimod, tol).select(F.col("mass").alias("mass_shift"), "unimod_id", "mod_name")
     sites = mod_sites(unimod, hidden=True).where("size(residues) + size(terms) > 0")
-    return sane.join(found, "mass_shift").join(sites, "unimod_id")
+    return sane.join(found, "mass_shift").join(_shuffled(sites), "unimod_id")
 
 
 def mods_to_maps(
