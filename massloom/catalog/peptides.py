@@ -139,8 +139,8 @@ fit as (select spectrum_id, sequence, first(ppm order by abs(ppm)) as ppm from p
 select spectrum_id, count(*) as n_candidates, round(min(abs(ppm)), 3) as ppm from fit group by 1""")
 def j13_candidates(t):
     peptides = t("f_denovo").select("sequence").distinct().withColumn("mass", mz.sequence_mass(F.col("sequence")))
-    pairs = ops.candidates(t("f_spectrum").select("spectrum_id", "precursor_mz", "charge"), peptides)
-    out = ops.candidate_summary(pairs).select("spectrum_id", "n_candidates", F.abs("ppm").alias("ppm"))
+    spectra = t("f_spectrum").select("spectrum_id", "precursor_mz", "charge")
+    out = ops.candidate_summary(spectra, peptides).select("spectrum_id", "n_candidates", F.abs("ppm").alias("ppm"))
     return rounded(out, 3, "ppm")
 
 

@@ -11,6 +11,7 @@ from massloom.functions import mass as mz, rules
 from massloom.functions.text import let
 from massloom.operators.ranges import interval_join
 from massloom.operators.ranking import top_n
+from massloom.session import checkpoint
 
 
 def filter_denovo(
@@ -97,36 +98,53 @@ def candidates(
     """Peptides whose mass fits a spectrum's precursor for some isotope number.
 
     ``spectra``: spectrum_id, precursor_mz, charge. ``peptides``: sequence, mass. Log mass makes
-    the tolerance one constant width, so each spectrum meets only peptides near its own mass.
+    the tolerance one constant width, so each spectrum meets only peptides near its own mass. A pair
+    that fits several isotopes is kept where it meets at the nearest, so pairs are never shuffled.
     """
     lo, hi = isotopes
-    near = spectra.withColumn("isotope", F.explode(F.sequence(F.lit(lo), F.lit(hi)))).withColumn(
+    near = spectra.distinct().withColumn("isotope", F.explode(F.sequence(F.lit(lo), F.lit(hi)))).withColumn(
         "_mz", F.col("precursor_mz") - F.col("isotope") * rules.ISOTOPE_STEP / F.col("charge")
     )
     target = mz.neutral_mass(F.col("_mz"), F.col("charge"))
     slack = F.col("charge") * F.col("precursor_mz") * (ppm * 1.01e-6)
     near = near.withColumn("_target", target).where("_target > 1")
     pairs = interval_join(
-        peptides, F.ln("mass"), near,
+        peptides.distinct(), F.ln("mass"), near,
         F.ln(F.greatest(F.col("_target") - slack, F.lit(0.5))), F.ln(F.col("_target") + slack), 2e-6 * ppm,
     )
-    error = mz.mass_error_ppm(
-        mz.mz(F.col("mass"), F.col("charge")), F.col("precursor_mz"), F.col("charge"), F.col("isotope")
-    )
-    fit = pairs.withColumn("ppm", error).where(F.abs("ppm") < ppm).drop("_mz", "_target")
-    keep = [c for c in fit.columns if c not in ("isotope", "ppm")]
-    return fit.groupBy(*keep).agg(
-        F.min_by("isotope", F.abs("ppm")).alias("isotope"), F.min_by("ppm", F.abs("ppm")).alias("ppm")
-    )
+
+    def error(isotope: Column) -> Column:
+        return mz.mass_error_ppm(mz.mz(F.col("mass"), F.col("charge")), F.col("precursor_mz"), F.col("charge"), isotope)
+
+    found = error(F.col("isotope"))
+    # a smaller isotope wins a tie
+    others = [(F.col("isotope") == i) | (F.abs(error(F.lit(i))) > F.abs(found)) | (
+        (F.abs(error(F.lit(i))) == F.abs(found)) & (F.col("isotope") < i)) for i in range(lo, hi + 1)]
+    fit = pairs.withColumn("ppm", found).where(F.abs("ppm") < ppm)
+    for nearest in others:
+        fit = fit.where(nearest)
+    keep = [c for c in fit.columns if c not in ("isotope", "ppm", "_mz", "_target")]
+    return fit.select(*keep, "isotope", "ppm")
 
 
-def candidate_summary(pairs: DataFrame) -> DataFrame:
-    """Per spectrum: number of candidates and the one with the smallest error."""
-    closest = F.struct(F.abs("ppm"), "sequence")
-    return pairs.groupBy("spectrum_id").agg(
-        F.count("*").alias("n_candidates"),
-        F.min_by("sequence", closest).alias("sequence"),
-        F.min_by("ppm", closest).alias("ppm"),
+def candidate_summary(
+    spectra: DataFrame, peptides: DataFrame, ppm: float = 50.0, isotopes: tuple[int, int] = (0, 1)
+) -> DataFrame:
+    """Per spectrum: number of :func:`candidates` and the one with the smallest error, ties by sequence.
+
+    Pairs are as many as spectra times peptides of one mass, so they are neither shuffled nor sorted:
+    a first pass counts them and finds the smallest error, a second keeps the pairs with that error.
+    """
+    size, peptides = F.abs("ppm"), checkpoint(peptides.distinct())
+    totals = candidates(spectra, peptides, ppm, isotopes).groupBy("spectrum_id").agg(
+        F.count("*").alias("n_candidates"), F.min(size).alias("_least"))
+    totals = checkpoint(totals).withColumnRenamed("spectrum_id", "_of")
+    known = spectra.join(totals.hint("merge"), F.col("spectrum_id").eqNullSafe(F.col("_of"))).drop("_of")
+    closest = candidates(known, peptides, ppm, isotopes).where(size == F.col("_least"))
+    return closest.groupBy("spectrum_id").agg(
+        F.first("n_candidates").alias("n_candidates"),
+        F.min_by("sequence", F.struct(size, "sequence")).alias("sequence"),
+        F.min_by("ppm", F.struct(size, "sequence")).alias("ppm"),
     )
 
 

@@ -1,8 +1,10 @@
 """Shapes of plans and of written folders that keep a job within its limits on larger tables."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from massloom.operators import mods
+from massloom.operators import denovo, mods
 
 
 def plan_of(df):
@@ -20,3 +22,27 @@ def test_no_join_broadcasts_the_modification_reference(spark):
     found = mods.match_mods(masses, reference(spark))
     assert "Broadcast" not in plan_of(found)
     assert {(r.mass, r.unimod_id) for r in found.collect()} == {(0.5, 1), (3.004, 6)}
+
+
+def fitting(spark):
+    """Two isotopes of a heavy pair fit, one charge is null, rows are repeated, two peptides tie."""
+    spectra = spark.createDataFrame(
+        [(1, 12000.0, 2), (1, 12000.0, 2), (2, 500.0, 2), (2, 500.0, None), (None, 500.0, 2)], "spectrum_id long, precursor_mz double, charge int")
+    heavy, light = 12000.0 * 2 - 2 * 1.007276466879, 500.0 * 2 - 2 * 1.007276466879
+    peptides = spark.createDataFrame(
+        [("H", heavy - 0.4), ("H", heavy - 0.4), ("I", heavy - 0.7), ("A", light + 0.01), ("B", light + 0.01), ("C", light - 0.02), ("D", None)], "sequence string, mass double")
+    return spectra, peptides
+
+
+def test_candidate_pairs_are_not_shuffled(spark):
+    spectra, peptides = fitting(spark)
+    found = denovo.candidates(spectra, peptides)
+    plan = plan_of(found)
+    assert not re.search(r"Aggregate.*isotope", plan.split("Join", 1)[0])
+    rows = sorted((str(r.spectrum_id), r.sequence, r.isotope) for r in found.collect())
+    assert rows == [("1", "H", 0), ("1", "I", 1), ("2", "A", 0), ("2", "B", 0), ("2", "C", 0), ("None", "A", 0), ("None", "B", 0), ("None", "C", 0)]
+
+
+def test_candidate_summary_takes_the_closest(spark):
+    got = {r.spectrum_id: (r.n_candidates, r.sequence, round(r.ppm, 3)) for r in denovo.candidate_summary(*fitting(spark)).collect()}
+    assert got == {1: (2, "I", got[1][2]), 2: (3, "A", 10.0), None: (3, "A", 10.0)}
