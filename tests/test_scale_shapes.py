@@ -1,9 +1,14 @@
 """Shapes of plans and of written folders that keep a job within its limits on larger tables."""
 
+import glob
+import os
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from massloom.catalog import formats
+from massloom.catalog.inputs import Inputs
 from massloom.operators import denovo, mods
 
 
@@ -46,3 +51,14 @@ def test_candidate_pairs_are_not_shuffled(spark):
 def test_candidate_summary_takes_the_closest(spark):
     got = {r.spectrum_id: (r.n_candidates, r.sequence, round(r.ppm, 3)) for r in denovo.candidate_summary(*fitting(spark)).collect()}
     assert got == {1: (2, "I", got[1][2]), 2: (3, "A", 10.0), None: (3, "A", 10.0)}
+
+
+@pytest.mark.parametrize("name", ["s17_read_annotations"])
+def test_folders_are_written_by_several_tasks(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(formats, "scratch_dir", lambda _, part: str(tmp_path / part))
+    rows = spark.range(40).selectExpr("id as s_suppkey", "concat('Supplier#', id) as s_name", "cast(id % 25 as int) as s_nationkey", "0.5D as s_acctbal")
+    rows.coalesce(1).write.parquet(str(tmp_path / "tables" / "supplier.parquet"))
+    out = getattr(formats, name)(Inputs(spark, str(tmp_path / "tables")))
+    assert out.select("pxd").distinct().count() == 40
+    files = [f for f in glob.glob(f"{tmp_path}/**/part-*", recursive=True) if "supplier.parquet" not in f]
+    assert len(files) == 40 and len({os.path.basename(f)[:10] for f in files}) > 4
