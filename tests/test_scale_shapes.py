@@ -53,7 +53,7 @@ def test_candidate_summary_takes_the_closest(spark):
     assert got == {1: (2, "I", got[1][2]), 2: (3, "A", 10.0), None: (3, "A", 10.0)}
 
 
-@pytest.mark.parametrize("name", ["s17_read_annotations", "s09_read_publication", "s12_read_hints"])
+@pytest.mark.parametrize("name", ["s17_read_annotations", "s09_read_publication", "s12_read_hints", "s16_read_llm_files"])
 def test_folders_are_written_by_several_tasks(spark, tmp_path, monkeypatch, name):
     monkeypatch.setattr(formats, "scratch_dir", lambda _, part: str(tmp_path / part))
     rows = spark.range(40).selectExpr("id as s_suppkey", "concat('Supplier#', id) as s_name", "cast(id % 25 as int) as s_nationkey", "0.5D as s_acctbal")
