@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from massloom.functions import mass as mz, rules
-from massloom.functions.text import let
 from massloom.operators.ranges import interval_join
 from massloom.operators.ranking import top_n
 from massloom.session import checkpoint
@@ -153,40 +155,88 @@ def pair_truth(truth: DataFrame, pred: DataFrame, key: str = "spectrum_id") -> D
     return truth.join(pred, key, "left")
 
 
-def residue_masses(sequence: Column) -> Column:
-    """Mass of each residue with its tag: a new residue begins at each capital, and the first signed
-    number after it is added. Letters without a mass weigh nothing."""
-    known = F.create_map(*[F.lit(x) for pair in rules.RESIDUE_MASS.items() for x in pair])
-
-    def mass(token: Column) -> Column:
-        delta = F.regexp_extract(token, "[+-][0-9.]+", 0).try_cast("double")
-        return F.coalesce(F.try_element_at(known, F.left(token, F.lit(1))), F.lit(0.0)) + F.coalesce(delta, F.lit(0.0))
-
-    return F.transform(F.split(sequence, "(?<=.)(?=[A-Z])"), mass)
-
-
-def _places(masses: Column, backward: bool) -> Column:
-    """Each residue's place, own mass, and running sum up to it, from the start or from the end."""
-
-    def total(i: Column) -> Column:
-        part = F.slice(masses, i + 1, F.size(masses)) if backward else F.slice(masses, F.lit(1), i + 1)
-        return F.aggregate(part, F.lit(0.0), lambda acc, x: acc + x)
-
-    return F.transform(masses, lambda m, i: F.struct(i.alias("at"), m.alias("own"), total(i).alias("sum")))
+_RESIDUES = np.zeros(128)
+_RESIDUES[[ord(a) for a in rules.RESIDUE_MASS]] = list(rules.RESIDUE_MASS.values())
+# no residue begins right after a line break
+_RESIDUE_START, _DELTA = re.compile("(?<=[^\n\r\u0085\u2028\u2029])(?=[A-Z])"), re.compile("[+-][0-9.]+")
 
 
-def _meetings(a: Column, b: Column, backward: bool, cum_tol: float, ind_tol: float) -> Column:
-    """(i, j, same) of the residues whose running sums are close."""
-    pair = lambda x, y: F.struct(x["at"].alias("i"), y["at"].alias("j"), (F.abs(x["own"] - y["own"]) < ind_tol).alias("same"))
-    return let(_places(b, backward), lambda right: F.flatten(F.transform(
-        _places(a, backward),
-        lambda x: F.transform(F.filter(right, lambda y: F.abs(x["sum"] - y["sum"]) < cum_tol), lambda y: pair(x, y)))))
-
-
-def _flags(found: Column, n: Column, place: Callable[[Column], Column]) -> Column:
-    """Of each of ``n`` places, whether its first meeting is a match; NULL without one."""
-    return let(found, lambda met: F.transform(
-        F.sequence(F.lit(0), n - 1), lambda p: F.get(F.filter(met, lambda m: place(m) == p), F.lit(0))["same"]))
+def residue_masses(sequence: str) -> np.ndarray:
+    """Mass of each residue with its tag: a new residue begins at each capital, and the first signed
+    number after it is added. Letters without a mass weigh nothing."""
+    if sequence.isascii() and sequence.isalpha() and sequence.isupper():
+        return _RESIDUES[np.frombuffer(sequence.encode(), np.uint8)]
+
+    def mass(token: str) -> float:
+        delta = _DELTA.search(token)
+        try:
+            tag = float(delta[0]) if delta else 0.0
+        except ValueError:
+            tag = 0.0
+        return rules.RESIDUE_MASS.get(token[:1], 0.0) + tag
+
+    return np.array([mass(token) for token in _RESIDUE_START.split(sequence)])
+
+
+#: Pairs of sequences aligned together, and pairs of their residues compared at once.
+ALIGNED, COMPARED = 256, 1 << 20
+
+
+def _padded(masses: Sequence[np.ndarray | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Masses as rows of one width, and how many each row has."""
+    size = np.array([0 if m is None else len(m) for m in masses])
+    out = np.zeros((len(size), max(1, size.max(initial=0))))
+    out[np.arange(out.shape[1]) < size[:, None]] = np.concatenate([np.zeros(0), *[m for m in masses if m is not None]])
+    return out, size
+
+
+def _sums(own: np.ndarray, backward: bool) -> np.ndarray:
+    """Running sums up to each residue, from the start or from the end, each added up in the order of the residues."""
+    if not backward:
+        return own.cumsum(axis=1)
+    out = np.zeros_like(own)
+    for j in range(own.shape[1]):
+        out[:, : j + 1] += own[:, j, None]
+    return out
+
+
+def _meetings(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, backward: bool, cum_tol: float, ind_tol: float) -> tuple[np.ndarray, ...]:
+    """(row, i, j, same) of the residues whose running sums are close, those of a row by i, then j."""
+    sum_a, sum_b, found = _sums(a, backward), _sums(b, backward), []
+    there = (np.arange(b.shape[1]) < n_b[:, None])[:, None, :]
+    step = max(1, COMPARED // b.size)
+    for at in range(0, a.shape[1], step):
+        close = np.abs(sum_a[:, at : at + step, None] - sum_b[:, None, :]) < cum_tol
+        row, i, j = np.nonzero(close & there & (np.arange(at, min(at + step, a.shape[1])) < n_a[:, None])[:, :, None])
+        found.append((row, i + at, j))
+    row, i, j = (np.concatenate(f) for f in zip(*found, strict=True))
+    return row, i, j, np.abs(a[row, i] - b[row, j]) < ind_tol
+
+
+def _aligned(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, mode: str, cum_tol: float, ind_tol: float) -> np.ndarray:
+    """Flags by row and place, see :func:`aa_mask`."""
+    shape = (len(a), max(a.shape[1], b.shape[1]))
+    longer = np.maximum(n_a, n_b)
+
+    def flags(row: np.ndarray, place: np.ndarray, same: np.ndarray) -> np.ndarray:
+        out = np.full(shape, -1, np.int8)  # -1: no meeting
+        at, first = np.unique(row * shape[1] + place, return_index=True)  # of several meetings the first
+        out.ravel()[at] = same[first]
+        return out
+
+    if mode != "forward":
+        row, i, j, same = _meetings(a, n_a, b, n_b, True, cum_tol, ind_tol)
+    if mode == "backward":
+        return flags(row, longer[row] - 1 - np.maximum(n_a[row] - 1 - i, n_b[row] - 1 - j), same) == 1
+    ahead, i_ahead, j_ahead, same_ahead = _meetings(a, n_a, b, n_b, False, cum_tol, ind_tol)
+    forward = flags(ahead, np.maximum(i_ahead, j_ahead), same_ahead) == 1
+    if mode == "forward":
+        return forward
+    off = ~forward & (np.arange(shape[1]) < longer[:, None])
+    stop = np.where(off.any(axis=1), off.argmax(axis=1), shape[1])
+    beyond = (i >= stop[row]) & (j >= stop[row])
+    mended = flags(row[beyond], np.maximum(i, j)[beyond], same[beyond])
+    return np.where(mended >= 0, mended == 1, forward)
 
 
 def aa_mask(truth: Column, pred: Column, mode: str = "best", cum_tol: float = 0.5, ind_tol: float = 0.1) -> Column:
@@ -201,48 +251,37 @@ def aa_mask(truth: Column, pred: Column, mode: str = "best", cum_tol: float = 0.
     """
     if mode not in ("best", "forward", "backward"):
         raise ValueError("mode must be best, forward or backward")
-    later = lambda m: F.greatest(m["i"], m["j"])
 
-    def align(ab: Column) -> Column:
-        a, b = ab["a"], ab["b"]
-        n = F.greatest(F.size(a), F.size(b))
-        off = lambda flags: F.transform(flags, lambda f: F.coalesce(f, F.lit(False)))
-        back = _meetings(a, b, True, cum_tol, ind_tol)
-        if mode == "backward":
-            # places count from each sequence's end
-            return off(_flags(back, n, lambda m: n - 1 - F.greatest(F.size(a) - 1 - m["i"], F.size(b) - 1 - m["j"])))
-        forward = off(_flags(_meetings(a, b, False, cum_tol, ind_tol), n, later))
-        if mode == "forward":
-            return forward
+    @F.pandas_udf("array<boolean>")
+    def align(truths: pd.Series, preds: pd.Series) -> pd.Series:
+        out = []
+        for at in range(0, len(truths), ALIGNED):
+            left, right = ([None if x is None else residue_masses(x) for x in c.iloc[at : at + ALIGNED].tolist()] for c in (truths, preds))
+            (a, n_a), (b, n_b) = _padded(left), _padded(right)
+            with np.errstate(invalid="ignore"):
+                found = _aligned(a, n_a, b, n_b, mode, cum_tol, ind_tol)
+            out += [None if x is None and y is None else f[:n] for x, y, f, n in zip(left, right, found, np.maximum(n_a, n_b), strict=True)]
+        return pd.Series(out, index=truths.index, dtype=object)
 
-        def mend(flags: Column) -> Column:
-            stop = F.array_position(flags, False) - 1
-            beyond = F.filter(back, lambda m: (m["i"] >= stop) & (m["j"] >= stop))
-            return F.when(stop < 0, flags).otherwise(F.zip_with(_flags(beyond, n, later), flags, lambda x, y: F.coalesce(x, y)))
-
-        return let(forward, mend)
-
-    return let(F.struct(residue_masses(truth).alias("a"), residue_masses(pred).alias("b")), align)
+    return align(truth, pred)
 
 
 def aa_matches(pairs: DataFrame, mode: str = "best") -> DataFrame:
     """Adds ``aa_match``, ``n_true``, ``n_pred`` and ``pep_match`` to rows of (truth, pred).
 
-    Equal sequences match in full and absent ones not at all; the rest are aligned once per
-    distinct pair.
+    Equal sequences match in full and absent ones not at all; the rest are aligned where they
+    lie, without a shuffle.
     """
     tokens = lambda c: F.coalesce(
         F.length(F.regexp_replace(F.col(c), r"(?<=.)(?:[^A-Z])", "")), F.lit(0)
     )
     same = F.col("truth") == F.col("pred")
     both = F.col("truth").isNotNull() & F.col("pred").isNotNull()
-    differ = pairs.where(both & ~same).select("truth", "pred").distinct().withColumn(
-        "aa_match", aa_mask(F.col("truth"), F.col("pred"), mode)
-    )
+    differ = lambda c: F.when(both & ~same, F.col(c))
     n = F.greatest(tokens("truth"), tokens("pred"))
-    joined = pairs.join(differ, ["truth", "pred"], "left")
+    aligned = pairs.withColumn("aa_match", aa_mask(differ("truth"), differ("pred"), mode))
     trivial = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda _: F.coalesce(same, F.lit(False)))
-    return joined.withColumn("aa_match", F.coalesce("aa_match", F.when(n > 0, trivial), F.array())).select(
+    return aligned.withColumn("aa_match", F.coalesce("aa_match", F.when(n > 0, trivial), F.array())).select(
         *pairs.columns, "aa_match",
         tokens("truth").alias("n_true"), tokens("pred").alias("n_pred"),
         (both & F.forall("aa_match", lambda x: x)).alias("pep_match"),

@@ -62,3 +62,18 @@ def test_folders_are_written_by_several_tasks(spark, tmp_path, monkeypatch, name
     assert out.select("pxd").distinct().count() == 40
     files = [f for f in glob.glob(f"{tmp_path}/**/part-*", recursive=True) if "supplier.parquet" not in f]
     assert len(files) == 40 and len({os.path.basename(f)[:10] for f in files}) > 4
+
+
+def test_alignment_neither_joins_nor_shuffles(spark):
+    pairs = spark.createDataFrame([("AGPEK", "GAPEK"), ("AGPEK", "AGPEK"), ("AGPEK", None), (None, None)], "truth string, pred string")
+    for mode in ("best", "forward", "backward"):
+        found = denovo.aa_matches(pairs, mode)
+        assert not re.search("Exchange|Join|Aggregate", plan_of(found))
+        rows = {(r.truth, r.pred): r.aa_match for r in found.collect()}
+        assert rows["AGPEK", "AGPEK"] == [True] * 5 and rows["AGPEK", None] == [False] * 5 and rows[None, None] == []
+
+
+def test_the_first_of_several_meetings_counts(spark):
+    df = spark.createDataFrame([("AXG", "AXG+0.05"), ("A+5.9.1G", "AG"), ("", "G")], "truth string, pred string")
+    got = [r.m for r in df.select(denovo.aa_mask(F.col("truth"), F.col("pred"), "forward").alias("m")).collect()]
+    assert got == [[True, False, True], [True, True], [False]]  # X weighs nothing, so A meets both A and X
