@@ -27,11 +27,20 @@ def filter_denovo(
 TRYPSIN = r"(?<=[KR])(?!P)|(?<=WK)(?=P)|(?<=MR)(?=P)"
 
 
+#: Residues that a task digests, about; its distinct peptides take some hundred MB.
+DIGESTED = 1 << 22
+
+
 def digest(
     proteins: DataFrame, missed: int = 2, min_len: int = 6, max_len: int = 50, rule: str = TRYPSIN
 ) -> DataFrame:
-    """Distinct (accession, peptide) of a digestion with up to ``missed`` missed cleavages."""
-    pieces = proteins.select(
+    """Distinct (accession, peptide) of a digestion with up to ``missed`` missed cleavages.
+
+    Residues are counted first, and proteins dealt over so many tasks that none holds the peptides of a whole file.
+    """
+    residues = proteins.agg(F.sum(F.length("sequence"))).first()[0] or 0
+    dealt = proteins.select("accession", "sequence").repartition(-(-residues // DIGESTED) or 1, "accession", "sequence")
+    pieces = dealt.select(
         "accession", F.filter(F.split("sequence", rule), lambda p: p != "").alias("pieces")
     )
     spans = pieces.select(

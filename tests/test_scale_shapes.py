@@ -77,3 +77,11 @@ def test_the_first_of_several_meetings_counts(spark):
     df = spark.createDataFrame([("AXG", "AXG+0.05"), ("A+5.9.1G", "AG"), ("", "G")], "truth string, pred string")
     got = [r.m for r in df.select(denovo.aa_mask(F.col("truth"), F.col("pred"), "forward").alias("m")).collect()]
     assert got == [[True, False, True], [True, True], [False]]  # X weighs nothing, so A meets both A and X
+
+
+def test_proteins_are_dealt_by_their_residues(spark, monkeypatch):
+    monkeypatch.setattr(denovo, "DIGESTED", 100)
+    proteins = spark.range(50).select(F.concat(F.lit("P"), "id").alias("accession"), F.repeat(F.lit("AEPTIDEK"), 3).alias("sequence")).coalesce(1)
+    found = denovo.digest(proteins)
+    assert "12), REPARTITION_BY_NUM" in plan_of(found)
+    assert found.count() == 150 and found.select("peptide").distinct().count() == 3
