@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from massloom.catalog import formats
 from massloom.catalog.inputs import Inputs
-from massloom.operators import denovo, mods
+from massloom.operators import denovo, mods, runs
 
 
 def plan_of(df):
@@ -85,3 +85,14 @@ def test_proteins_are_dealt_by_their_residues(spark, monkeypatch):
     found = denovo.digest(proteins)
     assert "12), REPARTITION_BY_NUM" in plan_of(found)
     assert found.count() == 150 and found.select("peptide").distinct().count() == 3
+
+
+def test_peaks_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(runs, "PEAKS_OF_TASK", 100)
+    spectra = spark.range(40).select(
+        F.col("id").alias("spectrum_id"), F.lit("run").alias("filename"), F.lit(2).alias("ms_level"),
+        F.lit("FTMS + p NSI d Full ms2 501.10@hcd30.00 [100.00-1500.00]").alias("filter_string"))
+    peaks = spark.range(1000).select((F.col("id") % 40).alias("spectrum_id"), F.lit(126.1277).alias("mz"), F.lit(1.0).alias("intensity"))
+    found = runs.composite_from_peaks(spectra, peaks)
+    assert plan_of(found).count("10), REPARTITION_BY_NUM") == 2
+    assert [(r.n_peaks, r.intensity) for r in found.collect()] == [(40, 40.0)]
