@@ -8,9 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a sorted file, about.
+ROWS_OF_FILE = 1 << 19
+
+
 def write_tsv(df: DataFrame, path: str, order: Sequence[str] = (), by: Sequence[str] = ()) -> None:
-    """Tab separated text with a header; globally range sorted by ``order``."""
-    out = df.orderBy(*order) if order else df
+    """Tab separated text with a header; globally range sorted by ``order``.
+
+    Rows to be sorted are counted first, so that the number of files follows it and a file stays small.
+    """
+    out = df.repartitionByRange(-(-df.count() // ROWS_OF_FILE) or 1, *order).sortWithinPartitions(*order) if order else df
     writer = out.write.mode("overwrite")
     if by:
         writer = writer.partitionBy(*by)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from massloom.catalog import formats
 from massloom.catalog.inputs import Inputs
 from massloom.operators import denovo, mods, runs
+from massloom.sources import sinks
 
 
 def plan_of(df):
@@ -96,3 +97,13 @@ def test_peaks_are_dealt_by_their_number(spark, monkeypatch):
     found = runs.composite_from_peaks(spectra, peaks)
     assert plan_of(found).count("10), REPARTITION_BY_NUM") == 2
     assert [(r.n_peaks, r.intensity) for r in found.collect()] == [(40, 40.0)]
+
+
+def test_sorted_files_follow_the_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_OF_FILE", 100)
+    rows = spark.range(2000).select((F.col("id") * 7919 % 2000).alias("key"))
+    sinks.write_tsv(rows, str(tmp_path / "out"), ["key"])
+    files = sorted(glob.glob(f"{tmp_path}/out/part-*"))
+    held = [[int(x) for x in open(f).read().split()[1:]] for f in files]
+    assert 15 <= len(files) <= 20 and max(map(len, held)) < 400
+    assert [k for f in held for k in f] == list(range(2000))
