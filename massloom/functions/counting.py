@@ -13,9 +13,11 @@ from pyspark.sql.types import ArrayType, DoubleType, StructType
 from massloom.functions.text import let
 
 #: Longer arrays than this go through the tree.
-SHORT = 32
+SHORT = 8
 #: Products of arrays longer than this are made by Fourier transforms.
 LONG = 1024
+#: Variables of rows of one length that go through the tree together.
+TOGETHER = 1 << 17
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -71,10 +73,14 @@ _PAIR = StructType().add("absent", ArrayType(DoubleType())).add("present", Array
 def _tree(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for present, likelihood in batches:
         absent, there = np.full(len(present), None, object), np.full(len(present), None, object)
-        for i in np.flatnonzero(present.notna()):
-            p = np.asarray(present.iloc[i], float)[None]
-            a, b = tree_messages(p, np.asarray(likelihood.iloc[i], float)[None, : p.shape[1] + 1])
-            absent[i], there[i] = a[0], b[0]
+        some = np.flatnonzero(present.notna())
+        sizes = np.array([(len(present.iloc[i]), len(likelihood.iloc[i])) for i in some], int).reshape(-1, 2)
+        for n, m in np.unique(sizes, axis=0).tolist():
+            alike, most = some[(sizes == (n, m)).all(axis=1)], max(1, TOGETHER // n)
+            for at in (alike[i : i + most] for i in range(0, len(alike), most)):
+                p, given = (np.array([np.asarray(c.iloc[i], float) for i in at]) for c in (present, likelihood))
+                for i, a, b in zip(at, *tree_messages(p, given[:, : n + 1]), strict=True):
+                    absent[i], there[i] = a, b
         yield pd.DataFrame({"absent": absent, "present": there})
 
 
@@ -112,7 +118,7 @@ def leave_one_out(present: Column, likelihood: Column, short: int = SHORT) -> Co
 
     ``present`` holds P(variable = 1); ``likelihood`` has n + 1 entries. Entry i of the result is
     ``struct(absent, present)``, scaled to sum to one. Arrays of at most ``short`` variables stay in
-    the JVM; longer ones are made by :func:`tree_messages`, one array at a time. A null array gives null.
+    the JVM; longer ones are made by :func:`tree_messages`, those of one length together. A null array gives null.
     """
     is_short = F.size(present) <= short
     long = _tree(F.when(~is_short, present), F.when(~is_short, likelihood))
