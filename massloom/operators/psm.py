@@ -11,6 +11,7 @@ from massloom import schemas
 from massloom.functions import mass as mz
 from massloom.functions import modseq, text as tx
 from massloom.operators.ranking import numbered, top_n
+from massloom.session import written
 
 SPECTRUM_KEY = ["filename", "scannr"]
 
@@ -197,7 +198,8 @@ def dia_tsv_to_psm(df: DataFrame) -> DataFrame:
 def dia_to_psm(df: DataFrame, unimod: DataFrame, order: Sequence[str] | None = None, compat: bool = False) -> DataFrame:
     """DIA report as the canonical match table plus seven columns that trace it back.
 
-    ``psm_id`` is numbered per run when ``order`` names a total order, else it is NULL.
+    ``psm_id`` is numbered per run when ``order`` names a total order, else it is NULL. Numbering reads
+    its rows several times, so the report and the rewritten rows are each made and written once for it.
     ``compat`` measures the peptide length with its tags.
     """
     def take(names: Sequence[str] | str, dtype: str) -> Column:
@@ -232,6 +234,8 @@ def dia_to_psm(df: DataFrame, unimod: DataFrame, order: Sequence[str] | None = N
         "diann_channel": text("Channel"),
     }
     fields = [*schemas.PSM, *schemas.DIA_EXTRA]
+    if order is not None:
+        df = written(df, "dia-report")
     sequences = df.select(text("Modified.Sequence").alias("_modified"))
     rewritten = bracket_masses(sequences, unimod, "_modified").withColumnRenamed("rewritten", "_rewritten")
     out = df.join(rewritten, text("Modified.Sequence") == F.col("_modified"), "left").select(
@@ -239,7 +243,7 @@ def dia_to_psm(df: DataFrame, unimod: DataFrame, order: Sequence[str] | None = N
     )
     if order is None:
         return out
-    ids = numbered(out.drop("psm_id"), ["filename"], list(order), "psm_id")
+    ids = numbered(written(out.drop("psm_id"), "dia-psm"), ["filename"], list(order), "psm_id")
     return ids.select(*[f.name for f in fields])
 
 
