@@ -36,18 +36,18 @@ class ProjectSummary(StatefulProcessor):
         n = dict(zip(COUNTS, held[: len(COUNTS)] if held else [0] * len(COUNTS), strict=True))
         skipped, names, first, last, over, timer = held[len(COUNTS) :] if held else (False, "", None, None, None, None)
         processes, ends = {p for p in (names or "").split(";") if p}, None
-        for b in rows:
-            n["total_events"] += len(b)
+        for b in rows:  # a project has few rows at a time, for which lists are far faster than columns
+            level, category, process, us, done = (b[c].tolist() for c in ("level", "category", "process", "us", "done"))
+            n["total_events"] += len(us)
             for v in LEVELS:
-                n[f"{v.lower()}_events"] += int((b["level"] == v).sum())
-            n["decisions"] += int((b["category"] == "decision").sum())
-            n["skips"] += int((b["category"] == "skip").sum())
-            skipped |= bool(((b["category"] == "skip") & (b["process"] == "search")).any())
-            processes |= set(b["process"].dropna())
-            first = min(x for x in (first, int(b["us"].min())) if x is not None)
-            last = max(x for x in (last, int(b["us"].max())) if x is not None)
-            done = b.loc[b["done"].fillna(False).astype(bool), "us"]
-            ends = max(x for x in (ends, int(done.max())) if x is not None) if len(done) else ends
+                n[f"{v.lower()}_events"] += level.count(v)
+            n["decisions"] += category.count("decision")
+            n["skips"] += category.count("skip")
+            skipped |= ("skip", "search") in zip(category, process, strict=True)
+            processes.update(p for p in process if isinstance(p, str))
+            first = min(x for x in (first, *us) if x is not None)
+            last = max(x for x in (last, *us) if x is not None)
+            ends = max((x for x in (ends, *(u for u, d in zip(us, done, strict=True) if d == 1)) if x is not None), default=None)
         # a completion's time stands; without one the timer moves with the last event
         over = ends if ends is not None else over
         due = -(-over // 1000) if over is not None else -(-last // 1000) + self.idle_ms
