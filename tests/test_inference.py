@@ -235,3 +235,18 @@ def test_rules_grid_is_the_default(spark):
     rows = [("a", 1, 0.9), ("b", 1, 0.8), ("b", 2, 0.8), ("c", 2, 0.7)]
     out = inference.component_posteriors(spark.createDataFrame(rows, "sequence string, taxon_id bigint, score double"))
     assert out.count() == 2 * len(rules.GRID_ALPHA) * len(rules.GRID_BETA) * len(rules.GRID_PRIOR)
+
+
+def test_parents_of_all_factors_share_one_array(spark):
+    rows = random_edges(random.Random(3), 40, 60, 4)
+    c = component(rows)
+    assert len(c.parents) > 20 and len({id(p.base) for p in c.parents}) == 1  # else a copy of all edges for each factor
+
+
+def test_lists_of_a_factor_become_its_rows():
+    lists = pd.DataFrame({"factor_id": ["a", "b"], "taxa": [[3, 2**60 + 1], [3]], "scores": [[0.5, None], [0.25]], "counts": [[1, 2], [4]]})
+    got = inference._long(lists)
+    links, tallies = got[got["taxon_id"].notna()], got[got["taxon_id"].isna()]
+    assert list(zip(links["factor_id"], links["taxon_id"])) == [("a", 3), ("a", 2**60 + 1), ("b", 3)]
+    assert tallies["factor_id"].tolist() == ["a", "a", "b"] and tallies["n"].tolist() == [1, 2, 4]
+    assert np.isnan(tallies["score"].iloc[1]) and tallies["score"].iloc[2] == 0.25
