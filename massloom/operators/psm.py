@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 from massloom import schemas
 from massloom.functions import mass as mz
 from massloom.functions import modseq, text as tx
-from massloom.operators.ranking import numbered, top_n
+from massloom.operators.ranking import numbered, sparse, top_n
 from massloom.session import written
 
 SPECTRUM_KEY = ["filename", "scannr"]
 
 
 def best_psm(df: DataFrame, score: str = "hyperscore", keys: Sequence[str] = SPECTRUM_KEY) -> DataFrame:
-    """One row per spectrum: the highest score, NULL last; ties by the remaining columns."""
+    """One row per spectrum: the highest score, NULL last; ties by the remaining columns.
+
+    A spectrum has few rows, so sorting them before the shuffle would spill and drop next to nothing: rows go
+    straight to their spectrum's task, and are cut beforehand only if a spectrum may have very many.
+    """
     rest = [c for c in df.columns if c not in (*keys, score)]
     order = [F.col(score).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in rest]]
-    return top_n(df, keys, order, 1)
+    return top_n(df.repartition(*keys) if sparse(df, keys) else df, keys, order, 1)
 
 
 def search_summary(psm: DataFrame, by: Sequence[str] = (), approximate: bool = False) -> DataFrame:

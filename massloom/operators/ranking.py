@@ -36,6 +36,12 @@ def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int = 20
 MOST_ROWS = 1 << 18
 
 
+def sparse(df: DataFrame, keys: Sequence[str], most: int = MOST_ROWS, slots: int = 1 << 16) -> bool:
+    """Whether surely no group has more than ``most`` rows: no slot of hashed keys has. Reads the keys only."""
+    counts = df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(slots)).alias("_slot")).agg(F.count("*").alias("_n"))
+    return counts.where(F.col("_n") > most).isEmpty()
+
+
 def numbered(
     df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str, most: int = MOST_ROWS
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from massloom.catalog import formats
 from massloom.catalog.inputs import Inputs
-from massloom.operators import denovo, mods, runs
+from massloom.operators import denovo, mods, psm, ranking, runs
 from massloom.sources import sinks
 
 
@@ -119,3 +119,20 @@ def test_a_run_is_cut_into_files_with_headers(spark, tmp_path, monkeypatch):
     assert [(r.run, r.n, round(r.score, 6)) for r in got] == [("run_0", 500, 250.0)]
     files = glob.glob(f"{tmp_path}/mztab/run=run_0/part-*")
     assert len(files) > 4 and all(open(f).readline().startswith("MTD") for f in files)
+
+
+def test_best_match_sorts_rows_after_the_shuffle_only(spark, monkeypatch):
+    rows = spark.range(1000).select(
+        F.when(F.col("id") % 9 > 0, "a").alias("filename"), (F.col("id") % 400).cast("string").alias("scannr"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") * 7 % 13).cast("double")).alias("hyperscore"), F.col("id").alias("more"))
+
+    def sorts_below(df):
+        text = plan_of(df)
+        return "Sort [" in text[text.index("Exchange"):]
+
+    best = psm.best_psm(rows)
+    assert not sorts_below(best)
+    assert ranking.sparse(rows, ["filename"], most=1000) and not ranking.sparse(rows, ["filename"], most=500)
+    monkeypatch.setattr(psm, "sparse", lambda *_: False)  # as if one spectrum had very many rows
+    cut = psm.best_psm(rows)
+    assert sorts_below(cut) and sorted(map(repr, cut.collect())) == sorted(map(repr, best.collect()))
