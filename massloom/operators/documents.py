@@ -189,7 +189,8 @@ def sdrf(
     raw_file, treatment, enrichment). An optional column appears if some row has a value; one
     small aggregate decides that and how many modification columns there are.
     """
-    facts = protocol_facts(projects)
+    # four joins read the facts, none the protocols they come from
+    facts = checkpoint(protocol_facts(projects).drop("sample_protocol", "data_protocol"))
     rows = files.withColumn("stem", tx.stem(F.col("raw_file")))
     mods = sdrf_mods(rows, facts, fractions)
     wide = (

@@ -7,9 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from massloom.catalog import formats
+from massloom.catalog import formats, projects
 from massloom.catalog.inputs import Inputs
-from massloom.operators import denovo, mods, psm, ranking, runs
+from massloom.operators import denovo, documents, mods, psm, ranking, runs
 from massloom.sources import sinks
 
 
@@ -136,3 +136,18 @@ def test_best_match_sorts_rows_after_the_shuffle_only(spark, monkeypatch):
     monkeypatch.setattr(psm, "sparse", lambda *_: False)  # as if one spectrum had very many rows
     cut = psm.best_psm(rows)
     assert sorts_below(cut) and sorted(map(repr, cut.collect())) == sorted(map(repr, best.collect()))
+
+
+def test_protocols_of_a_project_are_read_once(spark, monkeypatch):
+    read, facts = spark.sparkContext.accumulator(0), documents.protocol_facts
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    seen = F.udf(counted, "string").asNondeterministic()
+    monkeypatch.setattr(documents, "protocol_facts", lambda projects: facts(projects).withColumn("reduction_reagent", seen("reduction_reagent")))
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    out = projects.a29_w07_sdrf(inputs)
+    assert out.count() == inputs.table("orders").count()
+    assert read.value == inputs.table("customer").count()
