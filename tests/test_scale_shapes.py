@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from massloom.catalog import formats, projects
 from massloom.catalog.inputs import Inputs
-from massloom.operators import denovo, documents, mods, psm, ranking, runs
+from massloom.operators import denovo, documents, mods, psm, ranking, runs, taxa
 from massloom.sources import sinks
 
 
@@ -146,8 +146,19 @@ def test_protocols_of_a_project_are_read_once(spark, monkeypatch):
         return text
 
     seen = F.udf(counted, "string").asNondeterministic()
-    monkeypatch.setattr(documents, "protocol_facts", lambda projects: facts(projects).withColumn("reduction_reagent", seen("reduction_reagent")))
+    monkeypatch.setattr(documents, "protocol_facts", lambda projects: facts(projects).withColumn("alkylation_reagent", seen("alkylation_reagent")))
     inputs = Inputs(spark, "/root/testdata/sf0.001")
     out = projects.a29_w07_sdrf(inputs)
     assert out.count() == inputs.table("orders").count()
     assert read.value == inputs.table("customer").count()
+
+
+def test_small_tiles_of_the_overlap_share_a_group(spark, monkeypatch):
+    rows = [(f"{run}{p}", t * 100 + run) for run in range(3) for t in range(1, 9) for p in range(30) if (p * t) % 11 > 0 or t % 4 == 0]
+    edges = spark.createDataFrame(rows, "sequence string, taxon_id bigint")
+    shared = taxa.class_overlap(edges, 0.8)
+    text = plan_of(shared)
+    assert "_slot" in text[text.index("FlatMapCoGroupsInPandas"):].splitlines()[0]
+    got = sorted(map(repr, shared.collect()))
+    monkeypatch.setattr(taxa, "BATCH_PEPTIDES", 1)  # each tile by itself
+    assert got and got == sorted(map(repr, taxa.class_overlap(edges, 0.8).collect()))
