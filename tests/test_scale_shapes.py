@@ -146,7 +146,7 @@ def test_protocols_of_a_project_are_read_once(spark, monkeypatch):
         return text
 
     seen = F.udf(counted, "string").asNondeterministic()
-    monkeypatch.setattr(documents, "protocol_facts", lambda projects: facts(projects).withColumn("alkylation_reagent", seen("alkylation_reagent")))
+    monkeypatch.setattr(documents, "protocol_facts", lambda projects: facts(projects).withColumn("protocol_mods", F.when(seen("pxd") != "", F.col("protocol_mods"))))
     inputs = Inputs(spark, "/root/testdata/sf0.001")
     out = projects.a29_w07_sdrf(inputs)
     assert out.count() == inputs.table("orders").count()
