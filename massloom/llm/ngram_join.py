@@ -9,6 +9,7 @@ of the two whole sets. Documents with equal sets form a class, and only one of a
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -257,7 +258,7 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cls, text) of the ``wanted`` classes, from a second pass over the texts. A Bloom filter of
+    """(cls, text) of the ``wanted`` classes, from a second pass over the texts, each text deflated. A Bloom filter of
     fixed size, the only thing broadcast, keeps most others from the shuffle; the join decides."""
     spot = F.pmod(F.col("cls"), F.lit(BLOOM_BITS))
     word = (spot / 32).cast("int").alias("word")
@@ -278,10 +279,11 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                         c = _key(s)
                         b = c % BLOOM_BITS
                         if flags[b // 32] >> (b % 32) & 1:
-                            found.setdefault(c, text)
+                            if c not in found:
+                                found[c] = zlib.compress(text.encode())
             yield pd.DataFrame({"cls": np.array(list(found), np.int64), "text": pd.Series(list(found.values()), dtype=object)})
 
-    texts = docs.select("text").mapInPandas(scan, "cls long, text string")
+    texts = docs.select("text").mapInPandas(scan, "cls long, text binary")
     texts = texts.join(wanted, "cls", "left_semi")
     out = kept(texts.groupBy("cls").agg(F.min("text").alias("text")), "texts")
     free_shuffles(docs.sparkSession)
@@ -295,7 +297,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int
         for batch in batches:
             sets: dict[int, np.ndarray] = {}
             given = dict(zip([*batch["a"], *batch["b"]], [*batch["text_a"], *batch["text_b"]], strict=True))
-            names, bodies = list(given), list(given.values())
+            names, bodies = list(given), [zlib.decompress(t).decode() for t in given.values()]
             for at in chunks(bodies):
                 sets |= zip(names[at], Tokens(bodies[at]).sets(words), strict=True)
             both = [len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(batch["a"], batch["b"], strict=True)]
@@ -380,6 +382,7 @@ def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words:
             joined = comps.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
             after = kept(joined.select("cls", F.coalesce("to", "comp").alias("comp")), "comps")
             release(comps)
+            release(moved)
         release(found)
         release(pairs)
         return after
@@ -398,6 +401,9 @@ def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words:
     while True:
         open_ = still_open(done)
         if open_.isEmpty():
+            release(open_)
+            if done is not None:
+                release(done)
             return comps
         holders = open_.join(full, "cls").repartition("sig")
         spot = F.xxhash64("cls")
@@ -406,7 +412,9 @@ def class_links(shared: DataFrame, classes: DataFrame, texts: DataFrame, words:
         pairs = kept(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         every = F.count_distinct(part) == F.count("*")  # all were heads
         now = open_.groupBy("sig").agg(every.alias("all")).where("all").select("sig")
-        done = kept(now if done is None else now.union(done), "done")
+        before, done = done, kept(now if done is None else now.union(done), "done")
+        if before is not None:
+            release(before)
         free_shuffles(spark)
         comps = merged(pairs)
         release(open_)
@@ -428,11 +436,18 @@ def near_duplicates(
     kind = docs.schema[doc_id].dataType
     given = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     scanned = kept(_scan(given, words), "scanned")
-    slim = scanned.select(F.col("doc_id").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), "cls")
+    slim = kept(scanned.select(F.col("doc_id").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), "cls"), "slim")
     shared = _shared(given, scanned, words, num, den)
     wanted = kept(shared.select("cls").distinct(), "wanted")
     classes = kept(_classes(scanned).join(wanted, "cls", "left_semi"), "classes")
-    comps = class_links(shared, classes, _texts_of(given, wanted, words), words, num, den)
+    release(scanned)
+    texts = _texts_of(given, wanted, words)
+    release(wanted)
+    comps = class_links(shared, classes, texts, words, num, den)
+    # nothing but the two tables that the result is made of stays on disk
+    for used in (shared, classes, texts):
+        release(used)
+    free_shuffles(docs.sparkSession)
     classes = slim.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
     known = classes.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = known.groupBy("comp").agg(F.min("least").alias("component_id"))
