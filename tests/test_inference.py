@@ -250,3 +250,23 @@ def test_lists_of_a_factor_become_its_rows():
     assert list(zip(links["factor_id"], links["taxon_id"])) == [("a", 3), ("a", 2**60 + 1), ("b", 3)]
     assert tallies["factor_id"].tolist() == ["a", "a", "b"] and tallies["n"].tolist() == [1, 2, 4]
     assert np.isnan(tallies["score"].iloc[1]) and tallies["score"].iloc[2] == 0.25
+
+
+def test_a_dense_component_is_coloured_once(monkeypatch):
+    c, seen, real = component(random_edges(random.Random(5), 30, 60, 20)), [], inference.colours
+    together = inference.solve_component(c, 1e-6, 400)
+    monkeypatch.setattr(inference, "colours", lambda *a: seen.append(1) or real(*a))
+    monkeypatch.setattr(inference, "SETTLE_CELLS", 1)  # one parameter set at a time
+    alone = inference.solve_component(c, 1e-6, 400)
+    assert len(seen) == 1 and (together[1] > 0).all()
+    assert all(np.array_equal(a, b) for a, b in zip(together, alone, strict=True))
+
+
+def test_a_graph_of_some_million_edges_is_dealt_by_parameter_sets(spark, monkeypatch):
+    assert inference.MOST_EDGES >= 3_600_000  # all of a table's rows as one component, not table rounds of every edge and set
+    monkeypatch.setattr(inference, "BATCH_EDGES", 64)
+    edges = spark.createDataFrame(random_edges(random.Random(5), 30, 60, 20), "sequence string, taxon_id bigint, score double")
+    out = inference.component_posteriors(edges, **SOME)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan  # few groups, but each has much to do
+    assert out.count() == 30 * len(GRID)
