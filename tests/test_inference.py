@@ -270,3 +270,17 @@ def test_a_graph_of_some_million_edges_is_dealt_by_parameter_sets(spark, monkeyp
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan  # few groups, but each has much to do
     assert out.count() == 30 * len(GRID)
+
+
+def test_classes_that_share_their_smallest_peptide_only_are_not_compared(spark, monkeypatch):
+    rng, seen, real = random.Random(11), [], taxa.checkpoint
+    monkeypatch.setattr(taxa, "checkpoint", lambda df: seen.append(real(df)) or seen[-1])
+    sets = {t: {f"p{i}" for i in rng.sample(range(400), 60)} for t in range(80)}
+    sets |= {100 + t: set(sorted(sets[t])[1:]) for t in range(20)}
+    edges = spark.createDataFrame([(t, p) for t, s in sets.items() for p in s], "taxon_id long, sequence string")
+    got = {(r.member, r.head): r.shared for r in taxa.class_overlap(edges, 0.9).collect()}
+    assert got == {p: 59 for t in range(20) for p in ((t, 100 + t), (100 + t, t))}
+    met = next(df for df in seen if {"mb", "hb"} <= set(df.columns))
+    held = next(df for df in seen if "limit" in df.columns).groupBy("block").agg(F.count("*").alias("n"))
+    both = met.join(held.select(F.col("block").alias("mb"), F.col("n").alias("a")), "mb").join(held.select(F.col("block").alias("hb"), F.col("n").alias("b")), "hb")
+    assert both.agg(F.sum(F.col("a") * F.col("b"))).first()[0] < 1000  # of 10,000 pairs of classes
