@@ -65,6 +65,24 @@ def test_folders_are_written_by_several_tasks(spark, tmp_path, monkeypatch, name
     assert len(files) == 40 and len({os.path.basename(f)[:10] for f in files}) > 4
 
 
+def test_folders_of_a_mounted_system_are_written_without_hadoop(spark, tmp_path):
+    """Hadoop's local file system starts processes for each file; the folders are those of Spark's writer."""
+    rows = [("a=b/c", "x y", "1"), ("a=b/c", "x y", None), (None, "", "2\n3"), ("p%é^", "0.0", ""), ("q}{", "t", "ü"), ("a=b/c", "z", "4")]
+    df = spark.createDataFrame(rows, "pxd string, temp string, value string")
+    formats._write_folders(df, f"file://{tmp_path}/own", "pxd", "temp")
+    df.write.partitionBy("pxd", "temp").text(f"{tmp_path}/spark")
+
+    def held(path):
+        found = {}
+        for f in glob.glob(f"{tmp_path}/{path}/*/*/part-*"):
+            found.setdefault(os.path.relpath(os.path.dirname(f), f"{tmp_path}/{path}"), []).extend(open(f, encoding="utf-8").read().split("\n"))
+        return {k: sorted(v for v in lines if v) for k, lines in found.items()}, {k: len(lines) for k, lines in found.items() if k.startswith("pxd=a")}
+
+    assert held("own")[0] == held("spark")[0] and len(held("own")[0]) == 5
+    assert sorted(map(tuple, spark.read.text(f"{tmp_path}/own").collect())) == sorted(map(tuple, spark.read.text(f"{tmp_path}/spark").collect()))
+    assert not glob.glob(f"{tmp_path}/own/**/.*.crc", recursive=True)
+
+
 def test_alignment_neither_joins_nor_shuffles(spark):
     pairs = spark.createDataFrame([("AGPEK", "GAPEK"), ("AGPEK", "AGPEK"), ("AGPEK", None), (None, None)], "truth string, pred string")
     for mode in ("best", "forward", "backward"):
